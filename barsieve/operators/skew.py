@@ -1,0 +1,41 @@
+"""Find the few groups that are too large for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A group with more rows than this is split over tasks instead of being shuffled to one.
+HOT_GROUP_ROWS = 5_000_000
+
+# At most this many groups are treated as hot. Every other group is then smaller than 1/1000 of the rows.
+MAX_HOT_GROUPS = 1000
+
+_SKETCH_ITEMS = 10_000
+_SKETCH_MERGERS = 256
+
+
+def group_hash(*group: str | Column) -> Column:
+    """One long per group, so that groups over several columns can be listed as numbers."""
+    return F.xxhash64(*group)
+
+
+def hot_groups(df: DataFrame, group: Column, min_rows: int | None = HOT_GROUP_ROWS) -> list[int]:
+    """Hashes of the groups of about `min_rows` rows or more, at most MAX_HOT_GROUPS of them.
+
+    Runs one job that reads the group columns only and shuffles no rows: each task keeps a frequent-items
+    sketch of fixed size, and the sketches are merged in two steps. A group with over 0.05 % of the rows
+    cannot be missed. Which groups are listed decides how rows are routed, never what the result is.
+    """
+    if min_rows is None:
+        return []
+    top = (
+        df.select(group.alias("_group"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_MERGERS)).alias("_merger"))
+        .agg(F.expr(f"approx_top_k_accumulate(_group, {_SKETCH_ITEMS})").alias("_sketch"))
+        .agg(F.expr(f"approx_top_k_combine(_sketch, {_SKETCH_ITEMS})").alias("_sketch"))
+        .select(F.expr(f"approx_top_k_estimate(_sketch, {MAX_HOT_GROUPS})").alias("_top"))
+        .select(F.inline("_top"))
+        .where(F.col("count") >= min_rows)
+    )
+    return [r["item"] for r in top.collect()]
