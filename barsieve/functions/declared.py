@@ -105,16 +105,15 @@ def mandatory_columns(metadata: DataFrame) -> DataFrame:
 
 
 def column_specs(metadata: DataFrame, columns: list[str]) -> list[ColumnSpec]:
-    """The specs of the given data columns, in their order; at most one row per column is collected.
+    """The specs of the given data columns, in their order.
 
     Raises ValueError when a data column has no metadata row or several.
     """
-    parsed = parse_specs(metadata).where(F.col("column_name").isin(columns))
-    grouped = parsed.groupBy("column_name").agg(
-        F.count("*").alias("n"), F.first(F.struct(*parsed.columns[1:])).alias("s")
-    )
-    found = {r["column_name"]: r for r in grouped.collect()}
-    wrong = [c for c in columns if c not in found or found[c]["n"] != 1]
+    # one row more than there are columns already shows that some column has several
+    rows = parse_specs(metadata).where(F.col("column_name").isin(columns)).limit(len(columns) + 1).collect()
+    listed = [r["column_name"] for r in rows]
+    wrong = [c for c in columns if listed.count(c) != 1]
     if wrong:
         raise ValueError(f"columns without exactly one metadata row: {', '.join(wrong)}")
-    return [ColumnSpec(name=c, **found[c]["s"].asDict()) for c in columns]
+    by_name = {r["column_name"]: r.asDict() for r in rows}
+    return [ColumnSpec(name=c, **{k: v for k, v in by_name[c].items() if k != "column_name"}) for c in columns]

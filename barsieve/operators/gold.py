@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from barsieve.functions.prices import percent_return, spread_high_low, spread_open_close
 from barsieve.operators.skew import HOT_GROUP_ROWS, group_hash, hot_groups
 
-_DAY = "_day"
+_DAY, _YEAR, _MONTH = "_day", "_year", "_month"
 
 
 def monthly_bars(
@@ -27,55 +27,75 @@ def monthly_bars(
     `full_month` makes the close that of the whole month. Rows of one day are ordered by `tie_break`,
     by default all columns, so that the first open and last close do not depend on the row order.
 
-    One shuffle by symbol and month. A symbol and month with over `hot_group_rows` rows is first reduced
-    to one row per day, and the result, 31 rows per such month, is joined back without a shuffle.
+    One shuffle by symbol and month, one sort. A symbol and month with over `hot_group_rows` rows is first
+    reduced to one row per day, and the result, 31 rows per such month, is joined back without a shuffle.
+    None skips the search for such months, for bars that are known to be one per day.
     """
     if series is not None:
         df = df.where(F.col("series") == series)
     columns = df.columns
-    bars = df.withColumn(_DAY, F.col(date_col).cast("date"))
-    order = F.struct(_DAY, *(tie_break if tie_break is not None else columns))
-    month = [F.col("symbol"), F.year(_DAY), F.month(_DAY)]
+    ties = [c for c in (columns if tie_break is None else tie_break) if c != date_col]
+    day = F.col(date_col).cast("date")
+    bars = df.withColumns({_DAY: day, _YEAR: F.year(day), _MONTH: F.month(day)})
+    month = ["symbol", _YEAR, _MONTH]
     group = group_hash(*month)
     hot = hot_groups(bars, group, hot_group_rows)
-
-    so_far = W.partitionBy(*month).orderBy(_DAY)
-    whole = W.partitionBy(*month).orderBy(_DAY).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    monthly = {
-        "open_monthly": F.min_by("open", order).over(so_far),
-        "close_monthly": F.max_by("close", order).over(whole if full_month else so_far),
-        "high_monthly": F.max("high").over(so_far),
-        "low_monthly": F.min("low").over(so_far),
-    }
-    if not hot:
-        result = bars.withColumns(monthly)
+    if hot:
+        cold = _month_by_window(bars.where(~group.isin(hot)), month, ties, full_month)
+        result = cold.unionByName(_month_by_day(bars.where(group.isin(hot)), month, ties, full_month))
     else:
-        large = bars.where(group.isin(hot))
-        days = large.groupBy("symbol", _DAY).agg(
-            F.min_by("open", order).alias("_open"),
-            F.max_by("close", order).alias("_close"),
-            F.max("high").alias("_high"),
-            F.min("low").alias("_low"),
-        )
-        per_day = days.select(
-            F.col("symbol").alias("_symbol"),
-            F.col(_DAY).alias("_month_day"),
-            F.first("_open").over(so_far).alias("open_monthly"),
-            F.last("_close").over(whole if full_month else so_far).alias("close_monthly"),
-            F.max("_high").over(so_far).alias("high_monthly"),
-            F.min("_low").over(so_far).alias("low_monthly"),
-        )
-        same_day = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col(_DAY).eqNullSafe(F.col("_month_day"))
-        # at most 31 rows for each of at most MAX_HOT_GROUPS months
-        joined = large.join(F.broadcast(per_day), same_day).drop("_symbol", "_month_day")
-        result = bars.where(~group.isin(hot)).withColumns(monthly).unionByName(joined)
+        result = _month_by_window(bars, month, ties, full_month)
     return result.select(
         *columns,
         spread_high_low().alias("spread_high_low"),
         spread_open_close().alias("spread_open_close"),
         percent_return(on_zero).alias("returns_perc"),
-        *monthly,
+        "open_monthly",
+        "close_monthly",
+        "high_monthly",
+        "low_monthly",
+    )
+
+
+def _month_by_window(bars: DataFrame, month: list[str], ties: list[str], full_month: bool) -> DataFrame:
+    """Monthly columns by windows that all share the partitioning by month and the sort by day and ties."""
+    everything = (W.unboundedPreceding, W.unboundedFollowing)
+    by_row = W.partitionBy(*month).orderBy(_DAY, *ties)
+    by_day = W.partitionBy(*month).orderBy(_DAY)
+    one_day = W.partitionBy(*month, _DAY).orderBy(*(ties or [_DAY])).rowsBetween(*everything)
+    close = F.last("close").over(by_row.rowsBetween(*everything) if full_month else one_day)
+    return bars.withColumns(
+        {
+            "open_monthly": F.first("open").over(by_row),
+            "close_monthly": close,
+            "high_monthly": F.max("high").over(by_day),
+            "low_monthly": F.min("low").over(by_day),
+        }
+    )
+
+
+def _month_by_day(bars: DataFrame, month: list[str], ties: list[str], full_month: bool) -> DataFrame:
+    """The same columns from one row per day, which is at most 31 rows per month, joined back to the bars."""
+    order = F.struct(*(ties or [_DAY]))
+    days = bars.groupBy(*month, _DAY).agg(
+        F.min_by("open", order).alias("_open"),
+        F.max_by("close", order).alias("_close"),
+        F.max("high").alias("_high"),
+        F.min("low").alias("_low"),
+    )
+    so_far = W.partitionBy(*month).orderBy(_DAY)
+    whole = so_far.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    per_day = days.select(
+        F.col("symbol").alias("_symbol"),
+        F.col(_DAY).alias("_month_day"),
+        F.first("_open").over(so_far).alias("open_monthly"),
+        F.last("_close").over(whole if full_month else so_far).alias("close_monthly"),
+        F.max("_high").over(so_far).alias("high_monthly"),
+        F.min("_low").over(so_far).alias("low_monthly"),
     )
+    same_day = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col(_DAY).eqNullSafe(F.col("_month_day"))
+    # at most 31 rows for each of at most MAX_HOT_GROUPS months
+    return bars.join(F.broadcast(per_day), same_day).drop("_symbol", "_month_day")
 
 
 def ordered_by_day(df: DataFrame, date_col: str = "generated_date") -> DataFrame:

@@ -21,7 +21,7 @@ from barsieve.functions.predicates import (
 )
 from barsieve.operators.duplicates import mark_surplus
 from barsieve.operators.skew import HOT_GROUP_ROWS
-from barsieve.schemas import REPORT_COLUMNS, REPORT_SCHEMA
+from barsieve.schemas import REPORT_COLUMNS
 
 # Names of the checks in the report, and the text that stands for a whole column.
 NULL_KEY = "Primary Key - Null Data Validation"
@@ -70,10 +70,10 @@ class CheckResult:
     passed_strict: DataFrame
 
 
-def type_rule(spec: ColumnSpec, keys: list[str]) -> Rule:
+def type_rule(spec: ColumnSpec, keys: list[str], text: Column | None = None) -> Rule:
     """The check of the text form that the declared type asks for."""
     value = F.col(spec.name).cast("string")
-    text = _short_text(spec, keys)
+    text = _short_text(spec, keys) if text is None else text
     if spec.type_check == "date":
         if spec.date_pattern is None:
             return Rule(NEW_DATE_FORMAT, spec.name)
@@ -85,11 +85,11 @@ def type_rule(spec: ColumnSpec, keys: list[str]) -> Rule:
     return Rule(DATA_TYPE.format(declared=spec.declared), spec.name, breaks, text)
 
 
-def length_rule(spec: ColumnSpec, keys: list[str]) -> Rule | None:
+def length_rule(spec: ColumnSpec, keys: list[str], text: Column | None = None) -> Rule | None:
     """The check of the declared length or precision; None where the type declares neither."""
     kind = DATA_LENGTH.format(declared=spec.declared)
     value = F.col(spec.name).cast("string")
-    text = _short_text(spec, keys)
+    text = _short_text(spec, keys) if text is None else text
     if spec.length_check == UNSUPPORTED:
         return Rule(kind, spec.name)
     if spec.length_check == "decimal":
@@ -103,7 +103,10 @@ def length_rule(spec: ColumnSpec, keys: list[str]) -> Rule | None:
 
 def column_rules(specs: list[ColumnSpec], keys: list[str]) -> list[Rule]:
     """Length and type check of every column, in column order."""
-    rules = [r for s in specs for r in (length_rule(s, keys), type_rule(s, keys))]
+    rules = []
+    for spec in specs:
+        text = _short_text(spec, keys)
+        rules += [length_rule(spec, keys, text), type_rule(spec, keys, text)]
     return [r for r in rules if r is not None]
 
 
@@ -113,9 +116,9 @@ def rule_failures(df: DataFrame, rules: list[Rule], labels: Labels) -> DataFrame
     Rows that break nothing are filtered out before any report text is built.
     """
     by_row = [r for r in rules if r.breaks is not None]
-    constant = _constant_failures(df.sparkSession, [r for r in rules if r.breaks is None], labels)
+    whole_column = [r for r in rules if r.breaks is None]
     if not by_row:
-        return constant
+        return _column_failures(df.sparkSession, whole_column, labels)
     found = F.array(
         *[
             F.when(r.breaks, F.struct(F.lit(r.kind).alias("_kind"), F.lit(r.column).alias("_column"), r.text.alias("_text")))
@@ -124,7 +127,9 @@ def rule_failures(df: DataFrame, rules: list[Rule], labels: Labels) -> DataFrame
     )
     failures = df.where(any_broken(by_row)).select(F.inline(found)).where(F.col("_kind").isNotNull())
     report = _report(failures, F.col("_kind"), F.col("_column"), F.col("_text"), labels)
-    return report.unionByName(constant)
+    if not whole_column:
+        return report
+    return report.unionByName(_column_failures(df.sparkSession, whole_column, labels))
 
 
 def any_broken(rules: list[Rule]) -> Column:
@@ -195,11 +200,13 @@ def _report(rows: DataFrame, kind: Column, column: Column, text: Column, labels:
     return rows.select(*[v.alias(n) for v, n in zip(values, REPORT_COLUMNS)])
 
 
-def _constant_failures(spark: SparkSession, rules: list[Rule], labels: Labels) -> DataFrame:
-    rows = [
-        (r.kind, labels.source, labels.target, labels.key_text, r.column, ALL_RECORDS) for r in rules
-    ]
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+def _column_failures(spark: SparkSession, rules: list[Rule], labels: Labels) -> DataFrame:
+    """One report row for each check that cannot be made."""
+    rows = F.array(
+        *[F.struct(F.lit(r.kind).alias("_kind"), F.lit(r.column).alias("_column")) for r in rules]
+    )
+    listed = spark.range(1).select(F.inline(rows)) if rules else spark.createDataFrame([], "_kind string, _column string")
+    return _report(listed, F.col("_kind"), F.col("_column"), F.lit(ALL_RECORDS), labels)
 
 
 def _require_columns(df: DataFrame, specs: list[ColumnSpec]) -> None:

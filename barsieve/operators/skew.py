@@ -33,6 +33,7 @@ def hot_groups(df: DataFrame, group: Column, min_rows: int | None = HOT_GROUP_RO
         df.select(group.alias("_group"))
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_MERGERS)).alias("_merger"))
         .agg(F.expr(f"approx_top_k_accumulate(_group, {_SKETCH_ITEMS})").alias("_sketch"))
+        .groupBy(F.lit(0).alias("_all"))  # grouped, so that no rows give no sketch instead of an error
         .agg(F.expr(f"approx_top_k_combine(_sketch, {_SKETCH_ITEMS})").alias("_sketch"))
         .select(F.expr(f"approx_top_k_estimate(_sketch, {MAX_HOT_GROUPS})").alias("_top"))
         .select(F.inline("_top"))

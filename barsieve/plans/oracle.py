@@ -376,6 +376,7 @@ def all_sql() -> dict[str, str]:
         + "select event_id, symbol, try_cast(px as double) as px, "
         "cast(try_strptime(d, '%d-%b-%Y') as date) as d from keyed",
         "silver_bars": _with(BARS) + f"select {BAR_COLUMNS} from bars",
+        "quality_job": _with(BARS) + f"select {BAR_COLUMNS} from bars",
         "bhav_unzip": _with(BARS) + f"select {staged}, generated_date, totaltrades, isin from bars",
         "bhav_stage_csv": _with(BARS) + f"select {staged}, generated_date, totaltrades, isin from bars",
         "metadata_spec": _with(METADATA)

@@ -26,7 +26,8 @@ from barsieve.operators.quality import (
 from barsieve.operators.reconcile import row_counts
 from barsieve.operators.silver import project_bars, typed, typed_bars
 from barsieve.plans import views
-from barsieve.schemas import SNAPSHOT_SCHEMA, strings
+from barsieve.plans.datasets import Dataset, run_listed
+from barsieve.schemas import SNAPSHOT_SCHEMA, STAGED_BAR_COLUMNS, strings
 from barsieve.scratch import scratch_path
 from barsieve.sources.archives import list_archives, scan_staged_entries, stage_entries, unzip_rows
 from barsieve.sources.csv import scan_csv
@@ -86,18 +87,19 @@ def _dirty_labels() -> Labels:
 
 
 def gold_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordered_by_day(monthly_bars(views.bars(spark, sf_dir)))
+    # the bars are grouped to one per symbol, series and day, so no month has more than 31 rows
+    return ordered_by_day(monthly_bars(views.bars(spark, sf_dir), hot_group_rows=None))
 
 
 def gold_month_close_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_bars(views.bars(spark, sf_dir), full_month=True)
+    return monthly_bars(views.bars(spark, sf_dir), full_month=True, hot_group_rows=None)
 
 
 def gold_returns_null_on_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The variant over all series, with a date column of another name and null over a zero close."""
     renamed = views.bars(spark, sf_dir).withColumnRenamed("generated_date", "timestamp")
     per_series = renamed.withColumn("symbol", F.concat_ws("-", "symbol", "series"))
-    return monthly_bars(per_series, date_col="timestamp", series=None, on_zero="null")
+    return monthly_bars(per_series, date_col="timestamp", series=None, on_zero="null", hot_group_rows=None)
 
 
 def gold_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,6 +379,44 @@ def incremental_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out/failed").drop("batch")
 
 
+BAR_METADATA = [
+    ("SYMBOL", "VARCHAR(20)", None, True, True),
+    ("SERIES", "VARCHAR(2)", None, True, True),
+    ("OPEN", "DECIMAL(12,2)", None, False, True),
+    ("HIGH", "DECIMAL(12,2)", None, False, True),
+    ("LOW", "DECIMAL(12,2)", None, False, True),
+    ("CLOSE", "DECIMAL(12,2)", None, False, True),
+    ("LAST", "DECIMAL(12,2)", None, False, True),
+    ("PREVCLOSE", "DECIMAL(12,2)", None, False, False),
+    ("TOTTRDQTY", "BIGINT", None, False, True),
+    ("TOTTRDVAL", "DECIMAL(14,2)", None, False, True),
+    ("generated_date", "DATE", "'DD-MON-YYYY'", True, True),
+    ("TOTALTRADES", "BIGINT", None, False, True),
+    ("ISIN", "VARCHAR(12)", None, False, True),
+]
+
+
+def quality_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged bars and their metadata file, run as the job runs them; the passed table, typed."""
+    root = scratch_path(spark, "job")
+    staged = views.staged_bars(spark, sf_dir).drop("trade_date")
+    overwrite(staged, fmt="csv", path=f"{root}/data", header="true")
+    overwrite(views.metadata_frame(spark, BAR_METADATA), fmt="csv", path=f"{root}/metadata/bars.csv", header="true")
+    dataset = Dataset(
+        name="bars",
+        metadata_file="bars.csv",
+        read=lambda session: project_bars(scan_csv(session, f"{root}/data", STAGED_BAR_COLUMNS)),
+        source_name="staged bars",
+        target_name="bars",
+        failed={"fmt": "parquet", "path": f"{root}/failed"},
+        passed={"fmt": "parquet", "path": f"{root}/passed"},
+    )
+    outcome = run_listed(spark, [f"{root}/metadata/other.csv", f"{root}/metadata/bars.csv"], [dataset])
+    if outcome != {"bars": None}:
+        raise RuntimeError(f"quality job failed: {outcome}")
+    return typed_bars(read_table(spark, fmt="parquet", path=f"{root}/passed"))
+
+
 def _check_rules() -> dict[str, Query]:
     date = "'DD-MON-YYYY'"
     return {
@@ -447,5 +487,6 @@ def all_queries() -> dict[str, Query]:
         sink_roundtrip,
         incremental_ingest,
         incremental_check,
+        quality_job,
     ]
     return {q.__name__: q for q in named} | _check_rules()

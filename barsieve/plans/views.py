@@ -20,8 +20,19 @@ from barsieve.schemas import BARS_SCHEMA, METADATA_COLUMNS, SNAPSHOT_FIELDS, STA
 register_pickle_by_value(sys.modules[__name__])
 
 
+# the tables used here; a given schema saves the job that would read it from a file
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,14 +163,16 @@ def part_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metadata_frame(spark: SparkSession, rows: list[tuple[str, str, str | None, bool, bool]]) -> DataFrame:
     """Metadata for a handful of columns: (name, declared type, quoted date format, key, mandatory)."""
-    blank = dict.fromkeys(METADATA_COLUMNS)
-    records = [
-        {**blank, "sl no": str(i), "column_name": name, "data_type": declared, "date_format": fmt,
-         "primary_key": "Y" if key else "N", "mandatory_flag": "Y" if mandatory else "N"}
-        for i, (name, declared, fmt, key, mandatory) in enumerate(rows)
-    ]
-    schema = ", ".join(f"`{c}` string" for c in METADATA_COLUMNS)
-    return spark.createDataFrame([tuple(r[c] for c in METADATA_COLUMNS) for r in records], schema)
+    values = {
+        "sl no": [str(i) for i in range(len(rows))],
+        "column_name": [r[0] for r in rows],
+        "data_type": [r[1] for r in rows],
+        "date_format": [r[2] for r in rows],
+        "primary_key": ["Y" if r[3] else "N" for r in rows],
+        "mandatory_flag": ["Y" if r[4] else "N" for r in rows],
+    }
+    empty = [None] * len(rows)
+    return spark.createDataFrame(pa.table({c: pa.array(values.get(c, empty), pa.string()) for c in METADATA_COLUMNS}))
 
 
 # -- snapshot files ----------------------------------------------------------------------------------
@@ -225,36 +238,37 @@ def staged_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_archives(rows: DataFrame, path: str) -> None:
-    """One zip archive per trading day with one CSV entry named like it; a day has at most 50 bars.
+    """One zip archive per year with one CSV entry per month; a month has at most 31 days of 50 bars.
 
-    The archive ends in a one-byte comment, the line feed that the text writer puts after each value.
+    An archive ends in a one-byte comment, the line feed that the text writer puts after each value.
     """
     header = ",".join(STAGED_BAR_COLUMNS)
     line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in STAGED_BAR_COLUMNS])
-    entries = rows.groupBy("trade_date").agg(
+    month = F.trunc("trade_date", "month")
+    entries = rows.groupBy(month.alias("month")).agg(
         F.concat_ws("\n", F.lit(header), F.sort_array(F.collect_list(line)), F.lit("")).alias("text")
     )
-    named = entries.select(
-        F.regexp_replace(archive_name(F.col("trade_date")), r"\.zip$", "").alias("entry"), "text"
+    entry = F.regexp_replace(archive_name(F.col("month")), r"\.zip$", "")
+    archives = entries.groupBy(archive_name(F.trunc("month", "year")).alias("archive")).agg(
+        F.sort_array(F.collect_list(F.struct(entry.alias("entry"), "text"))).alias("entries")
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [_zip(e.as_py(), t.as_py()) for e, t in zip(batch.column("entry"), batch.column("text"))]
+            packed = [_zip(entries) for entries in batch.column("entries").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("entry"), pa.array(packed, pa.binary())], names=["entry", "content"]
+                [batch.column("archive"), pa.array(packed, pa.binary())], names=["archive", "content"]
             )
 
-    archives = named.mapInArrow(pack, "entry string, content binary")
-    ready = archives.select(
-        F.concat("entry", F.lit(".zip")).alias("archive"), F.col("content").cast("string").alias("value")
-    )
+    content = archives.mapInArrow(pack, "archive string, content binary")
+    ready = content.select("archive", F.col("content").cast("string").alias("value"))
     ready.write.mode("overwrite").partitionBy("archive").text(path)
 
 
-def _zip(entry: str, text: str) -> bytes:
+def _zip(entries: list[dict[str, str]]) -> bytes:
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-        archive.writestr(entry, text)
+        for entry in entries:
+            archive.writestr(entry["entry"], entry["text"])
         archive.comment = b"\n"
     return buffer.getvalue()[:-1]
