@@ -27,7 +27,10 @@ _UNREADABLE = (OSError, EOFError, zlib.error)
 
 
 def list_files(spark: SparkSession, path: str, name_filter: str = "*.mkt.gz*") -> DataFrame:
-    """Path, trade date and size of the files whose name matches; the files are not opened."""
+    """Path, trade date and size of the files whose name matches; the files are not opened.
+
+    Spark leaves files of zero bytes out of a scan, so they are not listed either.
+    """
     files = _files(spark, path, name_filter).select("path", "length")
     return files.select("path", day_in_path(F.col("path")).alias("trade_date"), "length")
 

@@ -1,0 +1,97 @@
+import gzip
+import struct
+
+import pytest
+
+from barsieve.plans import views
+from barsieve.schemas import SNAPSHOT_FIELDS, SNAPSHOT_SCHEMA
+from barsieve.sources import snapshots
+from barsieve.sources.snapshots import decode_snapshots, list_files, read_snapshots, unreadable_files
+from barsieve.sources.tables import stage_csv
+from tests.conftest import rows
+
+LIMITS = [2 ** (8 * size) - 1 for _, size in SNAPSHOT_FIELDS]
+
+
+def _pack(values):
+    body = b"".join(v.to_bytes(size, "little") for v, (_, size) in zip(values, SNAPSHOT_FIELDS))
+    return body + struct.pack("<I", 12345) + b"\xff" * 16
+
+
+def _record(i):
+    return [i % 65536, i, 78, i % 7, *range(i, i + 12)]
+
+
+def _write(folder, name, data):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_bytes(data)
+
+
+@pytest.fixture
+def staged(tmp_path):
+    """Two days: whole records, a short tail, the largest values, no records, a file of another kind."""
+    first, second = tmp_path / "August282023", tmp_path / "August292023"
+    _write(first, "1.mkt.gz", gzip.compress(b"".join(_pack(_record(i)) for i in range(5))))
+    _write(first, "2.mkt.gz", gzip.compress(_pack(LIMITS) + _pack(_record(9))[:40]))
+    _write(first, "3.mkt.gz", gzip.compress(b""))
+    _write(first, "4.mkt.gz", b"")
+    _write(first, "notes.txt.gz", gzip.compress(b"x" * 780))
+    two_members = gzip.compress(_pack(_record(100))) + gzip.compress(_pack(_record(101)))
+    _write(second, "1.mkt.gz", two_members)
+    return tmp_path
+
+
+def test_decode(spark, staged):
+    df = read_snapshots(spark, str(staged))
+    assert df.schema.names == [*SNAPSHOT_SCHEMA.names, "trade_date", "source_file"]
+    got = sorted((str(r["trade_date"]), r["source_file"], *tuple(r)[:16]) for r in df.collect())
+    want = [("2023-08-28", "1.mkt.gz", *_record(i)) for i in range(5)]
+    want.append(("2023-08-28", "2.mkt.gz", *LIMITS))
+    want += [("2023-08-29", "1.mkt.gz", *_record(i)) for i in (100, 101)]
+    assert got == sorted(want)
+
+
+def test_blocks_of_records(spark, staged, monkeypatch):
+    whole = rows(read_snapshots(spark, str(staged)))
+    monkeypatch.setattr(snapshots, "RECORDS_PER_BATCH", 2)
+    assert rows(read_snapshots(spark, str(staged))) == whole
+
+
+def test_listing(spark, staged):
+    got = [(str(r["trade_date"]), r["path"].rsplit("/", 1)[-1]) for r in list_files(spark, str(staged)).collect()]
+    # 4.mkt.gz has zero bytes
+    assert sorted(got) == [("2023-08-28", f"{i}.mkt.gz") for i in range(1, 4)] + [("2023-08-29", "1.mkt.gz")]
+
+
+def test_unreadable_files(spark, staged):
+    whole = gzip.compress(b"".join(_pack(_record(i)) for i in range(3000)))
+    _write(staged / "August292023", "cut.mkt.gz", whole[: len(whole) // 2])
+    _write(staged / "August292023", "plain.mkt.gz", b"no gzip at all")
+    with pytest.raises(Exception, match="(?i)gzip|end-of-stream|EOF"):
+        read_snapshots(spark, str(staged)).count()
+    assert read_snapshots(spark, str(staged), on_unreadable="skip").count() == 8
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(staged))
+    bad = unreadable_files(files.where("path like '%.mkt.gz'")).collect()
+    assert sorted(r["path"].rsplit("/", 1)[-1] for r in bad) == ["cut.mkt.gz", "plain.mkt.gz"]
+    with pytest.raises(ValueError):
+        decode_snapshots(files, "other")
+
+
+def test_staged_as_one_csv_per_file(spark, staged, tmp_path):
+    out = tmp_path / "out"
+    stage_csv(read_snapshots(spark, str(staged)), str(out), "trade_date", "source_file")
+    files = sorted(p.relative_to(out).parent.as_posix() for p in out.rglob("*.csv"))
+    assert files == [
+        "trade_date=2023-08-28/source_file=1.mkt.gz",
+        "trade_date=2023-08-28/source_file=2.mkt.gz",
+        "trade_date=2023-08-29/source_file=1.mkt.gz",
+    ]
+    lines = next(out.glob("trade_date=2023-08-28/source_file=2.mkt.gz/*.csv")).read_text().splitlines()
+    assert lines == [",".join(n for n, _ in SNAPSHOT_FIELDS), ",".join(map(str, LIMITS))]
+
+
+def test_written_files_are_plain_gzip_of_78_byte_records(spark, sf_dir, tmp_path):
+    views.write_snapshot_files(views.snapshot_rows(spark, sf_dir), str(tmp_path / "files"))
+    sizes = [len(gzip.decompress(p.read_bytes())) for p in (tmp_path / "files").rglob("*.gz")]
+    assert sum(sizes) == 78 * views.table(spark, sf_dir, "events").count()
+    assert all(s % 78 == 0 for s in sizes)
