@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,15 +61,6 @@ class Rule:
     text: Column | None = None
 
 
-@dataclass(frozen=True)
-class CheckResult:
-    """Report of all failures, rows without a null key, and rows that break no rule at all."""
-
-    failed: DataFrame
-    passed_null_key: DataFrame
-    passed_strict: DataFrame
-
-
 def type_rule(spec: ColumnSpec, keys: list[str], text: Column | None = None) -> Rule:
     """The check of the text form that the declared type asks for."""
     value = F.col(spec.name).cast("string")
@@ -163,28 +154,86 @@ def date_failures_top(
     return _report(rows, F.lit(rule.kind), F.lit(rule.column), rule.text, labels)
 
 
+class CheckResult:
+    """The outcome of checking a table; each part is built when it is asked for.
+
+    `failed` is the report of all failures, `passed_null_key` the rows without a null key and
+    `passed_strict` the rows that break no rule, one per key.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        specs: list[ColumnSpec],
+        source: str,
+        target: str,
+        hot_group_rows: int | None,
+        date_limit: int | None,
+    ) -> None:
+        self._keys = [s.name for s in specs if s.is_key]
+        self._labels = Labels(source, target, tuple(self._keys))
+        self._rows = df.select(*[s.name for s in specs])
+        self._specs = specs
+        self._hot_group_rows = hot_group_rows
+        self._date_limit = date_limit
+
+    @cached_property
+    def failed(self) -> DataFrame:
+        """One read of the rows for null keys, one for all other rules, with one shuffle by key.
+
+        A limit on date failures adds one ordered top-k per date column.
+        """
+        rules, present = self._rules, self.passed_null_key
+        dates = [s for s in self._specs if s.date_pattern is not None] if self._date_limit is not None else []
+        if dates:
+            limited = {s.name for s in dates}
+            rules = [r for r in rules if not (r.kind == DATE_FORMAT and r.column in limited)]
+        if self._keys:
+            others = rule_failures(self._marked, [_duplicate_rule(self._rows.columns, self._labels), *rules], self._labels)
+            report = null_key_failures(self._rows, self._labels).unionByName(others)
+        else:
+            report = rule_failures(self._rows, rules, self._labels)
+        for spec in dates:
+            report = report.unionByName(date_failures_top(present, spec, self._labels, self._date_limit))
+        return report
+
+    @cached_property
+    def passed_null_key(self) -> DataFrame:
+        """A filter on the scan, without a shuffle."""
+        return self._rows.where(all_present(self._keys)) if self._keys else self._rows
+
+    @cached_property
+    def passed_strict(self) -> DataFrame:
+        if not self._keys:
+            return self._rows.where(~any_broken(self._rules))
+        return self._marked.where(~(F.col(_SURPLUS) | any_broken(self._rules))).drop(_SURPLUS)
+
+    @cached_property
+    def _rules(self) -> list[Rule]:
+        return column_rules(self._specs, self._keys)
+
+    @cached_property
+    def _marked(self) -> DataFrame:
+        return mark_surplus(self.passed_null_key, self._keys, _SURPLUS, self._hot_group_rows)
+
+
 def check(
-    df: DataFrame, specs: list[ColumnSpec], source: str, target: str, hot_group_rows: int | None = HOT_GROUP_ROWS
+    df: DataFrame,
+    specs: list[ColumnSpec],
+    source: str,
+    target: str,
+    hot_group_rows: int | None = HOT_GROUP_ROWS,
+    date_limit: int | None = None,
 ) -> CheckResult:
     """Check every column against its spec: null keys, duplicate keys, then length and type per column.
 
-    The report reads the rows once for null keys and once for all other rules, with one shuffle by key.
-    Rules after the null-key check see only rows whose keys are all present.
+    Rules after the null-key check see only rows whose keys are all present. All failures are reported;
+    `date_limit` cuts the report of each date column to its first rows by key.
     """
-    keys = [s.name for s in specs if s.is_key]
-    labels = Labels(source, target, tuple(keys))
-    _require_columns(df, specs)
-    df = df.select(*[s.name for s in specs])
-    rules = column_rules(specs, keys)
-    if not keys:
-        return CheckResult(rule_failures(df, rules, labels), df, df.where(~any_broken(rules)))
-    present = df.where(all_present(keys))
-    marked = mark_surplus(present, keys, _SURPLUS, hot_group_rows)
-    failed = null_key_failures(df, labels).unionByName(
-        rule_failures(marked, [_duplicate_rule(df.columns, labels), *rules], labels)
-    )
-    strict = marked.where(~(F.col(_SURPLUS) | any_broken(rules))).drop(_SURPLUS)
-    return CheckResult(failed, present, strict)
+    missing = [s.name for s in specs if s.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns declared but not in the data: {', '.join(missing)}")
+    return CheckResult(df, specs, source, target, hot_group_rows, date_limit)
 
 
 def _duplicate_rule(columns: list[str], labels: Labels) -> Rule:
@@ -208,8 +257,3 @@ def _column_failures(spark: SparkSession, rules: list[Rule], labels: Labels) ->
     listed = spark.range(1).select(F.inline(rows)) if rules else spark.createDataFrame([], "_kind string, _column string")
     return _report(listed, F.col("_kind"), F.col("_column"), F.lit(ALL_RECORDS), labels)
 
-
-def _require_columns(df: DataFrame, specs: list[ColumnSpec]) -> None:
-    missing = [s.name for s in specs if s.name not in df.columns]
-    if missing:
-        raise ValueError(f"columns declared but not in the data: {', '.join(missing)}")

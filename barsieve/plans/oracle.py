@@ -132,20 +132,22 @@ BROKEN = {
     "d": BAD_DATE,
 }
 
-FAILED_REPORT = _with(DIRTY) + "\nunion all ".join(
-    [
-        NULL_KEY,
-        DUPLICATE_KEY,
-        _branch("DataLength - BIGINT Validation", "event_id", "length(cast(event_id as varchar)) > 19"),
-        _branch("DataType - BIGINT Validation", "event_id", BAD_INTEGER.format(c="cast(event_id as varchar)")),
-        _branch("DataLength - VARCHAR(3) Validation", "symbol", "length(symbol) > 3"),
-        _branch("DataType - VARCHAR(3) Validation", "symbol", BAD_STRING),
-        _branch("DataLength - DECIMAL(5,2) Validation", "px", _bad_precision("px", 5, 2)),
-        _branch("DataType - DECIMAL(5,2) Validation", "px", BAD_DECIMAL),
-        _whole("DataLength - DATE Validation", "d"),
-        _branch("Date Format Validation", "d", BAD_DATE),
-    ]
-)
+REPORT_PARTS = [
+    NULL_KEY,
+    DUPLICATE_KEY,
+    _branch("DataLength - BIGINT Validation", "event_id", "length(cast(event_id as varchar)) > 19"),
+    _branch("DataType - BIGINT Validation", "event_id", BAD_INTEGER.format(c="cast(event_id as varchar)")),
+    _branch("DataLength - VARCHAR(3) Validation", "symbol", "length(symbol) > 3"),
+    _branch("DataType - VARCHAR(3) Validation", "symbol", BAD_STRING),
+    _branch("DataLength - DECIMAL(5,2) Validation", "px", _bad_precision("px", 5, 2)),
+    _branch("DataType - DECIMAL(5,2) Validation", "px", BAD_DECIMAL),
+    _whole("DataLength - DATE Validation", "d"),
+]
+BAD_DATES = _branch("Date Format Validation", "d", BAD_DATE)
+FIRST_BAD_DATES = f"select * from ({BAD_DATES} order by symbol, d, event_id, px nulls first limit 100)"
+
+FAILED_REPORT = _with(DIRTY) + "\nunion all ".join([*REPORT_PARTS, BAD_DATES])
+FAILED_REPORT_DATE_TOP = _with(DIRTY) + "\nunion all ".join([*REPORT_PARTS, FIRST_BAD_DATES])
 
 UNSUPPORTED_REPORT = _with(DIRTY) + "\nunion all ".join(
     [
@@ -347,6 +349,7 @@ def all_sql() -> dict[str, str]:
         "rule_unsupported": UNSUPPORTED_REPORT,
         "failed_report": FAILED_REPORT,
         "failed_report_hot": FAILED_REPORT,
+        "failed_report_date_top100": FAILED_REPORT_DATE_TOP,
         "sink_roundtrip": FAILED_REPORT,
         "incremental_check": FAILED_REPORT,
         "passed_null_key": _with(DIRTY) + "select * from keyed",

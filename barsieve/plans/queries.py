@@ -156,6 +156,11 @@ def failed_report_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _check_dirty(spark, sf_dir, HOT_FOR_TEST).failed
 
 
+def failed_report_date_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
+    specs = _specs(spark, DIRTY_METADATA)
+    return check(views.dirty(spark, sf_dir), specs, SOURCE, TARGET, date_limit=100).failed
+
+
 def passed_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _check_dirty(spark, sf_dir).passed_null_key
 
@@ -456,6 +461,7 @@ def all_queries() -> dict[str, Query]:
         rule_unsupported,
         failed_report,
         failed_report_hot,
+        failed_report_date_top100,
         passed_null_key,
         passed_strict,
         except_all_surplus,
