@@ -254,6 +254,6 @@ def _column_failures(spark: SparkSession, rules: list[Rule], labels: Labels) ->
     rows = F.array(
         *[F.struct(F.lit(r.kind).alias("_kind"), F.lit(r.column).alias("_column")) for r in rules]
     )
-    listed = spark.range(1).select(F.inline(rows)) if rules else spark.createDataFrame([], "_kind string, _column string")
+    listed = spark.range(0, 1, 1, 1).select(F.inline(rows)) if rules else spark.createDataFrame([], "_kind string, _column string")
     return _report(listed, F.col("_kind"), F.col("_column"), F.lit(ALL_RECORDS), labels)
 

@@ -420,6 +420,8 @@ from spine""",
         "ingest_audit": "select cast(ts as date) as trade_date, event_type as source_file, count(*) as n_records, "
         "cast(grouping(cast(ts as date)) * 2 + grouping(event_type) as integer) as total_level "
         "from events group by rollup (cast(ts as date), event_type)",
+        "ingest_audit_files": "select cast(ts as date) as trade_date, count(*) as n_records, "
+        "cast(grouping(cast(ts as date)) * 2 + 1 as integer) as total_level from events group by rollup (cast(ts as date))",
         "files_per_day": "select trade_date, count(*) as n_files, count(*) filter (user_id % 2 = 0) as n_market_files "
         "from (select distinct cast(ts as date) as trade_date, user_id from events) group by 1",
         "reconcile_counts": _with(BARS)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barsieve.functions.days import day_folder
 from barsieve.functions.declared import ColumnSpec, column_specs, key_columns, mandatory_columns, parse_specs
 from barsieve.functions.predicates import all_present
 from barsieve.operators import calendar, profile
@@ -30,7 +31,7 @@ from barsieve.plans.datasets import Dataset, run_listed
 from barsieve.schemas import SNAPSHOT_SCHEMA, STAGED_BAR_COLUMNS, strings
 from barsieve.scratch import scratch_path
 from barsieve.sources.archives import list_archives, scan_staged_entries, stage_entries, unzip_rows
-from barsieve.sources.csv import scan_csv
+from barsieve.sources.csv import scan_csv, with_source_file
 from barsieve.sources.snapshots import read_snapshots
 from barsieve.sources.tables import overwrite, read_table, stage_csv
 from barsieve.streaming.ingest import ingest, ingest_checked, new_files
@@ -263,6 +264,15 @@ def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar.records_per_file(files)
 
 
+def ingest_audit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per day and in all, counted from staged files whose day is known by their folder only."""
+    path = scratch_path(spark, "audit")
+    day = day_folder(F.col("ts"))
+    stage_csv(views.table(spark, sf_dir, "events").select("event_id", "user_id", day.alias("day")), path, "day")
+    staged = with_source_file(scan_csv(spark, path, nested=True))
+    return calendar.records_per_file(staged).where("total_level > 0").drop("source_file")
+
+
 def files_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing with one file per day and user; files of even users are market files."""
     user = F.col("user_id")
@@ -480,6 +490,7 @@ def all_queries() -> dict[str, Query]:
         missing_dates,
         available_dates,
         ingest_audit,
+        ingest_audit_files,
         files_per_day,
         reconcile_counts,
         reconcile_equal,

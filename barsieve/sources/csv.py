@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from barsieve.functions.days import day_in_path, file_in_path
 from barsieve.schemas import METADATA_COLUMNS, strings
 
 
@@ -27,6 +29,12 @@ def scan_csv(
     return reader.csv(f"{path.rstrip('/')}/{'*/' if nested else ''}*.csv")
 
 
+def with_source_file(scan: DataFrame) -> DataFrame:
+    """Add the file each row of a scan comes from, and the trading day that a folder of its path names."""
+    path = F.col("_metadata.file_path")
+    return scan.select("*", file_in_path(path).alias("source_file"), day_in_path(path).alias("trade_date"))
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """A metadata file with its 14 columns under their fixed names, whatever its header says."""
     return spark.read.option("header", True).csv(path).toDF(*METADATA_COLUMNS)

@@ -56,24 +56,26 @@ def decode_snapshots(files: DataFrame, on_unreadable: str = "fail") -> DataFrame
         raise ValueError("on_unreadable must be 'fail' or 'skip'")
     skip = on_unreadable == "skip"
     layout = np.dtype([(n, f"<u{size}") for n, size in SNAPSHOT_FIELDS] + [("unused", "<u4"), ("pad", "V16")])
-    schema = T.StructType([T.StructField("path", T.StringType()), *SNAPSHOT_SCHEMA.fields])
+    origin = [T.StructField("trade_date", T.DateType()), T.StructField("source_file", T.StringType())]
+    schema = T.StructType([*SNAPSHOT_SCHEMA.fields, *origin])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, content in _each_file(batches):
-            if skip and _problem(content) is not None:
-                continue
-            for block in _blocks(content):
-                records = np.frombuffer(block, dtype=layout)
-                columns = [pa.array(records[n].astype(f"i{size * 2}")) for n, size in SNAPSHOT_FIELDS]
-                paths = pa.array([path]).take(pa.array(np.zeros(len(records), dtype="i4")))
-                yield pa.RecordBatch.from_arrays([paths, *columns], names=schema.names)
-
-    rows = files.select("path", "content").mapInArrow(decode, schema)
-    return rows.select(
-        *SNAPSHOT_SCHEMA.names,
-        day_in_path(F.col("path")).alias("trade_date"),
-        file_in_path(F.col("path")).alias("source_file"),
-    )
+        for batch in batches:
+            for row in range(batch.num_rows):
+                content = batch.column("content")[row].as_buffer()
+                if skip and _problem(content) is not None:
+                    continue
+                for block in _blocks(content):
+                    records = np.frombuffer(block, dtype=layout)
+                    columns = [pa.array(records[n].astype(f"i{size * 2}")) for n, size in SNAPSHOT_FIELDS]
+                    same = pa.array(np.full(len(records), row, dtype="i4"))
+                    columns += [batch.column(f.name).take(same) for f in origin]
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    # day and file name are worked out per file, not per record
+    path = F.col("path")
+    named = files.select("content", day_in_path(path).alias("trade_date"), file_in_path(path).alias("source_file"))
+    return named.mapInArrow(decode, schema)
 
 
 def unreadable_files(files: DataFrame) -> DataFrame:
