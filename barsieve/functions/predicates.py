@@ -34,13 +34,12 @@ def breaks_precision(value: Column, precision: int, scale: int) -> Column:
 
     More than one point always breaks the rule.
     """
-    bare = F.length(F.replace(value, F.lit("."), F.lit("")))
-    points = F.length(value) - bare
-    after = F.length(F.substring_index(value, ".", -1))
+    size, point = F.length(value), F.position(F.lit("."), value)
+    second_point = F.position(F.lit("."), value, point + 1)
     return (
         F.when(value.isNull(), False)
-        .when(points == 0, bare > precision)
-        .when(points == 1, (bare > precision) | (after > scale))
+        .when(point == 0, size > precision)
+        .when(second_point == 0, (size - 1 > precision) | (size - point > scale))
         .otherwise(True)
     )
 
@@ -60,5 +59,5 @@ def all_present(keys: list[str]) -> Column:
 
 def row_text(columns: list[str]) -> Column:
     """The named values of a row as text, `{a -> 1, b -> null}`."""
-    pairs = [x for c in columns for x in (F.lit(c), F.col(c).cast("string"))]
-    return F.create_map(*pairs).cast("string")
+    named = [F.concat(F.lit(f"{c} -> "), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in columns]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *named), F.lit("}"))

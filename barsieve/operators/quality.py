@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,30 +103,31 @@ def column_rules(specs: list[ColumnSpec], keys: list[str]) -> list[Rule]:
 
 
 def rule_failures(df: DataFrame, rules: list[Rule], labels: Labels) -> DataFrame:
-    """Report rows of all rules from one scan of the rows, plus one row per check that cannot be made.
-
-    Rows that break nothing are filtered out before any report text is built.
-    """
+    """Report rows of all rules from one scan of the rows, plus one row per check that cannot be made."""
     by_row = [r for r in rules if r.breaks is not None]
     whole_column = [r for r in rules if r.breaks is None]
     if not by_row:
         return _column_failures(df.sparkSession, whole_column, labels)
-    found = F.array(
-        *[
-            F.when(r.breaks, F.struct(F.lit(r.kind).alias("_kind"), F.lit(r.column).alias("_column"), r.text.alias("_text")))
-            for r in by_row
-        ]
-    )
-    failures = df.where(any_broken(by_row)).select(F.inline(found)).where(F.col("_kind").isNotNull())
-    report = _report(failures, F.col("_kind"), F.col("_column"), F.col("_text"), labels)
+    found = broken(by_row, lambda r: F.struct(F.lit(r.kind).alias("_kind"), F.lit(r.column).alias("_column"), r.text.alias("_text")))
+    report = _report(df.select(F.inline(found)), F.col("_kind"), F.col("_column"), F.col("_text"), labels)
     if not whole_column:
         return report
     return report.unionByName(_column_failures(df.sparkSession, whole_column, labels))
 
 
-def any_broken(rules: list[Rule]) -> Column:
-    """True where a row breaks at least one of the rules."""
-    return reduce(lambda a, b: a | b, [r.breaks for r in rules if r.breaks is not None], F.lit(False))
+def broken(rules: list[Rule], value: Callable[[Rule], Column]) -> Column:
+    """An array with the value of each rule that the row breaks; a value is built only for a broken rule.
+
+    The array is one expression evaluated per row, so the generated code does not grow with the rules. As a
+    long condition the rules would make one method too large for the JVM to compile.
+    """
+    return F.array_compact(F.array(*[F.when(r.breaks, value(r)) for r in rules if r.breaks is not None]))
+
+
+def breaks_none(rules: list[Rule]) -> Column:
+    """True where a row breaks none of the rules; one expression as well, for the same reason."""
+    breaks = [r.breaks for r in rules if r.breaks is not None]
+    return ~F.exists(F.array(*breaks), lambda b: b) if breaks else F.lit(True)
 
 
 def null_key_failures(df: DataFrame, labels: Labels) -> DataFrame:
@@ -205,8 +207,8 @@ class CheckResult:
     @cached_property
     def passed_strict(self) -> DataFrame:
         if not self._keys:
-            return self._rows.where(~any_broken(self._rules))
-        return self._marked.where(~(F.col(_SURPLUS) | any_broken(self._rules))).drop(_SURPLUS)
+            return self._rows.where(breaks_none(self._rules))
+        return self._marked.where(~F.col(_SURPLUS) & breaks_none(self._rules)).drop(_SURPLUS)
 
     @cached_property
     def _rules(self) -> list[Rule]:
