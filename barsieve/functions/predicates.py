@@ -34,14 +34,10 @@ def breaks_precision(value: Column, precision: int, scale: int) -> Column:
 
     More than one point always breaks the rule.
     """
-    size, point = F.length(value), F.position(F.lit("."), value)
-    second_point = F.position(F.lit("."), value, point + 1)
-    return (
-        F.when(value.isNull(), False)
-        .when(point == 0, size > precision)
-        .when(second_point == 0, (size - 1 > precision) | (size - point > scale))
-        .otherwise(True)
-    )
+    size = F.length(value)
+    too_many = (size > precision + 1) | ((size == precision + 1) & ~value.contains("."))
+    one_part_or_two = rf"^[^.]*(\.[^.]{{0,{scale}}})?\z"
+    return F.coalesce(too_many | ~value.rlike(one_part_or_two), F.lit(False))
 
 
 def first_null(keys: list[str]) -> Column:
