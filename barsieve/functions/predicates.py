@@ -53,7 +53,12 @@ def all_present(keys: list[str]) -> Column:
     return present
 
 
-def row_text(columns: list[str]) -> Column:
+def named_values(columns: list[str]) -> dict[str, Column]:
+    """`a -> 1` per column; made once where many texts are put together from the same columns."""
+    return {c: F.concat(F.lit(f"{c} -> "), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in columns}
+
+
+def row_text(columns: list[str], named: dict[str, Column] | None = None) -> Column:
     """The named values of a row as text, `{a -> 1, b -> null}`."""
-    named = [F.concat(F.lit(f"{c} -> "), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in columns]
-    return F.concat(F.lit("{"), F.concat_ws(", ", *named), F.lit("}"))
+    named = named_values(columns) if named is None else named
+    return F.concat(F.lit("{"), F.concat_ws(", ", *[named[c] for c in columns]), F.lit("}"))

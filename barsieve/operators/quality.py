@@ -18,6 +18,7 @@ from barsieve.functions.predicates import (
     breaks_pattern,
     breaks_precision,
     first_null,
+    named_values,
     row_text,
 )
 from barsieve.operators.duplicates import mark_surplus
@@ -96,8 +97,9 @@ def length_rule(spec: ColumnSpec, keys: list[str], text: Column | None = None) -
 def column_rules(specs: list[ColumnSpec], keys: list[str]) -> list[Rule]:
     """Length and type check of every column, in column order."""
     rules = []
+    named = named_values([*keys, *[s.name for s in specs if s.name not in keys]])
     for spec in specs:
-        text = _short_text(spec, keys)
+        text = _short_text(spec, keys, named)
         rules += [length_rule(spec, keys, text), type_rule(spec, keys, text)]
     return [r for r in rules if r is not None]
 
@@ -242,8 +244,8 @@ def _duplicate_rule(columns: list[str], labels: Labels) -> Rule:
     return Rule(DUPLICATE_KEY, labels.key_text, F.col(_SURPLUS), row_text(columns))
 
 
-def _short_text(spec: ColumnSpec, keys: list[str]) -> Column:
-    return row_text(keys if spec.name in keys else [*keys, spec.name])
+def _short_text(spec: ColumnSpec, keys: list[str], named: dict[str, Column] | None = None) -> Column:
+    return row_text(keys if spec.name in keys else [*keys, spec.name], named)
 
 
 def _report(rows: DataFrame, kind: Column, column: Column, text: Column, labels: Labels) -> DataFrame:
