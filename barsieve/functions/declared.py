@@ -42,6 +42,12 @@ class ColumnSpec:
     date_pattern: str | None = None
     is_key: bool = False
     mandatory: bool = False
+    position: int = 0
+
+
+def key_names(specs: list[ColumnSpec]) -> list[str]:
+    """The key columns in the order of their metadata rows."""
+    return [s.name for s in sorted(specs, key=lambda s: s.position) if s.is_key]
 
 
 def _has_any(text: Column, words: list[str]) -> Column:
@@ -107,13 +113,17 @@ def mandatory_columns(metadata: DataFrame) -> DataFrame:
 def column_specs(metadata: DataFrame, columns: list[str]) -> list[ColumnSpec]:
     """The specs of the given data columns, in their order.
 
-    Raises ValueError when a data column has no metadata row or several.
+    Raises ValueError when a data column has no metadata row or several, or a key column is not in the data.
     """
-    # one row more than there are columns already shows that some column has several
-    rows = parse_specs(metadata).where(F.col("column_name").isin(columns)).limit(len(columns) + 1).collect()
+    wanted = F.col("column_name").isin(columns) | F.col("is_key")
+    # one row more than there are columns already shows that something is wrong
+    rows = parse_specs(metadata).where(wanted).limit(len(columns) + 1).collect()
     listed = [r["column_name"] for r in rows]
+    absent = [c for c in listed if c not in columns]
+    if absent:
+        raise ValueError(f"key columns declared but not in the data: {', '.join(absent)}")
     wrong = [c for c in columns if listed.count(c) != 1]
     if wrong:
         raise ValueError(f"columns without exactly one metadata row: {', '.join(wrong)}")
-    by_name = {r["column_name"]: r.asDict() for r in rows}
-    return [ColumnSpec(name=c, **{k: v for k, v in by_name[c].items() if k != "column_name"}) for c in columns]
+    settings = {r["column_name"]: r.asDict() | {"position": i} for i, r in enumerate(rows)}
+    return [ColumnSpec(name=c, **{k: v for k, v in settings[c].items() if k != "column_name"}) for c in columns]

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsieve.functions.declared import UNSUPPORTED, ColumnSpec
+from barsieve.functions.declared import UNSUPPORTED, ColumnSpec, key_names
 from barsieve.functions.predicates import (
     TYPE_PATTERNS,
     all_present,
@@ -174,7 +174,7 @@ class CheckResult:
         hot_group_rows: int | None,
         date_limit: int | None,
     ) -> None:
-        self._keys = [s.name for s in specs if s.is_key]
+        self._keys = key_names(specs)
         self._labels = Labels(source, target, tuple(self._keys))
         self._rows = df.select(*[s.name for s in specs])
         self._specs = specs

@@ -1,6 +1,6 @@
 import pytest
 
-from barsieve.functions.declared import column_specs, key_columns, mandatory_columns
+from barsieve.functions.declared import column_specs, key_columns, key_names, mandatory_columns
 from barsieve.plans.views import metadata_frame
 
 # declared type -> (type check, length check, max length, precision, scale)
@@ -70,3 +70,17 @@ def test_missing_or_repeated_metadata_is_an_error(spark):
         column_specs(metadata, ["a", "c"])
     with pytest.raises(ValueError, match="a"):
         column_specs(metadata.unionByName(metadata), ["a"])
+
+
+def test_key_that_is_not_in_the_data_is_an_error(spark):
+    metadata = metadata_frame(spark, [("a", "INT", None, True, False), ("b", "INT", None, False, True)])
+    assert [s.name for s in column_specs(metadata, ["a"])] == ["a"]
+    with pytest.raises(ValueError, match="key columns .* a"):
+        column_specs(metadata, ["b"])
+
+
+def test_keys_keep_the_order_of_the_metadata(spark):
+    metadata = metadata_frame(spark, [(c, "INT", None, c != "b", False) for c in "cba"])
+    specs = column_specs(metadata, ["a", "b", "c"])
+    assert [s.name for s in specs] == ["a", "b", "c"]
+    assert key_names(specs) == ["c", "a"]

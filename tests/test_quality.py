@@ -149,3 +149,12 @@ def test_null_keys_are_reported_once(spark):
     got = null_key_failures(df, Labels("s", "t", ("y", "x")))
     assert sorted(r[4] for r in got.collect()) == ["x", "y", "y"]
     assert got.where(F.col("Primary Key Field(s)") == "y, x").count() == 3
+
+
+def test_key_order_comes_from_the_metadata(spark):
+    df = spark.createDataFrame([(None, None, "1"), ("a", "b", "x")], "p string, q string, n string")
+    metadata = views.metadata_frame(
+        spark, [("q", "CHAR(1)", None, True, True), ("n", "INT", None, False, False), ("p", "CHAR(1)", None, True, True)]
+    )
+    got = sorted(tuple(r)[3:] for r in check(df, column_specs(metadata, df.columns), "s", "t").failed.collect())
+    assert got == [("q, p", "n", "{q -> b, p -> a, n -> x}"), ("q, p", "q", "{p -> null, q -> null, n -> 1}")]
