@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from barsieve.functions.declared import ColumnSpec
 from barsieve.operators.quality import check
+from barsieve.operators.skew import HOT_GROUP_ROWS
 
 
 def new_files(
@@ -46,6 +47,7 @@ def ingest_checked(
     folder: str,
     checkpoint: str,
     project: Callable[[DataFrame], DataFrame] = lambda df: df,
+    hot_group_rows: int | None = HOT_GROUP_ROWS,
 ) -> None:
     """Check every batch of new files; failures and passed rows go to `failed/` and `passed/` in the folder.
 
@@ -54,7 +56,7 @@ def ingest_checked(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        result = check(project(batch), specs, source_name, target_name)
+        result = check(project(batch), specs, source_name, target_name, hot_group_rows)
         result.failed.write.mode("overwrite").parquet(f"{folder}/failed/batch={batch_id}")
         result.passed_null_key.write.mode("overwrite").parquet(f"{folder}/passed/batch={batch_id}")
 

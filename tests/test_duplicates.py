@@ -105,3 +105,14 @@ def test_hot_groups(spark):
 def test_hot_groups_are_bounded(spark):
     df = spark.range(20_000).select((F.col("id") % 5000).alias("k"))
     assert len(hot_groups(df, group_hash("k"), 1)) <= 1000
+
+
+def test_rows_of_a_hot_key_go_through_no_window(spark, capsys):
+    df, _ = _skewed(spark, 3)
+    mark_surplus(df, ["k"], hot_group_rows=100).explain()
+    plan = capsys.readouterr().out
+    branches = plan.split("Union", 1)[1]
+    window = branches.split("Window [row_number()", 1)[1]
+    assert plan.count("Window [row_number()") == 1
+    # the one window reads what is left after the hot keys are taken out
+    assert "NOT (xxhash64" in window or "NOT xxhash64" in window
