@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from barsieve.plans.oracle import all_sql
+from barsieve.plans.queries import all_queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -28,13 +30,15 @@ def sql(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(entry_points.queries())
+    assert set(all_sql()) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_sql(spark, sql, sf_dir, name):
-    df = entry_points.queries()[name](spark, sf_dir)
-    cursor = sql.execute(entry_points.oracle_sql()[name])
+    df = all_queries()[name](spark, sf_dir)
+    cursor = sql.execute(all_sql()[name])
     names = [d[0] for d in cursor.description]
     types = {d[0]: str(d[1]) for d in cursor.description}
     order = sorted(df.columns)
