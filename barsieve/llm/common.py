@@ -57,6 +57,10 @@ def text_blocks(
             done, start = int(ends[stop - 1]), stop
 
 
+def _as_arrow(values: object, kind: pa.DataType) -> pa.Array:
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, type=kind)
+
+
 def add_columns(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], dict[str, object]],
@@ -79,7 +83,7 @@ def add_columns(
         for block in text_blocks(batches, column):
             made = function(block)
             columns = [block.column(n).cast(arrow.field(n).type) for n in names]
-            columns += [pa.array(made[f.name], type=arrow.field(f.name).type) for f in extra]
+            columns += [_as_arrow(made[f.name], arrow.field(f.name).type) for f in extra]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     used = df.select([c for c in df.columns if c in names or c == column])
@@ -99,6 +103,6 @@ def map_blocks(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, column):
             made = function(block)
-            yield pa.RecordBatch.from_arrays([pa.array(made[f.name], type=f.type) for f in arrow], schema=arrow)
+            yield pa.RecordBatch.from_arrays([_as_arrow(made[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, out)

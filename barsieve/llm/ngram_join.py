@@ -1,0 +1,261 @@
+"""N-gram Jaccard join: documents whose sets of five-word shingles have a similarity of 0.75 or more.
+
+A text is lower-cased (A-Z), cut at ASCII white space, and stands for its set of distinct shingles of `WORDS` words,
+or of its whole sequence if it has fewer. A null or empty text, or one of white space, has no shingles, links with
+nothing and is its own component. Documents with equal sets are one class; classes are compared, and links between
+classes make the components. Rows with a null doc_id link with nothing and have a null component; doc_ids are taken
+to be unique, and rows that share one may be taken for one document. Other columns are not read.
+
+Classes meet in tiles. A tile is a band of set sizes, each a third wider than the last, and the hash of `ROWS`
+smallest values of the set under random orders; a class enters `TILES` tiles in its own band and in the next, so
+any two sets whose sizes allow the similarity share a band. Two sets of similarity s share no tile with probability
+(1 - s**ROWS)**TILES: below 8e-8 at 0.75, below 3e-9 at 0.8. Equal sets do not depend on it. Within a tile,
+
+1. every class meets the tile's smallest class id; pairs are verified and make first components;
+2. where a tile still holds several components, the classes of different components meet, in blocks.
+
+So the pairs of a large group of copies are never listed: once a group is one component, nothing is left to compare.
+A pair is verified by its sizes, then by hashed bitmaps (bits that one set has alone bound the overlap from above),
+then by the exact intersection of the sorted hashes.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from barsieve.llm.common import add_columns, map_blocks, staged
+from barsieve.llm.components import components
+from barsieve.llm.textblocks import U64, TextBlock, distinct_in_rows, folded, mix, windows
+
+WORDS = 5
+#: Similarity to link, as a fraction.
+OVER, UNDER = 75, 100
+ROWS, TILES = 3, 30
+#: Classes of a tile that one task compares with as many others.
+BLOCK = 1024
+#: Bits in a bitmap, at most.
+MOST_BITS = 1 << 17
+
+
+def shingles(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of each text, and the cuts by text."""
+    block = TextBlock(texts, lower=True)
+    hashes, cuts = windows(block.word_hashes, block.words.bounds, words)
+    counts = block.words.counts
+    short = np.flatnonzero((counts > 0) & (counts < words))
+    if len(short):
+        whole = folded(block.word_hashes, block.words.bounds)[short]
+        hashes = np.insert(hashes, cuts[short], whole)
+        cuts = cuts + np.concatenate([[0], np.cumsum((counts > 0) & (counts < words))])
+    return distinct_in_rows(hashes, cuts)
+
+
+def _orders() -> np.ndarray:
+    return mix(np.arange(1, ROWS * TILES + 1, dtype=U64) * U64(0xC2B2AE3D27D4EB4F)) | U64(1)
+
+
+def _band(sizes: np.ndarray) -> np.ndarray:
+    """Sizes whose ratio allows a link are in one band or in two that follow each other."""
+    return np.floor(np.log(np.maximum(sizes, 1)) / np.log(UNDER / OVER) + 1e-9).astype(np.int64)
+
+
+def tile_keys(hashes: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """For each set that is not empty, its tiles: TILES in its size band, then as many in the next."""
+    starts = cuts[:-1][np.diff(cuts) > 0]
+    keys = np.zeros((TILES, len(starts)), dtype=U64)
+    if not len(starts):
+        return keys.T
+    for k, order in enumerate(_orders()):
+        keys[k // ROWS] = mix(keys[k // ROWS] + np.minimum.reduceat(hashes * order, starts) + U64(k + 1))
+    band = _band(np.diff(cuts)[np.diff(cuts) > 0]).astype(U64)
+    return np.vstack([mix(keys ^ mix(band + U64(1000) + U64(up))) for up in (0, 1)]).T
+
+
+def bitmap(hashes: np.ndarray) -> bytes:
+    """A power of two of bits, four for each hash or more, with the bits set that the hashes name."""
+    bits = min(MOST_BITS, max(64, 1 << int(4 * len(hashes) - 1).bit_length())) if len(hashes) else 64
+    flags = np.zeros(bits, dtype=np.uint8)
+    flags[hashes & U64(bits - 1)] = 1
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def _as_words(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=U64)
+
+
+def overlap_bound(n: int, x: np.ndarray, m: int, y: np.ndarray) -> int:
+    """An upper bound of the overlap of sets of n and m hashes with bitmaps x and y; the larger one is folded."""
+    while len(x) > len(y):
+        x = x[: len(x) // 2] | x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] | y[len(y) // 2 :]
+    return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+
+
+def linked(overlap: int, n: int, m: int) -> bool:
+    return UNDER * overlap >= OVER * (n + m - overlap)
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """For each document: set size, 128 bits that stand for the set, tiles and bitmap."""
+
+    def make(block: pa.RecordBatch) -> dict[str, object]:
+        hashes, cuts = shingles(block.column("text"))
+        sizes = np.diff(cuts)
+        keys = tile_keys(hashes, cuts).view(np.int64)
+        ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, 2 * TILES, 0))]).astype(np.int32)
+        return {
+            "n_shingles": sizes,
+            "f1": folded(hashes, cuts).view(np.int64),
+            "f2": folded(mix(hashes + U64(77)), cuts).view(np.int64),
+            "tiles": pa.ListArray.from_arrays(ends, keys.ravel()),
+            "bits": [bitmap(hashes[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
+        }
+
+    added = "n_shingles long, f1 long, f2 long, tiles array<long>, bits binary"
+    return add_columns(docs.select("doc_id", "text"), make, added, ["doc_id"])
+
+
+def _within(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
+    """The pairs with columns of both of their classes, as `<column>_a` and `<column>_b`."""
+    for end in ("a", "b"):
+        side = table.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
+        pairs = pairs.join(side, end)
+    return pairs
+
+
+def _bounded(rows: DataFrame) -> DataFrame:
+    """Pairs that their bitmaps allow to link."""
+
+    def run(batches):
+        for batch in batches:
+            d = batch.to_pydict()
+            keep = [
+                linked(overlap_bound(n, _as_words(x), m, _as_words(y)), n, m)
+                for n, m, x, y in zip(d["n_a"], d["n_b"], d["bits_a"], d["bits_b"], strict=True)
+            ]
+            yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(keep, type=pa.bool_()))
+
+    return rows.mapInArrow(run, "a long, b long, n_a long, n_b long")
+
+
+def _exact(rows: DataFrame) -> DataFrame:
+    """Pairs whose sorted hashes intersect enough."""
+
+    def run(batches):
+        for batch in batches:
+            d = batch.to_pydict()
+            keep = []
+            for x, y in zip(d["hashes_a"], d["hashes_b"], strict=True):
+                u, v = _as_words(x), _as_words(y)
+                keep.append(linked(len(np.intersect1d(u, v, assume_unique=True)), len(u), len(v)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, bounded: bool) -> DataFrame:
+    """The pairs (`a`, `b`) that link. `bounded`: their bitmaps have been compared."""
+    if not bounded:
+        sized = _within(pairs, classes.withColumnRenamed("n_shingles", "n"), ["n", "bits"])
+        sized = sized.where(UNDER * F.least("n_a", "n_b") >= OVER * F.greatest("n_a", "n_b"))
+        pairs = staged(_bounded(sized).select("a", "b"), "bounded")
+    ends = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
+
+    def make(block: pa.RecordBatch) -> dict[str, object]:
+        hashes, cuts = shingles(block.column("text"))
+        nodes = block.column("doc_id").to_pylist()
+        return {"node": nodes, "hashes": [hashes[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]}
+
+    sets = staged(map_blocks(docs.select("doc_id", "text").join(ends, "doc_id"), make, "node long, hashes binary"), "sets")
+    return staged(_exact(_within(pairs, sets, ["hashes"])), "links")
+
+
+def _block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of a tile's two blocks, of different components, that sizes and bitmaps allow to link."""
+    i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
+    rows = rows.drop_duplicates(["node"])
+    left, right = rows[rows["own"] == i], rows[rows["own"] == j]
+    out: list[tuple[int, int]] = []
+    n_right, comp = right["n"].to_numpy(), right["component"].to_numpy()
+    nodes, bits = right["node"].to_numpy(), [_as_words(b) for b in right["bits"]]
+    for node, n, component, raw in left[["node", "n", "component", "bits"]].itertuples(index=False):
+        x = _as_words(raw)
+        near = (comp != component) & (UNDER * np.minimum(n, n_right) >= OVER * np.maximum(n, n_right))
+        if i == j:
+            near &= nodes > node
+        for k in np.flatnonzero(near):
+            if linked(overlap_bound(int(n), x, int(n_right[k]), bits[k]), int(n), int(n_right[k])):
+                out.append((min(node, nodes[k]), max(node, nodes[k])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def _across(entries: DataFrame, classes: DataFrame, first: DataFrame) -> DataFrame:
+    """Pairs to verify of the classes that share a tile but not a component."""
+    known = first.withColumnRenamed("node", "_n")
+    held = entries.join(known, F.col("node") == F.col("_n"), "left")
+    held = held.select("tile", "node", F.coalesce("component", "node").alias("component"))
+    mixed = (
+        held.groupBy("tile")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"))
+        .where("lo <> hi and m > 2")
+        .select("tile", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = held.join(mixed, "tile").withColumn("own", own)
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")),
+    )
+    rows = rows.select("tile", "node", "component", "own", F.explode(meets).alias("at"))
+    wide = rows.join(classes.select("node", F.col("n_shingles").alias("n"), "bits"), "node")
+    flat = wide.select("tile", "at.i", "at.j", "own", "node", "component", "n", "bits")
+    return staged(flat.groupBy("tile", "i", "j").applyInPandas(_block_pairs, "a long, b long").distinct(), "across")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """For each row of `docs` (doc_id, text): `doc_id`, `n_shingles`, `component_id`."""
+    found = staged(sketches(docs), "sketches")
+    usable = found.where("n_shingles > 0 and doc_id is not null")
+    # One row for each class: its tiles and bitmap are the same in all of its documents.
+    heads = usable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("node"))
+    heads = staged(heads, "classes")
+    own = usable.select(F.col("doc_id").alias("node"), "f1", "f2", "tiles", "bits").dropDuplicates(["node", "f1", "f2"])
+    classes = staged(own.join(heads, ["node", "f1", "f2"]).select("node", "n_shingles", "tiles", "bits"), "class-sketches")
+    entries = classes.select("node", F.explode("tiles").alias("tile"))
+    shared = entries.groupBy("tile").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    entries = staged(entries.join(shared, "tile").select("tile", "lead", "node"), "tiles")
+    pairs = staged(entries.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    plain = docs.select("doc_id", "text")
+    links = _verified(pairs, classes, plain, bounded=False)
+    first = components(links)
+    more = _verified(_across(entries, classes, first).join(pairs, ["a", "b"], "left_anti"), classes, plain, bounded=True)
+    joined = components(links.unionAll(more))
+    nodes = heads.join(joined, "node", "left").select(
+        "f1", "f2", "n_shingles", F.coalesce("component", "node").alias("component")
+    )
+    counted = found.select("doc_id", "n_shingles", "f1", "f2")
+    return counted.join(nodes, ["f1", "f2", "n_shingles"], "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+    )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id; rows without shingles or doc_id stay.
+
+    Of rows that share a doc_id and have shingles, one stays.
+    """
+    found = staged(near_copies(docs), "near-copies")
+    usable = found.where("n_shingles > 0 and doc_id is not null")
+    copies = usable.where("component_id <> doc_id").select("doc_id").distinct()
+    repeated = usable.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    copies, repeated = staged(copies, "copies"), staged(repeated, "repeated")
+    rest = docs.join(copies, "doc_id", "left_anti")
+    once = rest.join(repeated, "doc_id").dropDuplicates(["doc_id"])
+    return rest.join(repeated, "doc_id", "left_anti").unionByName(once)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsieve.llm import line_dedup, mixing, packing, quality_gam
+from barsieve.llm import embed_dedup, line_dedup, mixing, ngram_join, packing, pii, quality_gam, quality_rules
 from barsieve.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs).select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near copies of every document."""
+    return ngram_join.near_copies(documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in the packed sequences."""
     return packing.pack(documents(spark, sf_dir))
@@ -39,6 +44,24 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data of every document."""
+    return pii.personal_data(documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"])
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links and component of every vector."""
+    return embed_dedup.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules' counts and verdict for every document; the regression learns from the rows that op4 learns from."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_rules.train(docs, labels, quality_gam.fold(F.col("doc_id"), 5) != 0)
+    return quality_rules.judge(docs, model, keep=["doc_id"])
+
+
 OP1_SQL = rf"""
 with lines as (
     select source, unnest(list_distinct(string_split(text, chr(10)))) as line from documents
@@ -65,7 +88,16 @@ from kept
 
 
 def all_queries() -> dict[str, Query]:
-    named = [op1_line_dedup, op3_packing, op4_quality_classifier, op6_mixing]
+    named = [
+        op1_line_dedup,
+        op2_ngram_join,
+        op3_packing,
+        op4_quality_classifier,
+        op6_mixing,
+        op8_personal_data,
+        op9_embedding_dedup,
+        op10_quality_rules,
+    ]
     return {q.__name__: q for q in named}
 
 
