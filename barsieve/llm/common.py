@@ -67,10 +67,12 @@ def add_columns(
     added: str,
     keep: list[str] | None = None,
     column: str = "text",
+    uses: tuple[str, ...] = (),
 ) -> DataFrame:
     """All rows with the columns `keep` (None: all) and new ones that a function gives for a block of rows.
 
-    An input column with the name of a new one is replaced.
+    The function sees the text column, the kept columns and those in `uses`. An input column with the name of a new
+    one is replaced.
     """
     extra = StructType.fromDDL(added)
     new = {f.name.lower() for f in extra}
@@ -86,7 +88,7 @@ def add_columns(
             columns += [_as_arrow(made[f.name], arrow.field(f.name).type) for f in extra]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    used = df.select([c for c in df.columns if c in names or c == column])
+    used = df.select([c for c in df.columns if c in names or c in (column, *uses)])
     return used.mapInArrow(run, out)
 
 

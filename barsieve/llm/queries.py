@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsieve.llm import embed_dedup, line_dedup, mixing, ngram_join, packing, pii, quality_gam, quality_rules
+from barsieve.llm import embed_dedup, line_dedup, mixing, ngram_join, packing, pii, quality_gam, quality_rules, suffix_dedup
 from barsieve.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is taken out of every document because 400 bytes of it start elsewhere too."""
+    found = suffix_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     found = mixing.mix(documents(spark, sf_dir).select("doc_id", "source", "text"))
@@ -93,6 +99,7 @@ def all_queries() -> dict[str, Query]:
         op2_ngram_join,
         op3_packing,
         op4_quality_classifier,
+        op5_suffix_dedup,
         op6_mixing,
         op8_personal_data,
         op9_embedding_dedup,
