@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsieve.llm import embed_dedup, line_dedup, mixing, ngram_join, packing, pii, quality_gam, quality_rules, suffix_dedup
+from barsieve.llm import (
+    attention_lm,
+    embed_dedup,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality_gam,
+    quality_rules,
+    suffix_dedup,
+)
 from barsieve.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +61,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language model's score of every document, learned from those that are not held out."""
+    return attention_lm.score(documents(spark, sf_dir))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The personal data of every document."""
     return pii.personal_data(documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"])
@@ -101,6 +117,7 @@ def all_queries() -> dict[str, Query]:
         op4_quality_classifier,
         op5_suffix_dedup,
         op6_mixing,
+        op7_attention_lm,
         op8_personal_data,
         op9_embedding_dedup,
         op10_quality_rules,
