@@ -47,3 +47,8 @@ def day_in_path(path: Column) -> Column:
 def file_in_path(path: Column) -> Column:
     """The last element of a path."""
     return F.substring_index(path, "/", -1)
+
+
+def named_folder_in_path(path: Column, name: str) -> Column:
+    """The value of the folder `<name>=<value>` of a path, or null."""
+    return F.nullif(F.regexp_extract(path, f"/{name}=([^/]+)/", 1), F.lit(""))

@@ -46,7 +46,7 @@ class ColumnSpec:
 
 
 def key_names(specs: list[ColumnSpec]) -> list[str]:
-    """The key columns in the order of their metadata rows."""
+    """The key columns in the order that the metadata numbers them."""
     return [s.name for s in sorted(specs, key=lambda s: s.position) if s.is_key]
 
 
@@ -54,11 +54,12 @@ def _has_any(text: Column, words: list[str]) -> Column:
     return text.rlike("|".join(words))
 
 
-def parse_specs(metadata: DataFrame) -> DataFrame:
+def parse_specs(metadata: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Turn metadata rows into one row of check settings per declared column.
 
     A declared type is matched by the words it contains; length, precision and scale are the numbers
     in its parentheses. A type without them gets nulls there, and the rule that needs them is skipped.
+    Metadata columns in `keep` are carried along.
     """
     word = F.upper(F.trim("data_type"))
     inside = F.regexp_extract(word, r"\(([^()]*)\)?$", 1)
@@ -84,6 +85,7 @@ def parse_specs(metadata: DataFrame) -> DataFrame:
     patterns = F.create_map(*[F.lit(x) for pair in DATE_PATTERNS.items() for x in pair])
     unquoted = F.regexp_replace(F.trim("date_format"), "^['\"]|['\"]$", "")
     return metadata.select(
+        *keep,
         "column_name",
         F.col("data_type").alias("declared"),
         type_check.alias("type_check"),
@@ -111,19 +113,22 @@ def mandatory_columns(metadata: DataFrame) -> DataFrame:
 
 
 def column_specs(metadata: DataFrame, columns: list[str]) -> list[ColumnSpec]:
-    """The specs of the given data columns, in their order.
+    """The specs of the given data columns, in their order; keys are in the order of the metadata's `sl no`.
 
     Raises ValueError when a data column has no metadata row or several, or a key column is not in the data.
     """
     wanted = F.col("column_name").isin(columns) | F.col("is_key")
-    # one row more than there are columns already shows that something is wrong
-    rows = parse_specs(metadata).where(wanted).limit(len(columns) + 1).collect()
-    listed = [r["column_name"] for r in rows]
+    parsed = parse_specs(metadata, ("sl no",)).where(wanted)
+    listed = {r["column_name"]: r["count"] for r in parsed.groupBy("column_name").count().collect()}
     absent = [c for c in listed if c not in columns]
     if absent:
-        raise ValueError(f"key columns declared but not in the data: {', '.join(absent)}")
-    wrong = [c for c in columns if listed.count(c) != 1]
+        raise ValueError(f"key columns declared but not in the data: {', '.join(sorted(map(str, absent)))}")
+    wrong = [c for c in columns if listed.get(c) != 1]
     if wrong:
         raise ValueError(f"columns without exactly one metadata row: {', '.join(wrong)}")
-    settings = {r["column_name"]: r.asDict() | {"position": i} for i, r in enumerate(rows)}
-    return [ColumnSpec(name=c, **{k: v for k, v in settings[c].items() if k != "column_name"}) for c in columns]
+    number = F.col("sl no").try_cast("double")
+    rows = [r.asDict() for r in parsed.withColumn("sl no", number).collect()]
+    rows.sort(key=lambda r: (r["sl no"] is None, r["sl no"] or 0, columns.index(r["column_name"])))
+    settings = {r["column_name"]: r | {"position": i} for i, r in enumerate(rows)}
+    skipped = ("sl no", "column_name")
+    return [ColumnSpec(name=c, **{k: v for k, v in settings[c].items() if k not in skipped}) for c in columns]

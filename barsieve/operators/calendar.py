@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barsieve.functions.days import archive_location, archive_name, day_folder, file_in_path
@@ -46,6 +46,22 @@ def missing_days(days: DataFrame, listing: DataFrame, by: tuple[str, ...] = ())
     return days.join(listing.select(*on).distinct(), on, "left_anti")
 
 
+def missing_within(df: DataFrame, date_col: str, listed: Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """Days between the first and last day of a table, or of each group of it, without a row that is `listed`.
+
+    One pass: the rows are reduced to days, and a group's days, as many as the calendar has, to one row.
+    """
+    day = F.col(date_col).cast("date").alias("_day")
+    days = df.groupBy(*by, day).agg(F.max(F.coalesce(listed, F.lit(False))).alias("_listed"))
+    spans = days.groupBy(*by).agg(
+        F.min("_day").alias("_first"),
+        F.max("_day").alias("_last"),
+        F.collect_list(F.when(F.col("_listed"), F.col("_day"))).alias("_days"),
+    )
+    missing = F.array_except(F.sequence("_first", "_last"), F.col("_days"))
+    return spans.select(*by, F.explode(missing).alias("trade_date"))
+
+
 def records_per_file(df: DataFrame) -> DataFrame:
     """Records per trade date and source file, per date (file null) and in all (both null).
 

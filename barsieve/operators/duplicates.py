@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from barsieve.operators.skew import HOT_GROUP_ROWS, group_hash, hot_groups
+from pyspark.sql import types as T
 
 # Copies of one row are written in blocks of this many rows.
 COPY_BLOCK = 1_000_000
 
+_HASH, _FIRST, _SAME, _N = "_key_hash", "_first", "_same", "_n"
+
 
 def keep_first(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key: the smallest by the other columns, nulls first.
 
-    An aggregate, so every task sends at most one row per key through the shuffle.
+    An aggregate, so every task sends at most one row per key through the shuffle. The smallest row is a struct, which
+    Spark aggregates by sorting each task's rows by key first.
     """
     others = [c for c in df.columns if c not in keys]
     if not others:
@@ -24,8 +25,8 @@ def keep_first(df: DataFrame, keys: list[str]) -> DataFrame:
     return kept.select(*[F.col(c) if c in keys else F.col("_kept")[c].alias(c) for c in df.columns])
 
 
-def repeat_rows(df: DataFrame, times: str, block: int = COPY_BLOCK) -> DataFrame:
-    """Each row as often as its `times` column says; the column is dropped.
+def repeat_rows(df: DataFrame, times: str, block: int = COPY_BLOCK, number: str | None = None) -> DataFrame:
+    """Each row as often as its `times` column says; that column is dropped, `number` numbers the copies from 1.
 
     Rows with more copies than one block are first spread by block, so that no task writes them all.
     """
@@ -37,41 +38,61 @@ def repeat_rows(df: DataFrame, times: str, block: int = COPY_BLOCK) -> DataFrame
         .repartition(*columns, "_from")
     )
     last = F.least(F.col(times), F.col("_from") + (block - 1))
-    return few.unionByName(many).withColumn("_copy", F.explode(F.sequence("_from", last))).select(*columns)
+    copies = few.unionByName(many).withColumn("_copy", F.explode(F.sequence("_from", last)))
+    return copies.select(*columns, *([] if number is None else [F.col("_copy").alias(number)]))
 
 
 def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
     """Multiset difference: each distinct row as often as it occurs in `left` more than in `right`.
 
-    Copies are counted before the shuffle, so a row with very many copies costs one row per task.
+    Copies are counted before the shuffle, so a row with very many copies costs one row per task. Rows are told apart
+    as by grouping: a negative zero is a zero, and comes out as one.
     """
     columns = left.columns
-    signed = left.withColumn("_n", F.lit(1).cast("long")).unionByName(
-        right.select(*columns).withColumn("_n", F.lit(-1).cast("long"))
+    signed = left.withColumn(_N, F.lit(1).cast("long")).unionByName(
+        right.select(*columns).withColumn(_N, F.lit(-1).cast("long"))
     )
-    counted = signed.groupBy(*columns).agg(F.sum("_n").alias("_n")).where(F.col("_n") > 0)
-    return repeat_rows(counted, "_n")
+    counted = signed.groupBy(*columns).agg(F.sum(_N).alias(_N)).where(F.col(_N) > 0)
+    return repeat_rows(counted, _N)
 
 
-def mark_surplus(
-    df: DataFrame, keys: list[str], flag: str = "_surplus", hot_group_rows: int | None = HOT_GROUP_ROWS
-) -> DataFrame:
+def mark_surplus(df: DataFrame, keys: list[str], flag: str = "_surplus", null_keys: bool = True) -> DataFrame:
     """Flag all but one row per key; the row that stays is the smallest by the other columns, nulls first.
 
-    One shuffle by key. Keys with over `hot_group_rows` rows are counted and compared by aggregates
-    instead, so no task receives all rows of such a key. None skips the search for them.
+    Rows come out as they were read. The smallest row of a key is found by an aggregate and joined to the key's rows,
+    in partitions that Spark may split; rows that equal it throughout are counted and written again in blocks. So no
+    task has to take all rows of a key. The input is evaluated twice. Without `null_keys`, rows with a null in
+    a key are no duplicates of each other and get a null flag.
     """
-    others = [c for c in df.columns if c not in keys]
-    order = [F.col(c).asc_nulls_first() for c in others or keys]
-    number = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    group = group_hash(*keys)
-    hot = hot_groups(df, group, hot_group_rows)
-    if not hot:
-        return df.withColumn(flag, number > 1)
-    cold = df.where(~group.isin(hot)).withColumn(flag, number > 1)
-    large = df.where(group.isin(hot))
-    kept = keep_first(large, keys)
-    surplus = except_all(large, kept)
-    return cold.unionByName(kept.withColumn(flag, F.lit(False))).unionByName(
-        surplus.withColumn(flag, F.lit(True))
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    row = F.struct(*_order(df, keys), F.struct(*df.columns).alias("_row"))
+    firsts = (df if null_keys else df.where(present)).groupBy(*keys).agg(F.min(row).alias(_FIRST))
+    # The hash makes the join deal rows by more than the keys, so Spark does not take over the partitions of the
+    # aggregate and can split a large one. Rows without a partner are spread by all their columns.
+    key_hash = F.xxhash64(*keys)
+    rows = df.withColumn(_HASH, key_hash if null_keys else F.when(present, key_hash).otherwise(F.xxhash64(*df.columns)))
+    firsts = firsts.select(key_hash.alias("_h"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], _FIRST)
+    same_key = F.col(_HASH) == F.col("_h")
+    for i, k in enumerate(keys):
+        other = F.col(f"_k{i}")
+        same_key = same_key & (F.col(k).eqNullSafe(other) if null_keys else F.col(k) == other)
+    order = [F.col(_FIRST)[f"_o{i}"].eqNullSafe(c) for i, c in enumerate(_order(df, keys, named=False))]
+    same = F.col(_FIRST).isNotNull()
+    for c in order:
+        same = same & c
+    joined = rows.join(firsts, same_key, "inner" if null_keys else "left").withColumn(_SAME, same)
+    differing = joined.where(~F.col(_SAME)).select(
+        *df.columns, F.when(F.col(_FIRST).isNotNull(), F.lit(True)).alias(flag)
     )
+    counted = joined.where(_SAME).groupBy(*keys).agg(F.count("*").alias(_N), F.any_value(_FIRST).alias(_FIRST))
+    copies = repeat_rows(counted.select(f"{_FIRST}._row.*", _N), _N, number="_copy")
+    return differing.unionByName(copies.withColumn(flag, F.col("_copy") > 1).drop("_copy"))
+
+
+def _order(df: DataFrame, keys: list[str], named: bool = True) -> list[Column]:
+    """What rows of a key are ordered by: the other columns, then the text of fractions, where -0.0 is not 0.0."""
+    parts = [F.col(c) for c in df.columns if c not in keys]
+    parts += [F.col(f.name).cast("string") for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return [c.alias(f"_o{i}") for i, c in enumerate(parts)] if named else parts

@@ -7,9 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barsieve.functions.prices import percent_return, spread_high_low, spread_open_close
-from barsieve.operators.skew import HOT_GROUP_ROWS, group_hash, hot_groups
 
-_DAY, _YEAR, _MONTH = "_day", "_year", "_month"
+_DAY = "_day"
 
 
 def monthly_bars(
@@ -19,7 +18,6 @@ def monthly_bars(
     full_month: bool = False,
     on_zero: str = "zero",
     tie_break: list[str] | None = None,
-    hot_group_rows: int | None = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Daily bars with spreads, percent return and the month so far.
 
@@ -27,24 +25,16 @@ def monthly_bars(
     `full_month` makes the close that of the whole month. Rows of one day are ordered by `tie_break`,
     by default all columns, so that the first open and last close do not depend on the row order.
 
-    One shuffle by symbol and month, one sort. A symbol and month with over `hot_group_rows` rows is first
-    reduced to one row per day, and the result, 31 rows per such month, is joined back without a shuffle.
-    None skips the search for such months, for bars that are known to be one per day.
+    The rows are reduced to one per symbol and day before the windows, which then see at most 31 rows a month, and
+    the result is joined back by symbol and day. So a month may have any number of rows; the input is evaluated twice.
     """
     if series is not None:
         df = df.where(F.col("series") == series)
     columns = df.columns
     ties = [c for c in (columns if tie_break is None else tie_break) if c != date_col]
     day = F.col(date_col).cast("date")
-    bars = df.withColumns({_DAY: day, _YEAR: F.year(day), _MONTH: F.month(day)})
-    month = ["symbol", _YEAR, _MONTH]
-    group = group_hash(*month)
-    hot = hot_groups(bars, group, hot_group_rows)
-    if hot:
-        cold = _month_by_window(bars.where(~group.isin(hot)), month, ties, full_month)
-        result = cold.unionByName(_month_by_day(bars.where(group.isin(hot)), month, ties, full_month))
-    else:
-        result = _month_by_window(bars, month, ties, full_month)
+    bars = df.withColumn(_DAY, day)
+    result = _with_month(bars, ties, full_month)
     return result.select(
         *columns,
         spread_high_low().alias("spread_high_low"),
@@ -57,33 +47,16 @@ def monthly_bars(
     )
 
 
-def _month_by_window(bars: DataFrame, month: list[str], ties: list[str], full_month: bool) -> DataFrame:
-    """Monthly columns by windows that all share the partitioning by month and the sort by day and ties."""
-    everything = (W.unboundedPreceding, W.unboundedFollowing)
-    by_row = W.partitionBy(*month).orderBy(_DAY, *ties)
-    by_day = W.partitionBy(*month).orderBy(_DAY)
-    one_day = W.partitionBy(*month, _DAY).orderBy(*(ties or [_DAY])).rowsBetween(*everything)
-    close = F.last("close").over(by_row.rowsBetween(*everything) if full_month else one_day)
-    return bars.withColumns(
-        {
-            "open_monthly": F.first("open").over(by_row),
-            "close_monthly": close,
-            "high_monthly": F.max("high").over(by_day),
-            "low_monthly": F.min("low").over(by_day),
-        }
-    )
-
-
-def _month_by_day(bars: DataFrame, month: list[str], ties: list[str], full_month: bool) -> DataFrame:
-    """The same columns from one row per day, which is at most 31 rows per month, joined back to the bars."""
+def _with_month(bars: DataFrame, ties: list[str], full_month: bool) -> DataFrame:
+    """The bars with the monthly columns of their symbol and day."""
     order = F.struct(*(ties or [_DAY]))
-    days = bars.groupBy(*month, _DAY).agg(
+    days = bars.groupBy("symbol", _DAY).agg(
         F.min_by("open", order).alias("_open"),
         F.max_by("close", order).alias("_close"),
         F.max("high").alias("_high"),
         F.min("low").alias("_low"),
     )
-    so_far = W.partitionBy(*month).orderBy(_DAY)
+    so_far = W.partitionBy("symbol", F.year(_DAY), F.month(_DAY)).orderBy(_DAY)
     whole = so_far.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     per_day = days.select(
         F.col("symbol").alias("_symbol"),
@@ -94,17 +67,9 @@ def _month_by_day(bars: DataFrame, month: list[str], ties: list[str], full_month
         F.min("_low").over(so_far).alias("low_monthly"),
     )
     same_day = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col(_DAY).eqNullSafe(F.col("_month_day"))
-    # at most 31 rows for each of at most MAX_HOT_GROUPS months
-    return bars.join(F.broadcast(per_day), same_day).drop("_symbol", "_month_day")
+    return bars.join(per_day, same_day).drop("_symbol", "_month_day")
 
 
-def ordered_by_day(df: DataFrame, date_col: str = "generated_date") -> DataFrame:
-    """Sort by day, then by the other columns.
-
-    The further columns let a day with very many rows be split over several output partitions; the scan
-    partition does the same for rows that are equal throughout.
-    """
-    others = [c for c in df.columns if c != date_col]
-    return (
-        df.withColumn("_split", F.spark_partition_id()).orderBy(date_col, *others, "_split").drop("_split")
-    )
+def ordered_by_day(df: DataFrame, date_col: str = "generated_date", then: str = "symbol") -> DataFrame:
+    """Sort by day, then by symbol, so that a large day may be split over several output partitions."""
+    return df.orderBy(date_col, *([then] if then in df.columns else []))

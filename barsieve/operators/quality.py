@@ -22,8 +22,7 @@ from barsieve.functions.predicates import (
     row_text,
 )
 from barsieve.operators.duplicates import mark_surplus
-from barsieve.operators.skew import HOT_GROUP_ROWS
-from barsieve.schemas import REPORT_COLUMNS
+from barsieve.schemas import REPORT_COLUMNS, REPORT_SCHEMA
 
 # Names of the checks in the report, and the text that stands for a whole column.
 NULL_KEY = "Primary Key - Null Data Validation"
@@ -58,7 +57,7 @@ class Rule:
     """
 
     kind: str
-    column: str
+    column: str | Column
     breaks: Column | None = None
     text: Column | None = None
 
@@ -104,14 +103,25 @@ def column_rules(specs: list[ColumnSpec], keys: list[str]) -> list[Rule]:
     return [r for r in rules if r is not None]
 
 
-def rule_failures(df: DataFrame, rules: list[Rule], labels: Labels) -> DataFrame:
-    """Report rows of all rules from one scan of the rows, plus one row per check that cannot be made."""
+def rule_failures(df: DataFrame, rules: list[Rule], labels: Labels, null_keys: Rule | None = None) -> DataFrame:
+    """Report rows of all rules from one scan of the rows, plus one row per check that cannot be made.
+
+    With a rule for null keys, a row that breaks it is reported under it alone.
+    """
     by_row = [r for r in rules if r.breaks is not None]
     whole_column = [r for r in rules if r.breaks is None]
-    if not by_row:
+    if not by_row and null_keys is None:
         return _column_failures(df.sparkSession, whole_column, labels)
-    found = broken(by_row, lambda r: F.struct(F.lit(r.kind).alias("_kind"), F.lit(r.column).alias("_column"), r.text.alias("_text")))
-    report = _report(df.select(F.inline(found)), F.col("_kind"), F.col("_column"), F.col("_text"), labels)
+
+    def found(r: Rule) -> Column:
+        column = F.lit(r.column) if isinstance(r.column, str) else r.column
+        return F.struct(F.lit(r.kind).alias("_kind"), column.alias("_column"), r.text.alias("_text"))
+
+    failures = broken(by_row, found) if by_row else None
+    if null_keys is not None:
+        alone = F.when(null_keys.breaks, F.array(found(null_keys)))
+        failures = alone if failures is None else F.when(~null_keys.breaks, failures).otherwise(alone)
+    report = _report(df.select(F.inline(failures)), F.col("_kind"), F.col("_column"), F.col("_text"), labels)
     if not whole_column:
         return report
     return report.unionByName(_column_failures(df.sparkSession, whole_column, labels))
@@ -134,30 +144,16 @@ def breaks_none(rules: list[Rule]) -> Column:
 
 def null_key_failures(df: DataFrame, labels: Labels) -> DataFrame:
     """Rows with a null key, each under its first null key column, with all columns as text."""
-    null_key = first_null(list(labels.keys))
-    rows = df.where(~all_present(list(labels.keys)))
-    return _report(rows, F.lit(NULL_KEY), null_key, row_text(df.columns), labels)
+    return rule_failures(df, [], labels, _null_key_rule(df.columns, labels))
 
 
-def duplicate_key_failures(
-    df: DataFrame, labels: Labels, hot_group_rows: int | None = HOT_GROUP_ROWS
-) -> DataFrame:
+def duplicate_key_failures(df: DataFrame, labels: Labels) -> DataFrame:
     """All rows per key but one, with all columns as text; rows with a null key are left out."""
     keys = list(labels.keys)
-    marked = mark_surplus(df.where(all_present(keys)), keys, _SURPLUS, hot_group_rows)
+    marked = mark_surplus(df.where(all_present(keys)), keys, _SURPLUS)
     return rule_failures(marked, [_duplicate_rule(df.columns, labels)], labels)
 
 
-def date_failures_top(
-    df: DataFrame, spec: ColumnSpec, labels: Labels, limit: int = 100
-) -> DataFrame:
-    """The first failing dates by key, then by the other columns: a report cut to a fixed length."""
-    rule = type_rule(spec, list(labels.keys))
-    others = [c for c in df.columns if c not in labels.keys]
-    rows = df.where(rule.breaks).orderBy(*labels.keys, *others).limit(limit)
-    return _report(rows, F.lit(rule.kind), F.lit(rule.column), rule.text, labels)
-
-
 class CheckResult:
     """The outcome of checking a table; each part is built when it is asked for.
 
@@ -165,41 +161,20 @@ class CheckResult:
     `passed_strict` the rows that break no rule, one per key.
     """
 
-    def __init__(
-        self,
-        df: DataFrame,
-        specs: list[ColumnSpec],
-        source: str,
-        target: str,
-        hot_group_rows: int | None,
-        date_limit: int | None,
-    ) -> None:
+    def __init__(self, df: DataFrame, specs: list[ColumnSpec], source: str, target: str) -> None:
         self._keys = key_names(specs)
         self._labels = Labels(source, target, tuple(self._keys))
         self._rows = df.select(*[s.name for s in specs])
         self._specs = specs
-        self._hot_group_rows = hot_group_rows
-        self._date_limit = date_limit
 
     @cached_property
     def failed(self) -> DataFrame:
-        """One read of the rows for null keys, one for all other rules, with one shuffle by key.
-
-        A limit on date failures adds one ordered top-k per date column.
-        """
-        rules, present = self._rules, self.passed_null_key
-        dates = [s for s in self._specs if s.date_pattern is not None] if self._date_limit is not None else []
-        if dates:
-            limited = {s.name for s in dates}
-            rules = [r for r in rules if not (r.kind == DATE_FORMAT and r.column in limited)]
-        if self._keys:
-            others = rule_failures(self._marked, [_duplicate_rule(self._rows.columns, self._labels), *rules], self._labels)
-            report = null_key_failures(self._rows, self._labels).unionByName(others)
-        else:
-            report = rule_failures(self._rows, rules, self._labels)
-        for spec in dates:
-            report = report.unionByName(date_failures_top(present, spec, self._labels, self._date_limit))
-        return report
+        """All rules, null keys included, are one expression over the rows; these are read twice, for duplicates."""
+        if not self._keys:
+            return rule_failures(self._rows, self._rules, self._labels)
+        columns = self._rows.columns
+        rules = [_duplicate_rule(columns, self._labels), *self._rules]
+        return rule_failures(self._marked, rules, self._labels, _null_key_rule(columns, self._labels))
 
     @cached_property
     def passed_null_key(self) -> DataFrame:
@@ -210,6 +185,7 @@ class CheckResult:
     def passed_strict(self) -> DataFrame:
         if not self._keys:
             return self._rows.where(breaks_none(self._rules))
+        # a row with a null key has no flag
         return self._marked.where(~F.col(_SURPLUS) & breaks_none(self._rules)).drop(_SURPLUS)
 
     @cached_property
@@ -218,26 +194,28 @@ class CheckResult:
 
     @cached_property
     def _marked(self) -> DataFrame:
-        return mark_surplus(self.passed_null_key, self._keys, _SURPLUS, self._hot_group_rows)
+        return mark_surplus(self._rows, self._keys, _SURPLUS, null_keys=False)
 
 
-def check(
-    df: DataFrame,
-    specs: list[ColumnSpec],
-    source: str,
-    target: str,
-    hot_group_rows: int | None = HOT_GROUP_ROWS,
-    date_limit: int | None = None,
-) -> CheckResult:
+def check(df: DataFrame, specs: list[ColumnSpec], source: str, target: str) -> CheckResult:
     """Check every column against its spec: null keys, duplicate keys, then length and type per column.
 
-    Rules after the null-key check see only rows whose keys are all present. All failures are reported;
-    `date_limit` cuts the report of each date column to its first rows by key.
+    Rules after the null-key check see only rows whose keys are all present. All failures are reported. Raises
+    ValueError when a declared column is not in the data or a column of the data is not declared.
     """
-    missing = [s.name for s in specs if s.name not in df.columns]
+    declared = [s.name for s in specs]
+    missing = [c for c in declared if c not in df.columns]
     if missing:
         raise ValueError(f"columns declared but not in the data: {', '.join(missing)}")
-    return CheckResult(df, specs, source, target, hot_group_rows, date_limit)
+    undeclared = [c for c in df.columns if c not in declared]
+    if undeclared:
+        raise ValueError(f"columns in the data but not declared: {', '.join(undeclared)}")
+    return CheckResult(df, specs, source, target)
+
+
+def _null_key_rule(columns: list[str], labels: Labels) -> Rule:
+    keys = list(labels.keys)
+    return Rule(NULL_KEY, first_null(keys), ~all_present(keys), row_text(columns))
 
 
 def _duplicate_rule(columns: list[str], labels: Labels) -> Rule:
@@ -255,9 +233,9 @@ def _report(rows: DataFrame, kind: Column, column: Column, text: Column, labels:
 
 def _column_failures(spark: SparkSession, rules: list[Rule], labels: Labels) -> DataFrame:
     """One report row for each check that cannot be made."""
-    rows = F.array(
-        *[F.struct(F.lit(r.kind).alias("_kind"), F.lit(r.column).alias("_column")) for r in rules]
-    )
-    listed = spark.range(0, 1, 1, 1).select(F.inline(rows)) if rules else spark.createDataFrame([], "_kind string, _column string")
+    if not rules:
+        return spark.createDataFrame([], REPORT_SCHEMA)
+    rows = F.array(*[F.struct(F.lit(r.kind).alias("_kind"), F.lit(r.column).alias("_column")) for r in rules])
+    listed = spark.range(0, 1, 1, 1).select(F.inline(rows))
     return _report(listed, F.col("_kind"), F.col("_column"), F.lit(ALL_RECORDS), labels)
 

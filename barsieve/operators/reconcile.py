@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The two outcomes in words.
-SAME = "The number of rows in source is same in target"
-MISSING = "Missing number of rows is -> "
+SAME = "both have as many rows"
+MISSING = "rows that the target lacks: "
 
 
 def row_counts(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -18,7 +18,11 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class Dataset:
-    """A dataset to check: chosen by the name of its metadata file, read and written by the caller's settings."""
+    """A dataset to check: chosen by the name of its metadata file, read and written by the caller's settings.
+
+    Its rows are read several times. With `stage`, a folder, they are written there first, so that a source that is
+    costly to read, such as packed binary files, is read once; CSV scans stage what they parse themselves.
+    """
 
     name: str
     metadata_file: str
@@ -27,11 +31,15 @@ class Dataset:
     target_name: str
     failed: dict[str, str] = field(default_factory=dict)
     passed: dict[str, str] = field(default_factory=dict)
+    stage: str | None = None
 
 
 def run_dataset(spark: SparkSession, dataset: Dataset, metadata_path: str) -> None:
     """Check one dataset and replace its failure report and its table of passed rows."""
     rows = dataset.read(spark)
+    if dataset.stage is not None:
+        rows.write.parquet(dataset.stage)
+        rows = spark.read.schema(rows.schema).parquet(dataset.stage)
     specs = column_specs(read_metadata(spark, metadata_path), rows.columns)
     result = check(rows, specs, dataset.source_name, dataset.target_name)
     overwrite(result.failed, **dataset.failed)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from barsieve.operators.quality import ALL_RECORDS
-from barsieve.operators.reconcile import MISSING, SAME
-from barsieve.plans.queries import DIRTY_KEYS, SOURCE, TARGET
+# Texts of the results, written out.
+ALL_RECORDS = "**ALL RECORDS**"
+SAME, MISSING = "both have as many rows", "rows that the target lacks: "
+SOURCE, TARGET = "events", "events_checked"
+DIRTY_KEYS = ["symbol", "d"]
 
 BARS = """
 days as (
@@ -38,6 +40,14 @@ keyed as (select * from dirty where symbol is not null and d is not null),
 numbered as (
   select *, row_number() over (partition by symbol, d order by event_id, px nulls first) as rn from keyed)"""
 
+HOT_KEY = """
+hot_rows as (
+  select *, row_number() over (partition by k order by v nulls first, cast(v as varchar)) as n from (
+    select case when event_id % 10 < 7 then 'hot' when event_id % 10 = 7 then null else cast(user_id as varchar) end as k,
+      case event_id % 5 when 0 then cast('-0.0' as double) when 1 then cast(0 as double) when 2 then null else value end as v
+    from events)
+  where k is not null)"""
+
 PROPS = """
 props_view as (
   select event_id, case when event_id % 10 = 0 then null else props end as props, event_type from events)"""
@@ -144,10 +154,8 @@ REPORT_PARTS = [
     _whole("DataLength - DATE Validation", "d"),
 ]
 BAD_DATES = _branch("Date Format Validation", "d", BAD_DATE)
-FIRST_BAD_DATES = f"select * from ({BAD_DATES} order by symbol, d, event_id, px nulls first limit 100)"
 
 FAILED_REPORT = _with(DIRTY) + "\nunion all ".join([*REPORT_PARTS, BAD_DATES])
-FAILED_REPORT_DATE_TOP = _with(DIRTY) + "\nunion all ".join([*REPORT_PARTS, FIRST_BAD_DATES])
 
 UNSUPPORTED_REPORT = _with(DIRTY) + "\nunion all ".join(
     [
@@ -256,6 +264,22 @@ def _snapshots(extra: str = "") -> str:
     return f"select * replace ({narrow}) from (select {SNAPSHOTS}{extra} from events)"
 
 
+def _snapshot_report() -> str:
+    """Prices of more than three digits in the columns declared as TINYINT, of the records in market files."""
+    rows = _snapshots() + " where \"Transcode\" % 2 = 0"
+    long = [c for c in ("Best_Buy_Quantity", "Best_Buy_Price", "Best_Sell_Quantity", "Best_Sell_Price")]
+    parts = []
+    for c in long:
+        text = f"""'{{Timestamp -> ' || "Timestamp" || ', Security_Token -> ' || "Security_Token" || ', {c} -> ' || "{c}" || '}}'"""
+        parts.append(
+            "select 'DataLength - TINYINT Validation' as \"Validation Type\", 'staged snapshots' as \"Source Table Name\", "
+            "'snapshots' as \"Target Table Name\", 'Timestamp, Security_Token' as \"Primary Key Field(s)\", "
+            f"'{c}' as \"Validation Column\", {text} as \"Unmatched Records\" from snapshots "
+            f'where length(cast("{c}" as varchar)) > 3'
+        )
+    return f"with snapshots as ({rows})\n" + "\nunion all ".join(parts)
+
+
 SPINE = """
 spine as (
   select cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as trade_date
@@ -284,6 +308,10 @@ def all_sql() -> dict[str, str]:
         ", renamed as (select * replace (symbol || '-' || series as symbol), generated_date as \"timestamp\" from bars)"
     )
     props = ["event_id"]
+    missing = _with(BARS, SYMBOL_DAYS) + (
+        "select symbol, trade_date from spans s where not exists (select 1 from bars b where b.symbol = s.symbol "
+        "and b.generated_date = s.trade_date and b.series = 'EQ')"
+    )
     return {
         "gold_monthly": _gold(BAR_COLUMNS, "bars where series = 'EQ'", BARS, "generated_date", "zero")
         + " order by generated_date",
@@ -292,12 +320,15 @@ def all_sql() -> dict[str, str]:
             BAR_COLUMNS.replace("generated_date", '"timestamp"'), "renamed", BARS + renamed, '"timestamp"', "null"
         ),
         "gold_ticks": _ticks(),
-        "gold_ticks_hot": _ticks(),
-        "gold_ticks_hot_full": _ticks(WHOLE_MONTH),
+        "gold_ticks_full": _ticks(WHOLE_MONTH),
+        "gold_catalog": _gold(BAR_COLUMNS, "bars where series = 'EQ'", BARS, "generated_date", "zero"),
         "rule_null_key": _with(DIRTY) + NULL_KEY,
         "rule_duplicate_key": duplicate,
-        "rule_duplicate_key_hot": duplicate,
-        "rule_duplicate_copies_hot": _with(DIRTY)
+        "rule_duplicate_hot_key": _with(HOT_KEY)
+        + _report(
+            "Primary Key - Duplicate Data Validation", ["k"], "k", _text(["k", "v"]), "from hot_rows where n > 1"
+        ),
+        "rule_duplicate_copies": _with(DIRTY)
         + _report(
             "Primary Key - Duplicate Data Validation", ["symbol"], "symbol", _text(["symbol", "d"]),
             "from (select symbol, d, row_number() over (partition by symbol order by d nulls first) as n "
@@ -308,10 +339,6 @@ def all_sql() -> dict[str, str]:
             "Date Format Validation", "dirty", DIRTY, ["event_id"], "d", BAD_DATE + " and d is not null"
         ),
         "rule_type_date_mandatory": _rule("Date Format Validation", "dirty", DIRTY, ["event_id"], "d", BAD_DATE),
-        "rule_type_date_top100": _rule(
-            "Date Format Validation", "keyed", DIRTY, DIRTY_KEYS, "d",
-            BAD_DATE + " order by symbol, d, event_id, px nulls first limit 100",
-        ),
         "rule_type_string": _rule("DataType - VARCHAR(8) Validation", "props_view", PROPS, props, "props", BAD_STRING),
         "rule_type_string_mandatory": _rule(
             "DataType - STRING Validation", "props_view", PROPS, props, "props", BAD_STRING + " or props is null"
@@ -348,8 +375,8 @@ def all_sql() -> dict[str, str]:
         ),
         "rule_unsupported": UNSUPPORTED_REPORT,
         "failed_report": FAILED_REPORT,
-        "failed_report_hot": FAILED_REPORT,
-        "failed_report_date_top100": FAILED_REPORT_DATE_TOP,
+        "failed_report_other_order": FAILED_REPORT,
+        "clean_report": _report("", ["o_orderkey"], "", "''", "from orders where false"),
         "sink_roundtrip": FAILED_REPORT,
         "incremental_check": FAILED_REPORT,
         "passed_null_key": _with(DIRTY) + "select * from keyed",
@@ -381,6 +408,7 @@ def all_sql() -> dict[str, str]:
         "silver_bars": _with(BARS) + f"select {BAR_COLUMNS} from bars",
         "quality_job": _with(BARS) + f"select {BAR_COLUMNS} from bars",
         "bhav_unzip": _with(BARS) + f"select {staged}, generated_date, totaltrades, isin from bars",
+        "bhav_stage_same_entry": _with(BARS) + f"select {staged}, generated_date, totaltrades, isin from bars",
         "bhav_stage_csv": _with(BARS) + f"select {staged}, generated_date, totaltrades, isin from bars",
         "metadata_spec": _with(METADATA)
         + """
@@ -411,17 +439,18 @@ select trade_date, strftime(trade_date, '%B%d%Y') as day_folder,
     || strftime(trade_date, '%d') || upper(strftime(trade_date, '%b')) || strftime(trade_date, '%Y')
     || 'bhav.csv.zip' as location
 from spine""",
-        "missing_dates": _with(BARS, SYMBOL_DAYS)
-        + "select symbol, trade_date from spans s where not exists (select 1 from bars b where b.symbol = s.symbol "
-        "and b.generated_date = s.trade_date and b.series = 'EQ')",
+        "missing_dates": missing,
+        "missing_from_listing": missing,
         "available_dates": _with(BARS, SYMBOL_DAYS)
         + "select symbol, trade_date from spans s where exists (select 1 from bars b where b.symbol = s.symbol "
         "and b.generated_date = s.trade_date and b.series = 'EQ')",
         "ingest_audit": "select cast(ts as date) as trade_date, event_type as source_file, count(*) as n_records, "
         "cast(grouping(cast(ts as date)) * 2 + grouping(event_type) as integer) as total_level "
         "from events group by rollup (cast(ts as date), event_type)",
-        "ingest_audit_files": "select cast(ts as date) as trade_date, count(*) as n_records, "
-        "cast(grouping(cast(ts as date)) * 2 + 1 as integer) as total_level from events group by rollup (cast(ts as date))",
+        "ingest_audit_files": "select trade_date, source_file, count(*) as n_records, "
+        "cast(grouping(trade_date) * 2 + grouping(source_file) as integer) as total_level from "
+        "(select cast(ts as date) as trade_date, coalesce(event_type, 'none') || '.csv' as source_file from events) "
+        "group by rollup (trade_date, source_file)",
         "files_per_day": "select trade_date, count(*) as n_files, count(*) filter (user_id % 2 = 0) as n_market_files "
         "from (select distinct cast(ts as date) as trade_date, user_id from events) group by 1",
         "reconcile_counts": _with(BARS)
@@ -432,9 +461,12 @@ from spine""",
         f"'{SAME}' as status from orders",
         "scan_csv_flat": EVENT_ROWS,
         "scan_csv_nested": EVENT_ROWS,
+        "scan_csv_mixed": EVENT_ROWS,
         "scan_csv_infer": "select event_id, user_id, event_type, value, 'double' as value_family, "
         "'string' as event_type_family from events",
         "incremental_ingest": EVENT_ROWS,
         "mkt_decode": _snapshots(", cast(ts as date) as trade_date"),
+        "mkt_decode_named": _snapshots(", cast(ts as date) as trade_date") + " where \"Transcode\" % 2 = 0",
         "mkt_stage_csv": _snapshots(),
+        "quality_job_snapshots": _snapshot_report(),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,6 @@ from barsieve.operators.quality import (
     CheckResult,
     Labels,
     check,
-    date_failures_top,
     duplicate_key_failures,
     length_rule,
     null_key_failures,
@@ -28,12 +28,12 @@ from barsieve.operators.reconcile import row_counts
 from barsieve.operators.silver import project_bars, typed, typed_bars
 from barsieve.plans import views
 from barsieve.plans.datasets import Dataset, run_listed
-from barsieve.schemas import SNAPSHOT_SCHEMA, STAGED_BAR_COLUMNS, strings
+from barsieve.schemas import SNAPSHOT_SCHEMA, STAGED_BAR_COLUMNS
 from barsieve.scratch import scratch_path
 from barsieve.sources.archives import list_archives, scan_staged_entries, stage_entries, unzip_rows
-from barsieve.sources.csv import scan_csv, with_source_file
+from barsieve.sources.csv import read_by_name, scan_csv
 from barsieve.sources.snapshots import read_snapshots
-from barsieve.sources.tables import overwrite, read_table, stage_csv
+from barsieve.sources.tables import create_table, overwrite, read_table, stage_csv
 from barsieve.streaming.ingest import ingest, ingest_checked, new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,17 +52,14 @@ ODD_METADATA = [
     ("px", "DATETIME", None, False, False),
     ("d", "DATE", "'DD.MM.YYYY'", False, False),
 ]
-# keys of this many rows already take the path for very large keys
-HOT_FOR_TEST = 4
 
 
 def _specs(spark: SparkSession, metadata: list[tuple[str, str, str | None, bool, bool]]) -> list[ColumnSpec]:
     return column_specs(views.metadata_frame(spark, metadata), [m[0] for m in metadata])
 
 
-def _check_dirty(spark: SparkSession, sf_dir: str, hot_group_rows: int | None = None) -> CheckResult:
-    hot = {} if hot_group_rows is None else {"hot_group_rows": hot_group_rows}
-    return check(views.dirty(spark, sf_dir), _specs(spark, DIRTY_METADATA), SOURCE, TARGET, **hot)
+def _check_dirty(spark: SparkSession, sf_dir: str) -> CheckResult:
+    return check(views.dirty(spark, sf_dir), _specs(spark, DIRTY_METADATA), SOURCE, TARGET)
 
 
 def _dirty_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,19 +85,18 @@ def _dirty_labels() -> Labels:
 
 
 def gold_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the bars are grouped to one per symbol, series and day, so no month has more than 31 rows
-    return ordered_by_day(monthly_bars(views.bars(spark, sf_dir), hot_group_rows=None))
+    return ordered_by_day(monthly_bars(views.bars(spark, sf_dir)))
 
 
 def gold_month_close_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_bars(views.bars(spark, sf_dir), full_month=True, hot_group_rows=None)
+    return monthly_bars(views.bars(spark, sf_dir), full_month=True)
 
 
 def gold_returns_null_on_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The variant over all series, with a date column of another name and null over a zero close."""
     renamed = views.bars(spark, sf_dir).withColumnRenamed("generated_date", "timestamp")
     per_series = renamed.withColumn("symbol", F.concat_ws("-", "symbol", "series"))
-    return monthly_bars(per_series, date_col="timestamp", series=None, on_zero="null", hot_group_rows=None)
+    return monthly_bars(per_series, date_col="timestamp", series=None, on_zero="null")
 
 
 def gold_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,14 +104,20 @@ def gold_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_bars(views.ticks(spark, sf_dir), tie_break=["event_id"])
 
 
-def gold_ticks_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by way of the path for very large months."""
-    return monthly_bars(views.ticks(spark, sf_dir), tie_break=["event_id"], hot_group_rows=HOT_FOR_TEST)
+def gold_ticks_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the close of the whole month."""
+    return monthly_bars(views.ticks(spark, sf_dir), tie_break=["event_id"], full_month=True)
 
 
-def gold_ticks_hot_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ticks = views.ticks(spark, sf_dir)
-    return monthly_bars(ticks, tie_break=["event_id"], full_month=True, hot_group_rows=HOT_FOR_TEST)
+def gold_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed bars as a catalog table, the gold table made from it in day order, and both read by name.
+
+    The tables have names of their own in every run and are left in the warehouse.
+    """
+    run = uuid.uuid4().hex
+    create_table(typed_bars(project_bars(views.staged_bars(spark, sf_dir))), f"silver_{run}")
+    create_table(monthly_bars(read_table(spark, f"silver_{run}")), f"gold_{run}", order_by_day="generated_date")
+    return read_table(spark, f"gold_{run}")
 
 
 # -- checks ------------------------------------------------------------------------------------------
@@ -129,19 +131,15 @@ def rule_duplicate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_key_failures(views.dirty(spark, sf_dir), _dirty_labels())
 
 
-def rule_duplicate_key_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicate_key_failures(views.dirty(spark, sf_dir), _dirty_labels(), HOT_FOR_TEST)
-
-
-def rule_duplicate_copies_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that are copies of each other, keys included, by way of the path for very large keys."""
+def rule_duplicate_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are copies of each other, keys included."""
     copies = views.dirty(spark, sf_dir).select("symbol", "d")
-    return duplicate_key_failures(copies, Labels(SOURCE, TARGET, ("symbol",)), HOT_FOR_TEST)
+    return duplicate_key_failures(copies, Labels(SOURCE, TARGET, ("symbol",)))
 
 
-def rule_type_date_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = _specs(spark, DIRTY_METADATA)[3]
-    return date_failures_top(_dirty_keyed(spark, sf_dir), spec, _dirty_labels(), 100)
+def rule_duplicate_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key with most of the rows, and zeros of both signs among them, which stay apart in the report."""
+    return duplicate_key_failures(views.one_hot_key(spark, sf_dir), Labels(SOURCE, TARGET, ("k",)))
 
 
 def rule_unsupported(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,13 +151,18 @@ def failed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _check_dirty(spark, sf_dir).failed
 
 
-def failed_report_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _check_dirty(spark, sf_dir, HOT_FOR_TEST).failed
+def failed_report_other_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the metadata delivered in another order."""
+    metadata = views.metadata_frame(spark, DIRTY_METADATA).orderBy(F.col("sl no").desc())
+    specs = column_specs(metadata, [m[0] for m in DIRTY_METADATA])
+    return check(views.dirty(spark, sf_dir), specs, SOURCE, TARGET).failed
 
 
-def failed_report_date_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
-    specs = _specs(spark, DIRTY_METADATA)
-    return check(views.dirty(spark, sf_dir), specs, SOURCE, TARGET, date_limit=100).failed
+def clean_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a table without failures: no rows, all columns."""
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    metadata = [("o_orderkey", "BIGINT", None, True, True), ("o_orderstatus", "CHAR(1)", None, False, True)]
+    return check(orders, _specs(spark, metadata), SOURCE, TARGET).failed
 
 
 def passed_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +254,12 @@ def _days_per_symbol(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 
 def missing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = views.bars(spark, sf_dir)
+    return calendar.missing_within(bars, "generated_date", F.col("series") == "EQ", ("symbol",))
+
+
+def missing_from_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a range of days and a listing that come from different tables."""
     return calendar.missing_days(*_days_per_symbol(spark, sf_dir), ("symbol",))
 
 
@@ -265,12 +274,13 @@ def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_audit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records per day and in all, counted from staged files whose day is known by their folder only."""
+    """Records per staged file, per day and in all; the day is known by a folder only."""
     path = scratch_path(spark, "audit")
-    day = day_folder(F.col("ts"))
-    stage_csv(views.table(spark, sf_dir, "events").select("event_id", "user_id", day.alias("day")), path, "day")
-    staged = with_source_file(scan_csv(spark, path, nested=True))
-    return calendar.records_per_file(staged).where("total_level > 0").drop("source_file")
+    events = views.table(spark, sf_dir, "events")
+    file = F.concat(F.coalesce("event_type", F.lit("none")), F.lit(".csv"))
+    staged = events.select("event_id", "user_id", day_folder(F.col("ts")).alias("day"), file.alias("source_file"))
+    stage_csv(staged, path, "day", "source_file")
+    return calendar.records_per_file(scan_csv(spark, f"{path}/*", ["event_id"], nested=True, source_file=True))
 
 
 def files_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,6 +344,21 @@ def scan_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scan_csv_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder whose headers differ: other order, further columns, one of them without a name."""
+    path = scratch_path(spark, "mixed")
+    events, even = _event_text(spark, sf_dir), F.col("event_id").cast("bigint") % 2 == 0
+    overwrite(events.where(even), fmt="csv", path=path, header="true")
+    other = events.where(~even).select(*reversed(EVENT_COLUMNS), F.lit("x").alias("more"))
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in other.columns], F.lit(""))
+    head = ",".join([*other.columns, ""])
+    lines = other.select(line.alias("value")).groupBy(F.expr("pmod(xxhash64(value), 16)").alias("file"))
+    files = lines.agg(F.concat_ws("\n", F.lit(head), F.collect_list("value")).alias("value"))
+    files.repartition("file").select("value").write.mode("append").text(path)
+    scanned = read_by_name(spark, path, EVENT_COLUMNS)
+    return _event_types(scanned)
+
+
 def mkt_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "snapshots")
     views.write_snapshot_files(views.snapshot_rows(spark, sf_dir), path)
@@ -345,10 +370,17 @@ def mkt_stage_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, staged = scratch_path(spark, "snapshots"), scratch_path(spark, "staged")
     views.write_snapshot_files(views.snapshot_rows(spark, sf_dir), files)
     stage_csv(read_snapshots(spark, files, "*.gz"), staged, "trade_date", "source_file")
-    rows = scan_csv(spark, f"{staged}/*", nested=True)
+    rows = scan_csv(spark, f"{staged}/*", SNAPSHOT_SCHEMA.names, nested=True)
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in SNAPSHOT_SCHEMA.fields])
 
 
+def mkt_decode_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only files named as market files are decoded; the other half of the records is in files of another name."""
+    path = scratch_path(spark, "named")
+    views.write_named_snapshot_files(views.snapshot_rows(spark, sf_dir), path)
+    return read_snapshots(spark, path).drop("source_file")
+
+
 def bhav_unzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     views.write_archives(views.staged_bars(spark, sf_dir), path)
@@ -356,13 +388,24 @@ def bhav_unzip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bhav_stage_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive entries staged as they are, one file per entry, and read by a CSV scan."""
+    """Archive entries staged as they are, one file per entry, and read by a CSV scan.
+
+    Half of the entries have their columns in reverse and a comma at the end of each line.
+    """
     archives, staged = scratch_path(spark, "archives"), scratch_path(spark, "entries")
     views.write_archives(views.staged_bars(spark, sf_dir), archives)
     stage_entries(list_archives(spark, archives, "*"), staged)
     return typed_bars(project_bars(scan_staged_entries(spark, staged)))
 
 
+def bhav_stage_same_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from archives whose entries all have one name."""
+    archives, staged = scratch_path(spark, "archives"), scratch_path(spark, "entries")
+    views.write_archives(views.staged_bars(spark, sf_dir), archives, entry="bhav.csv")
+    stage_entries(list_archives(spark, archives, "*"), staged)
+    return typed_bars(project_bars(scan_staged_entries(spark, staged)))
+
+
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report written twice to the same place; the second write replaces the first."""
     path = scratch_path(spark, "report")
@@ -373,25 +416,32 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries of CSV files, each ingested by its own run; consumed files go to an archive."""
+    """Two deliveries of CSV files, each ingested by its own run; consumed files go to an archive.
+
+    The second delivery has its columns in another order.
+    """
     root = scratch_path(spark, "ingest")
-    events = _event_text(spark, sf_dir)
-    for delivery in (F.col("event_type") == "click", F.col("event_type") != "click"):
-        events.where(delivery).write.mode("append").option("header", True).csv(f"{root}/incoming")
-        stream = new_files(spark, f"{root}/incoming", strings(EVENT_COLUMNS), f"{root}/archive")
-        ingest(stream, f"{root}/table", f"{root}/progress")
-    return _event_types(spark.read.parquet(f"{root}/table"))
+    events, first = _event_text(spark, sf_dir), F.col("event_type").eqNullSafe("click")
+    for rows in (events.where(first), events.where(~first).select(*reversed(EVENT_COLUMNS))):
+        rows.write.mode("append").option("header", True).csv(f"{root}/incoming")
+        stream = new_files(spark, f"{root}/incoming", EVENT_COLUMNS, f"{root}/archive")
+        folder = ingest(stream, EVENT_COLUMNS, f"{root}/table", f"{root}/progress")
+    return _event_types(spark.read.parquet(folder))
 
 
 def incremental_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty rows delivered as CSV, checked as a batch of new files; the report that this leaves."""
+    """Dirty rows delivered as CSV files and read one file at a time, checked together; the report that this leaves."""
     root = scratch_path(spark, "checked")
     rows = views.dirty(spark, sf_dir)
-    rows.write.mode("append").option("header", True).csv(f"{root}/incoming")
+    # keys recur in both halves, so duplicates stand in different files
+    for half in (0, 1):
+        part = rows.where(F.col("event_id") % 2 == half).coalesce(2)
+        part.write.mode("append").option("header", True).csv(f"{root}/incoming")
     specs = _specs(spark, DIRTY_METADATA)
-    stream = new_files(spark, f"{root}/incoming", rows.schema, f"{root}/archive")
-    ingest_checked(stream, specs, SOURCE, TARGET, f"{root}/out", f"{root}/progress")
-    return spark.read.parquet(f"{root}/out/failed").drop("batch")
+    stream = new_files(spark, f"{root}/incoming", rows.columns, f"{root}/archive", files_per_batch=1)
+    typed_id = lambda df: df.withColumn("event_id", F.col("event_id").cast(rows.schema["event_id"].dataType))
+    ingest_checked(stream, rows.columns, specs, SOURCE, TARGET, f"{root}/out", f"{root}/progress", typed_id)
+    return spark.read.parquet(f"{root}/out/failed").drop("checkpoint", "from")
 
 
 BAR_METADATA = [
@@ -411,25 +461,54 @@ BAR_METADATA = [
 ]
 
 
-def quality_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged bars and their metadata file, run as the job runs them; the passed table, typed."""
+SNAPSHOT_METADATA = [
+    (name, "TINYINT" if name.startswith("Best_") else "BIGINT", None, name in ("Timestamp", "Security_Token"), True)
+    for name in SNAPSHOT_SCHEMA.names
+]
+
+
+def _run_job(spark: SparkSession, sf_dir: str) -> str:
+    """The job over both datasets, daily bars and snapshots; the folder with its results."""
     root = scratch_path(spark, "job")
     staged = views.staged_bars(spark, sf_dir).drop("trade_date")
     overwrite(staged, fmt="csv", path=f"{root}/data", header="true")
-    overwrite(views.metadata_frame(spark, BAR_METADATA), fmt="csv", path=f"{root}/metadata/bars.csv", header="true")
-    dataset = Dataset(
-        name="bars",
-        metadata_file="bars.csv",
-        read=lambda session: project_bars(scan_csv(session, f"{root}/data", STAGED_BAR_COLUMNS)),
-        source_name="staged bars",
-        target_name="bars",
-        failed={"fmt": "parquet", "path": f"{root}/failed"},
-        passed={"fmt": "parquet", "path": f"{root}/passed"},
-    )
-    outcome = run_listed(spark, [f"{root}/metadata/other.csv", f"{root}/metadata/bars.csv"], [dataset])
-    if outcome != {"bars": None}:
+    views.write_named_snapshot_files(views.snapshot_rows(spark, sf_dir), f"{root}/market")
+    stage_csv(read_snapshots(spark, f"{root}/market"), f"{root}/snapshots", "trade_date", "source_file")
+    for name, metadata in (("bars", BAR_METADATA), ("snapshots", SNAPSHOT_METADATA)):
+        frame = views.metadata_frame(spark, metadata)
+        overwrite(frame, fmt="csv", path=f"{root}/metadata/{name}.csv", header="true")
+
+    def dataset(name: str, read: Callable[[SparkSession], DataFrame]) -> Dataset:
+        return Dataset(
+            name=name,
+            metadata_file=f"{name}.csv",
+            read=read,
+            source_name=f"staged {name}",
+            target_name=name,
+            failed={"fmt": "parquet", "path": f"{root}/failed/{name}"},
+            passed={"fmt": "parquet", "path": f"{root}/passed/{name}"},
+        )
+
+    datasets = [
+        dataset("bars", lambda session: project_bars(scan_csv(session, f"{root}/data", STAGED_BAR_COLUMNS))),
+        dataset(
+            "snapshots", lambda session: scan_csv(session, f"{root}/snapshots/*", SNAPSHOT_SCHEMA.names, nested=True)
+        ),
+    ]
+    outcome = run_listed(spark, [f"{root}/metadata/{n}.csv" for n in ("other", "bars", "snapshots")], datasets)
+    if outcome != {"bars": None, "snapshots": None}:
         raise RuntimeError(f"quality job failed: {outcome}")
-    return typed_bars(read_table(spark, fmt="parquet", path=f"{root}/passed"))
+    return root
+
+
+def quality_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged bars and their metadata file, run as the job runs them; the passed table, typed."""
+    return typed_bars(read_table(spark, fmt="parquet", path=f"{_run_job(spark, sf_dir)}/passed/bars"))
+
+
+def quality_job_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failure report of the second dataset of the same run: market files, decoded, staged and checked."""
+    return read_table(spark, fmt="parquet", path=f"{_run_job(spark, sf_dir)}/failed/snapshots")
 
 
 def _check_rules() -> dict[str, Query]:
@@ -461,17 +540,16 @@ def all_queries() -> dict[str, Query]:
         gold_month_close_full,
         gold_returns_null_on_zero,
         gold_ticks,
-        gold_ticks_hot,
-        gold_ticks_hot_full,
+        gold_ticks_full,
+        gold_catalog,
         rule_null_key,
         rule_duplicate_key,
-        rule_duplicate_key_hot,
-        rule_duplicate_copies_hot,
-        rule_type_date_top100,
+        rule_duplicate_copies,
+        rule_duplicate_hot_key,
         rule_unsupported,
         failed_report,
-        failed_report_hot,
-        failed_report_date_top100,
+        failed_report_other_order,
+        clean_report,
         passed_null_key,
         passed_strict,
         except_all_surplus,
@@ -488,6 +566,7 @@ def all_queries() -> dict[str, Query]:
         date_spine,
         expected_files,
         missing_dates,
+        missing_from_listing,
         available_dates,
         ingest_audit,
         ingest_audit_files,
@@ -497,13 +576,17 @@ def all_queries() -> dict[str, Query]:
         scan_csv_flat,
         scan_csv_nested,
         scan_csv_infer,
+        scan_csv_mixed,
         mkt_decode,
+        mkt_decode_named,
         mkt_stage_csv,
         bhav_unzip,
         bhav_stage_csv,
+        bhav_stage_same_entry,
         sink_roundtrip,
         incremental_ingest,
         incremental_check,
         quality_job,
+        quality_job_snapshots,
     ]
     return {q.__name__: q for q in named} | _check_rules()

@@ -110,6 +110,16 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def one_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which seven in ten share a key; among their values are zeros of both signs, many times, and nulls."""
+    n = F.col("event_id")
+    value = F.when(n % 5 == 0, F.lit(-0.0)).when(n % 5 == 1, F.lit(0.0)).when(n % 5 == 2, None)
+    return table(spark, sf_dir, "events").select(
+        F.when(n % 10 < 7, "hot").when(n % 10 == 7, None).otherwise(F.col("user_id").cast("string")).alias("k"),
+        value.otherwise(F.col("value")).alias("v"),
+    )
+
+
 def event_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event ids as text, padded with zeros on every seventh row, so that some exceed each digit limit."""
     n = F.col("event_id")
@@ -219,6 +229,21 @@ def write_snapshot_files(rows: DataFrame, path: str) -> None:
     writer.option("compression", "gzip").option("lineSep", "\u0000").text(path)
 
 
+def write_named_snapshot_files(rows: DataFrame, path: str) -> None:
+    """The same with the records of even transcodes in files named as market files, the others in files that are not.
+
+    Spark names the files it writes, so those of the market are renamed afterwards.
+    """
+    spark = rows.sparkSession
+    market = F.col("Transcode") % 2 == 0
+    write_snapshot_files(rows.where(market), f"{path}/market")
+    write_snapshot_files(rows.where(~market), f"{path}/other")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for file in spark.read.text(f"{path}/market", recursiveFileLookup=True).inputFiles():
+        old = hadoop(file)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, hadoop(file.replace(".txt.gz", ".mkt.gz")))
+
+
 def _little_endian(value: Column, size: int) -> Column:
     digits = F.lpad(F.hex(value), size * 2, "0")
     return F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(size))])
@@ -237,28 +262,30 @@ def staged_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_archives(rows: DataFrame, path: str) -> None:
-    """One zip archive per year with one CSV entry per month; a month has at most 31 days of 50 bars.
+def write_archives(rows: DataFrame, path: str, entry: str | None = None) -> None:
+    """One zip archive per day with one CSV entry, named after the archive or as given.
 
-    An archive ends in a one-byte comment, the line feed that the text writer puts after each value.
+    On even days of the month the columns stand in reverse, and each line ends in a comma. An archive ends in a one-byte
+    comment, the line feed that the text writer puts after each value.
     """
-    header = ",".join(STAGED_BAR_COLUMNS)
-    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in STAGED_BAR_COLUMNS])
-    month = F.trunc("trade_date", "month")
-    entries = rows.groupBy(month.alias("month")).agg(
-        F.concat_ws("\n", F.lit(header), F.sort_array(F.collect_list(line)), F.lit("")).alias("text")
-    )
-    entry = F.regexp_replace(archive_name(F.col("month")), r"\.zip$", "")
-    archives = entries.groupBy(archive_name(F.trunc("month", "year")).alias("archive")).agg(
-        F.sort_array(F.collect_list(F.struct(entry.alias("entry"), "text"))).alias("entries")
+    field = lambda c: F.coalesce(F.col(c), F.lit(""))
+    turned = F.dayofmonth("trade_date") % 2 == 0
+    plain = F.concat_ws(",", *[field(c) for c in STAGED_BAR_COLUMNS])
+    reverse = F.concat_ws(",", *[field(c) for c in reversed(STAGED_BAR_COLUMNS)], F.lit(""))
+    heads = ",".join(STAGED_BAR_COLUMNS), ",".join([*reversed(STAGED_BAR_COLUMNS), ""])
+    days = rows.groupBy("trade_date").agg(F.sort_array(F.collect_list(F.when(turned, reverse).otherwise(plain))).alias("lines"))
+    head = F.when(turned, F.lit(heads[1])).otherwise(F.lit(heads[0]))
+    name = archive_name(F.col("trade_date"))
+    named = F.regexp_replace(name, r"\.zip$", "") if entry is None else F.lit(entry)
+    archives = days.select(
+        name.alias("archive"), named.alias("entry"), F.concat_ws("\n", head, F.col("lines"), F.lit("")).alias("text")
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [_zip(entries) for entries in batch.column("entries").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("archive"), pa.array(packed, pa.binary())], names=["archive", "content"]
-            )
+            entries = batch.select(["entry", "text"]).to_pylist()
+            packed = pa.array([_zip([e]) for e in entries], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("archive"), packed], names=["archive", "content"])
 
     content = archives.mapInArrow(pack, "archive string, content binary")
     ready = content.select("archive", F.col("content").cast("string").alias("value"))

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import sys
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.csv as pacsv
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from barsieve.schemas import STAGED_BAR_COLUMNS, strings
+from barsieve.functions.days import file_in_path
+from barsieve.schemas import STAGED_BAR_COLUMNS
+from barsieve.sources.csv import SPARE_COLUMNS, cell_schema, read_by_name
 
 # the functions that tasks run travel with the job, so executors need no copy of this package
 register_pickle_by_value(sys.modules[__name__])
@@ -29,68 +30,86 @@ def list_archives(spark: SparkSession, path: str, name_filter: str = "*.zip*") -
 
 
 def unzip_rows(archives: DataFrame, columns: list[str] = STAGED_BAR_COLUMNS) -> DataFrame:
-    """Rows of every CSV entry, all text, columns matched by header; an absent column or empty field is null."""
+    """Rows of every CSV entry, all text, columns matched by header; an empty field is null.
+
+    An entry whose header lacks a column fails the job, further columns are left out, and an entry without a line has
+    no rows. Lines are parsed by Spark as those of any CSV file.
+    """
     columns = list(columns)
-    schema = T.StructType([T.StructField("entry", T.StringType()), *strings(columns).fields])
-    convert = pacsv.ConvertOptions(
-        column_types={c: pa.string() for c in columns},
-        include_columns=columns,
-        include_missing_columns=True,
-        strings_can_be_null=True,
-        null_values=[""],
-    )
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, stream in _entries(batches):
-            # an entry without even a header line has no rows
-            if not stream.peek(1):
-                continue
-            for block in pacsv.open_csv(stream, convert_options=convert):
-                entry = pa.array([name]).take(pa.array([0] * len(block), pa.int32()))
-                yield pa.RecordBatch.from_arrays([entry, *block.columns], names=schema.names)
-
-    return archives.select("content").mapInArrow(rows, schema)
+    schema = cell_schema(len(columns) + SPARE_COLUMNS)
+    lines = _lines(archives, columns).where("line_no > 0")
+    found = lines.select("entry", "places", F.from_csv("line", schema.simpleString()[7:-1].replace(":", " ")).alias("c"))
+    values = F.array(*[F.col("c")[f.name] for f in schema])
+    at = [F.get(values, F.get("places", F.lit(i))).alias(c) for i, c in enumerate(columns)]
+    return found.select("entry", *at)
 
 
 def unzip_lines(archives: DataFrame) -> DataFrame:
-    """Lines of every entry with their position, for staging the entries as they are."""
+    """Lines of every entry with their archive and position, for staging the entries as they are."""
+    return _lines(archives, []).drop("places")
+
+
+def _lines(archives: DataFrame, columns: list[str]) -> DataFrame:
+    """Lines of every entry: `archive`, `entry`, `line_no`, `line`, and where its header has the columns: `places`."""
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, stream in _entries(batches):
-            start = 0
+        for path, name, stream in _entries(batches):
+            start, places = 0, None
             while block := stream.readlines(_READ_BYTES):
+                if places is None:
+                    places = _places(block[0], columns, f"{path} {name}")
                 n = len(block)
+                same = pa.array([0] * n, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([name]).take(pa.array([0] * n, pa.int32())),
+                        pa.array([path]).take(same),
+                        pa.array([name]).take(same),
                         pa.array(range(start, start + n), pa.int64()),
-                        pa.array([line.removesuffix(b"\n") for line in block], pa.binary()),
+                        pa.array([line.removesuffix(b"\n").removesuffix(b"\r") for line in block], pa.binary()),
+                        pa.array([places], pa.list_(pa.int32())).take(same),
                     ],
-                    names=["entry", "line_no", "line"],
+                    names=["archive", "entry", "line_no", "line", "places"],
                 )
                 start += n
 
-    staged = archives.select("content").mapInArrow(lines, "entry string, line_no bigint, line binary")
+    schema = "archive string, entry string, line_no bigint, line binary, places array<int>"
+    staged = archives.select("path", "content").mapInArrow(lines, schema)
     return staged.withColumn("line", F.col("line").cast("string"))
 
 
+def _places(header: bytes, columns: list[str], where: str) -> list[int]:
+    """Where a header line has the columns."""
+    names = next(csv.reader([header.decode("utf-8-sig").rstrip("\r\n")]), [])
+    absent = [c for c in columns if c not in names]
+    if absent:
+        raise ValueError(f"no column {', '.join(absent)} in {where}")
+    return [names.index(c) for c in columns]
+
+
 def stage_entries(archives: DataFrame, path: str) -> None:
-    """Write every entry line by line under its own name, `entry=<name>/`; no shuffle, one file per entry."""
-    ordered = unzip_lines(archives).sortWithinPartitions("entry", "line_no")
-    ordered.select("entry", "line").write.partitionBy("entry").mode("overwrite").text(path)
+    """Write every entry line by line under its archive's and its own name; no shuffle, one file per entry.
+
+    `archive=<name>-<hash of its path>/entry=<name>/`, so that entries of one name in several archives stay apart, and
+    so do archives of one name in several folders.
+    """
+    path = F.col("archive")
+    named = unzip_lines(archives).withColumn("archive", F.concat(file_in_path(path), F.lit("-"), F.hex(F.xxhash64(path))))
+    ordered = named.sortWithinPartitions("archive", "entry", "line_no")
+    ordered.select("archive", "entry", "line").write.partitionBy("archive", "entry").mode("overwrite").text(path)
 
 
-def scan_staged_entries(spark: SparkSession, path: str, columns: list[str] = STAGED_BAR_COLUMNS) -> DataFrame:
-    """The staged entries as one CSV scan, all text; each file's header must be the given columns."""
-    reader = spark.read.option("header", True).schema(strings(list(columns))).option("enforceSchema", False)
-    return reader.option("recursiveFileLookup", True).csv(path)
+def scan_staged_entries(
+    spark: SparkSession, path: str, columns: list[str] = STAGED_BAR_COLUMNS, stage: str | None = None
+) -> DataFrame:
+    """The staged entries as one CSV scan, all text, columns by name."""
+    return read_by_name(spark, path, list(columns), stage=stage, recursiveFileLookup=True)
 
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, zipfile.ZipExtFile]]:
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, zipfile.ZipExtFile]]:
     for batch in batches:
-        for content in batch.column("content"):
+        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
             with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as archive:
                 for info in archive.infolist():
                     if not info.is_dir():
                         with archive.open(info) as stream:
-                            yield info.filename, stream
+                            yield path.as_py(), info.filename, stream

@@ -1,12 +1,61 @@
-"""CSV folders as staged: header row, every column text unless asked otherwise."""
+"""CSV files as staged: a header row, every column text unless asked otherwise, columns found by name."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barsieve.functions.days import day_in_path, file_in_path
+from barsieve.functions.days import day_in_path, file_in_path, named_folder_in_path
 from barsieve.schemas import METADATA_COLUMNS, strings
+from barsieve.scratch import scratch_path
+
+#: Columns that a file may have beyond those asked for.
+SPARE_COLUMNS = 32
+
+FILE = "_file"
+
+
+def cell_schema(width: int) -> T.StructType:
+    """Cells of a line by place."""
+    return strings([f"_c{i}" for i in range(width)])
+
+
+def cells(columns: DataFrame | list[str]) -> Column:
+    names = columns.columns if isinstance(columns, DataFrame) else columns
+    return F.array(*[F.col(c) for c in names if c.startswith("_c")])
+
+
+def by_header(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns by name from cells by place (`_c0`, ...) and the file that they come from (`_file`).
+
+    A file's header is the line that holds all the names; further columns are left out, and names may stand in any
+    order, which may differ from file to file. A file without such a line fails the job when it is read. The lines are
+    gone through twice, so they should be staged; the headers, a row for each file, are joined by file.
+    """
+    every = cells(lines)
+    named = F.lit(True)
+    for c in columns:
+        named = named & F.array_contains(every, c)
+    named = F.coalesce(named, F.lit(False))
+    places = F.array(*[F.array_position(every, c).cast("int") for c in columns])
+    headers = lines.where(named).groupBy(FILE).agg(F.min(places).alias("_places"))
+    headers = headers.withColumnRenamed(FILE, "_header_file")
+    rows = lines.where(~named).join(headers, F.col(FILE) == F.col("_header_file"), "left")
+    absent = F.concat(F.lit(f"no header with {', '.join(columns)} in "), F.col(FILE))
+    places = F.when(F.col("_places").isNull(), F.raise_error(absent).cast("array<int>")).otherwise(F.col("_places"))
+    rows = rows.select(FILE, every.alias("_cells"), places.alias("_places"))
+    at = [F.element_at("_cells", F.element_at("_places", i + 1)).alias(c) for i, c in enumerate(columns)]
+    return rows.select(*at, FILE)
+
+
+def staged_lines(spark: SparkSession, path: str, width: int, stage: str | None = None, **options: object) -> DataFrame:
+    """The lines of CSV files as cells and file, parsed once and staged as Parquet."""
+    found = spark.read.schema(cell_schema(width)).options(**options).csv(path)
+    stage = stage or scratch_path(spark, "csv")
+    found.select("*", F.col("_metadata.file_path").alias(FILE)).write.parquet(stage)
+    schema = T.StructType([*cell_schema(width).fields, T.StructField(FILE, T.StringType())])
+    return spark.read.schema(schema).parquet(stage)
 
 
 def scan_csv(
@@ -15,28 +64,50 @@ def scan_csv(
     columns: list[str] | None = None,
     nested: bool = False,
     infer: bool = False,
+    source_file: bool = False,
+    stage: str | None = None,
 ) -> DataFrame:
-    """The CSV files of a folder, or of its direct sub-folders when `nested`.
+    """The CSV files of a folder, or of its direct sub-folders when `nested`, with the given columns by name.
 
-    With `columns` no file is opened to find the header, and a file whose header differs fails the scan.
-    `infer` costs an extra pass over the files to guess the types.
+    Without `columns` the names are those of the first file's header. A file that lacks one of them fails the job;
+    further columns are left out. The files are parsed once, when this is called, and staged as Parquet (in `stage`
+    or the shared folder), so what follows may read the rows as often as it needs. `infer` costs an extra pass over
+    the files to guess the types. `source_file` adds the file of each row and the trading day that its path names.
     """
-    reader = spark.read.option("header", True)
-    if columns is not None:
-        reader = reader.schema(strings(columns)).option("enforceSchema", False)
-    elif infer:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(f"{path.rstrip('/')}/{'*/' if nested else ''}*.csv")
+    files = f"{path.rstrip('/')}/{'*/' if nested else ''}*.csv"
+    return read_by_name(spark, files, columns, infer, source_file, stage)
+
 
+def read_by_name(
+    spark: SparkSession,
+    files: str,
+    columns: list[str] | None = None,
+    infer: bool = False,
+    source_file: bool = False,
+    stage: str | None = None,
+    **options: object,
+) -> DataFrame:
+    """`scan_csv` of files given by pattern and reader options."""
+    reader = spark.read.option("header", True).options(**options)
+    first = reader.option("inferSchema", infer).csv(files).schema if columns is None or infer else None
+    names = list(columns if columns is not None else first.names)
+    width = max(len(names), len(first or ())) + SPARE_COLUMNS
+    rows = by_header(staged_lines(spark, files, width, stage, **options), names)
+    if infer:
+        rows = rows.withColumns({c: F.col(c).try_cast(first[c].dataType) for c in names if c in first.names})
+    return with_source_file(rows) if source_file else rows.drop(FILE)
 
-def with_source_file(scan: DataFrame) -> DataFrame:
-    """Add the file each row of a scan comes from, and the trading day that a folder of its path names."""
-    path = F.col("_metadata.file_path")
-    return scan.select("*", file_in_path(path).alias("source_file"), day_in_path(path).alias("trade_date"))
+
+def with_source_file(rows: DataFrame) -> DataFrame:
+    """In place of the path of each row's file, its name and the trading day that a folder of the path names.
+
+    Files staged below folders `source_file=<name>` have that name.
+    """
+    path = F.col(FILE)
+    name = F.coalesce(named_folder_in_path(path, "source_file"), file_in_path(path))
+    return rows.withColumns({"source_file": name, "trade_date": day_in_path(path)}).drop(FILE)
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """A metadata file with its 14 columns under their fixed names, whatever its header says."""
     return spark.read.option("header", True).csv(path).toDF(*METADATA_COLUMNS)
-
-

@@ -35,26 +35,20 @@ def list_files(spark: SparkSession, path: str, name_filter: str = "*.mkt.gz*") -
     return files.select("path", day_in_path(F.col("path")).alias("trade_date"), "length")
 
 
-def read_snapshots(
-    spark: SparkSession, path: str, name_filter: str = "*.mkt.gz*", on_unreadable: str = "fail"
-) -> DataFrame:
+def read_snapshots(spark: SparkSession, path: str, name_filter: str = "*.mkt.gz*") -> DataFrame:
     """All records of the snapshot files below a folder, with the file they come from and its trading day.
 
     Spark packs files into tasks of spark.sql.files.maxPartitionBytes; a gzip file cannot be split, so one
     file is always one task.
     """
-    return decode_snapshots(_files(spark, path, name_filter).select("path", "content"), on_unreadable)
+    return decode_snapshots(_files(spark, path, name_filter).select("path", "content"))
 
 
-def decode_snapshots(files: DataFrame, on_unreadable: str = "fail") -> DataFrame:
+def decode_snapshots(files: DataFrame) -> DataFrame:
     """Records of files given as `path` and gzip `content`; a short record at the end is dropped.
 
-    A file that is no whole gzip file fails the job, or gives no rows at all with `on_unreadable='skip'`;
-    `unreadable_files` names those.
+    A file that is no whole gzip file fails the job; `unreadable_files` names such files.
     """
-    if on_unreadable not in ("fail", "skip"):
-        raise ValueError("on_unreadable must be 'fail' or 'skip'")
-    skip = on_unreadable == "skip"
     layout = np.dtype([(n, f"<u{size}") for n, size in SNAPSHOT_FIELDS] + [("unused", "<u4"), ("pad", "V16")])
     origin = [T.StructField("trade_date", T.DateType()), T.StructField("source_file", T.StringType())]
     schema = T.StructType([*SNAPSHOT_SCHEMA.fields, *origin])
@@ -63,8 +57,6 @@ def decode_snapshots(files: DataFrame, on_unreadable: str = "fail") -> DataFrame
         for batch in batches:
             for row in range(batch.num_rows):
                 content = batch.column("content")[row].as_buffer()
-                if skip and _problem(content) is not None:
-                    continue
                 for block in _blocks(content):
                     records = np.frombuffer(block, dtype=layout)
                     columns = [pa.array(records[n].astype(f"i{size * 2}")) for n, size in SNAPSHOT_FIELDS]

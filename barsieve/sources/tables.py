@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsieve.operators.gold import ordered_by_day
+from barsieve.scratch import scratch_path
 
 
 def read_table(spark: SparkSession, table: str | None = None, fmt: str | None = None, **options: str) -> DataFrame:
@@ -24,10 +24,21 @@ def overwrite(df: DataFrame, table: str | None = None, fmt: str | None = None, *
     (writer if table is None else writer.option("dbtable", table)).save()
 
 
-def create_table(df: DataFrame, name: str, fmt: str = "parquet", order_by_day: str | None = None) -> None:
-    """Create or replace a catalog table from the rows, optionally laid out in day order."""
-    rows = df if order_by_day is None else ordered_by_day(df, order_by_day)
-    rows.write.mode("overwrite").format(fmt).saveAsTable(name)
+def create_table(
+    df: DataFrame, name: str, fmt: str = "parquet", order_by_day: str | None = None, stage: str | None = None
+) -> None:
+    """Create or replace a catalog table from the rows, optionally laid out in day order.
+
+    For day order the rows are staged first (in `stage` or the shared folder), so that finding the ranges of days does
+    not evaluate them again; each file then holds a range of days and symbols, in order.
+    """
+    if order_by_day is not None:
+        stage = stage or scratch_path(df.sparkSession, "ordered")
+        df.write.parquet(stage)
+        rows = df.sparkSession.read.schema(df.schema).parquet(stage)
+        order = [order_by_day, *(["symbol"] if "symbol" in df.columns else [])]
+        df = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    df.write.mode("overwrite").format(fmt).saveAsTable(name)
 
 
 def stage_csv(df: DataFrame, path: str, *partitions: str) -> None:

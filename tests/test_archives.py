@@ -40,10 +40,29 @@ def test_rows_of_every_entry(spark, archives):
     assert rows(df) == sorted([("cm01JAN2016bhav.csv", *a), ("cm01JAN2016bhav.csv", *b), ("x.csv", *a)], key=repr)
 
 
-def test_absent_columns_are_null(spark, tmp_path):
+def test_absent_columns_fail(spark, tmp_path):
     _zip(tmp_path / "a.zip", {"a.csv": "SYMBOL,MORE\nAAA,1\n"})
-    df = unzip_rows(list_archives(spark, str(tmp_path)), ["SYMBOL", "ISIN"])
-    assert rows(df) == [("a.csv", "AAA", None)]
+    archives = list_archives(spark, str(tmp_path))
+    assert rows(unzip_rows(archives, ["MORE"])) == [("a.csv", "1")]
+    with pytest.raises(Exception, match="no column ISIN in .*a.csv"):
+        unzip_rows(archives, ["SYMBOL", "ISIN"]).collect()
+
+
+def test_entries_of_one_name_stay_apart(spark, tmp_path):
+    for k, symbol in enumerate("ABC"):
+        folder = tmp_path / "in" / str(k // 2)
+        folder.mkdir(parents=True, exist_ok=True)
+        _zip(folder / f"{k % 2}.zip", {"e.csv": f"SYMBOL,N\n{symbol}{symbol}{symbol},{k}\n"})
+    stage_entries(list_archives(spark, str(tmp_path / "in")).coalesce(1), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").rglob("*.txt"))) == 3
+    got = rows(scan_staged_entries(spark, str(tmp_path / "out"), ["N", "SYMBOL"]))
+    assert got == [("0", "AAA"), ("1", "BBB"), ("2", "CCC")]
+
+
+def test_windows_line_ends_and_quotes(spark, tmp_path):
+    _zip(tmp_path / "a.zip", {"a.csv": 'SYMBOL,"N, M",X\r\n"A,B",1,\r\nC,,\r\n'})
+    df = unzip_rows(list_archives(spark, str(tmp_path)), ["N, M", "SYMBOL"])
+    assert rows(df) == [("a.csv", "1", "A,B"), ("a.csv", None, "C")]
 
 
 def test_staged_entries_keep_their_lines(spark, archives, tmp_path):

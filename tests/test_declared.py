@@ -84,3 +84,11 @@ def test_keys_keep_the_order_of_the_metadata(spark):
     specs = column_specs(metadata, ["a", "b", "c"])
     assert [s.name for s in specs] == ["a", "b", "c"]
     assert key_names(specs) == ["c", "a"]
+    turned = column_specs(metadata.orderBy("column_name"), ["a", "b", "c"])
+    assert key_names(turned) == ["c", "a"]
+
+
+def test_keys_are_ordered_by_number(spark):
+    metadata = metadata_frame(spark, [(f"c{i}", "INT", None, True, False) for i in range(12)])
+    names = [f"c{i}" for i in reversed(range(12))]
+    assert key_names(column_specs(metadata.repartition(5), names)) == names[::-1]

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from barsieve.operators.duplicates import except_all, keep_first, mark_surplus, repeat_rows
-from barsieve.operators.skew import group_hash, hot_groups
 from tests.conftest import rows
 
 
@@ -38,10 +37,9 @@ def _survivors(data, keyed):
     return Counter((rest[0], key, rest[1]) for key, rest in best.items())
 
 
-@pytest.mark.parametrize("hot", [None, 1, 50, 10**9])
-def test_surplus_matches_brute_force(spark, hot):
+def test_surplus_matches_brute_force(spark):
     df, data = _skewed(spark, 7)
-    marked = mark_surplus(df, ["k"], hot_group_rows=hot).collect()
+    marked = mark_surplus(df, ["k"]).collect()
     kept = Counter(tuple(r)[:3] for r in marked if not r["_surplus"])
     surplus = Counter(tuple(r)[:3] for r in marked if r["_surplus"])
     assert kept == _survivors(data, "k")
@@ -55,9 +53,7 @@ def test_keep_first_matches_brute_force(spark):
 
 def test_keys_only_rows(spark):
     df = spark.createDataFrame([("a", 1)] * 5 + [("b", 2)], "k string, n int")
-    for hot in (None, 2):
-        marked = mark_surplus(df, ["k", "n"], hot_group_rows=hot)
-        assert rows(marked.where("_surplus").select("k", "n")) == [("a", 1)] * 4
+    assert rows(mark_surplus(df, ["k", "n"]).where("_surplus").select("k", "n")) == [("a", 1)] * 4
     assert rows(keep_first(df, ["k", "n"])) == [("a", 1), ("b", 2)]
 
 
@@ -90,29 +86,29 @@ def test_many_copies_are_written_by_many_tasks(spark):
     assert len(sizes) > 4 and max(r["count"] for r in sizes) < 40_000
 
 
-def test_hot_groups(spark):
-    df = spark.range(60_000).select(
-        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 == 1, None).otherwise(F.col("id").cast("string")).alias("k")
-    )
-    group = group_hash("k")
-    hot = hot_groups(df, group, 10_000)
-    assert [r["k"] for r in df.where(group.isin(hot)).distinct().collect()] == ["hot"]
-    assert hot_groups(df, group, 30_000) == []
-    assert hot_groups(df, group, None) == []
-    assert hot_groups(df.where("false"), group, 1) == []
+def test_rows_come_out_as_read(spark):
+    df = spark.createDataFrame([("k", 0.0), ("k", -0.0), ("k", -0.0), ("k", 5.0), (None, -0.0)], "k string, v double")
+    marked = mark_surplus(df, ["k"], null_keys=False)
+    got = sorted((r["k"] or "", str(r["v"]), r["_surplus"]) for r in marked.collect() if r["_surplus"] is not None)
+    assert got == [("k", "-0.0", False), ("k", "-0.0", True), ("k", "0.0", True), ("k", "5.0", True)]
+    assert [(r["k"], str(r["v"])) for r in marked.where("_surplus is null").collect()] == [(None, "-0.0")]
 
 
-def test_hot_groups_are_bounded(spark):
-    df = spark.range(20_000).select((F.col("id") % 5000).alias("k"))
-    assert len(hot_groups(df, group_hash("k"), 1)) <= 1000
-
-
-def test_rows_of_a_hot_key_go_through_no_window(spark, capsys):
+def test_no_window_and_no_job_for_a_hot_key(spark, capsys):
     df, _ = _skewed(spark, 3)
-    mark_surplus(df, ["k"], hot_group_rows=100).explain()
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    marked = mark_surplus(df, ["k"])
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    marked.explain()
     plan = capsys.readouterr().out
-    branches = plan.split("Union", 1)[1]
-    window = branches.split("Window [row_number()", 1)[1]
-    assert plan.count("Window [row_number()") == 1
-    # the one window reads what is left after the hot keys are taken out
-    assert "NOT (xxhash64" in window or "NOT xxhash64" in window
+    assert "Window" not in plan
+    # the rows meet their key's first row in a join dealt by more than the key, which Spark can split
+    assert "hashpartitioning(_key_hash" in plan
+
+
+def test_empty_and_single_rows(spark):
+    empty = spark.createDataFrame([], "k string, v int")
+    assert mark_surplus(empty, ["k"]).count() == 0
+    one = spark.createDataFrame([("a", None)], "k string, v int")
+    assert [tuple(r) for r in mark_surplus(one, ["k"]).collect()] == [("a", None, False)]

@@ -28,9 +28,8 @@ SMALL = [
 ]
 
 
-@pytest.mark.parametrize("hot", [None, 1])
-def test_running_month(spark, hot):
-    df = monthly_bars(_bars(spark, SMALL), date_col="d", hot_group_rows=hot)
+def test_running_month(spark):
+    df = monthly_bars(_bars(spark, SMALL), date_col="d")
     got = {r["n"]: (r["open_monthly"], r["close_monthly"], r["high_monthly"], r["low_monthly"]) for r in df.collect()}
     assert got == {
         1: (1.0, 10.0, 9.0, 1.0),
@@ -42,9 +41,8 @@ def test_running_month(spark, hot):
     }
 
 
-@pytest.mark.parametrize("hot", [None, 1])
-def test_full_month_close(spark, hot):
-    df = monthly_bars(_bars(spark, SMALL), date_col="d", full_month=True, hot_group_rows=hot)
+def test_full_month_close(spark):
+    df = monthly_bars(_bars(spark, SMALL), date_col="d", full_month=True)
     assert {r["n"]: r["close_monthly"] for r in df.collect()} == {1: 5.0, 2: 5.0, 3: 5.0, 5: 7.0, 6: 4.0, 7: 4.0}
 
 
@@ -86,33 +84,32 @@ def _expected(data, full):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot", [None, 600, 1])
 @pytest.mark.parametrize("full", [False, True])
-def test_many_rows_per_day_match_brute_force(spark, hot, full):
+def test_many_rows_per_day_match_brute_force(spark, full):
     data = _many(3)
-    df = monthly_bars(
-        _bars(spark, data).repartition(5), date_col="d", tie_break=["n"], full_month=full, hot_group_rows=hot
-    )
+    df = monthly_bars(_bars(spark, data).repartition(5), date_col="d", tie_break=["n"], full_month=full)
     assert rows(df.select("n", "open_monthly", "close_monthly", "high_monthly", "low_monthly")) == _expected(data, full)
 
 
 def test_default_tie_break_does_not_depend_on_row_order(spark):
     bars = _bars(spark, _many(5))
     first = rows(monthly_bars(bars.repartition(3, "n"), date_col="d"))
-    second = rows(monthly_bars(bars.repartition(7, "open"), date_col="d", hot_group_rows=1))
+    second = rows(monthly_bars(bars.repartition(7, "open"), date_col="d"))
     assert first == second
 
 
-def test_one_shuffle_and_one_sort(spark, capsys):
-    monthly_bars(_bars(spark, SMALL), date_col="d", hot_group_rows=None).explain()
+def test_windows_see_one_row_per_day(spark, capsys):
+    monthly_bars(_bars(spark, SMALL), date_col="d").explain()
     plan = capsys.readouterr().out
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("Sort [") == 1
+    windows = plan[plan.index("Window") :]
+    # every window stands above the aggregate by symbol and day
+    assert "min_by(open" in windows and plan.rindex("Window") < plan.index("min_by(open")
+    assert "Broadcast" not in plan or "BroadcastExchange" in plan
 
 
 def test_order_by_day_splits_a_large_day(spark):
-    same = ("a", "EQ", "2020-01-01", 1.0, 1.0, 1.0, 1.0, 1.0, 1)
-    bars = _bars(spark, [same] * 4000 + SMALL).repartition(8)
+    same = [(f"s{k}", "EQ", "2020-01-01", 1.0, 1.0, 1.0, 1.0, 1.0, k) for k in range(4000)]
+    bars = _bars(spark, same + SMALL).repartition(8)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
         ordered = ordered_by_day(bars, "d")

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barsieve.functions.declared import column_specs
-from barsieve.operators.quality import Labels, check, date_failures_top, null_key_failures, rule_failures, type_rule
+from barsieve.operators.quality import Labels, check, null_key_failures
 from barsieve.plans import queries, views
 from barsieve.schemas import REPORT_COLUMNS
 from tests.conftest import rows
@@ -72,24 +72,22 @@ def test_passed(spark):
 
 def test_invariants(spark, sf_dir):
     dirty = views.dirty(spark, sf_dir)
-    for hot in (None, queries.HOT_FOR_TEST):
-        result = check(dirty, _specs(spark, queries.DIRTY_METADATA), "s", "t", hot)
-        by_kind = {r[0]: r[1] for r in result.failed.groupBy("Validation Type").count().collect()}
-        total, passed = dirty.count(), result.passed_null_key.count()
-        assert passed + by_kind["Primary Key - Null Data Validation"] == total
-        distinct = result.passed_null_key.select("symbol", "d").distinct().count()
-        assert by_kind["Primary Key - Duplicate Data Validation"] == passed - distinct
-        assert result.failed.count() == sum(by_kind.values())
-        assert result.passed_strict.exceptAll(result.passed_null_key).isEmpty()
-
-
-@pytest.mark.parametrize("hot", [None, queries.HOT_FOR_TEST])
-def test_partitioning_does_not_matter(spark, sf_dir, hot):
+    result = check(dirty, _specs(spark, queries.DIRTY_METADATA), "s", "t")
+    by_kind = {r[0]: r[1] for r in result.failed.groupBy("Validation Type").count().collect()}
+    total, passed = dirty.count(), result.passed_null_key.count()
+    assert passed + by_kind["Primary Key - Null Data Validation"] == total
+    distinct = result.passed_null_key.select("symbol", "d").distinct().count()
+    assert by_kind["Primary Key - Duplicate Data Validation"] == passed - distinct
+    assert result.failed.count() == sum(by_kind.values())
+    assert result.passed_strict.exceptAll(result.passed_null_key).isEmpty()
+
+
+def test_partitioning_does_not_matter(spark, sf_dir):
     specs = _specs(spark, queries.DIRTY_METADATA)
     found = []
     for parts in (1, 8):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
-        result = check(views.dirty(spark, sf_dir).repartition(parts), specs, "s", "t", hot)
+        result = check(views.dirty(spark, sf_dir).repartition(parts), specs, "s", "t")
         found.append((rows(result.failed), rows(result.passed_strict)))
     assert found[0] == found[1]
 
@@ -120,30 +118,35 @@ def test_undeclared_and_missing_columns(spark):
     df = spark.createDataFrame([("a",)], "other string")
     with pytest.raises(ValueError, match="not in the data"):
         check(df, _specs(spark, METADATA), "s", "t")
+    more = spark.createDataFrame([("1", "2", "3")], "k string, v string, w string")
+    with pytest.raises(ValueError, match="not declared: w"):
+        check(more, _specs(spark, [("k", "INT", None, True, True), ("v", "INT", None, False, False)]), "s", "t")
 
 
-def test_date_report_cut_to_a_length_is_ordered(spark):
-    df = spark.createDataFrame([(f"k{i:03d}", "bad") for i in reversed(range(150))], "id string, day string")
-    spec = _specs(spark, [("day", "DATE", "'DD-MON-YYYY'", False, False)])[0]
-    labels = Labels("s", "t", ("id",))
-    got = date_failures_top(df.repartition(7), spec, labels, 100).collect()
-    assert sorted(r[5] for r in got) == [f"{{id -> k{i:03d}, day -> bad}}" for i in range(100)]
-    whole = rule_failures(df, [type_rule(spec, ["id"])], labels)
-    assert whole.count() == 150
-
-
-def test_checks_are_one_scan_and_stay_in_the_jvm(spark, sf_dir, capsys):
-    dirty = views.dirty(spark, sf_dir)
-    result = check(dirty, _specs(spark, queries.DIRTY_METADATA), "s", "t", None)
+def test_checks_stay_in_the_jvm(spark, sf_dir, tmp_path, capsys):
+    path = str(tmp_path / "rows")
+    views.dirty(spark, sf_dir).write.parquet(path)
+    result = check(spark.read.parquet(path), _specs(spark, queries.DIRTY_METADATA), "s", "t")
     result.failed.explain()
     plan = capsys.readouterr().out
-    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 1
-    assert "Python" not in plan and "ExistingRDD" not in plan
+    assert "Python" not in plan and "ExistingRDD" not in plan and "Window" not in plan
     result.passed_null_key.explain()
     plan = capsys.readouterr().out
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
 
 
+def test_a_large_group_of_null_keys_is_spread(spark):
+    df = spark.range(2000).selectExpr("cast(null as string) k", "cast(id as string) v")
+    failed = check(df, _specs(spark, [("k", "INT", None, True, True), ("v", "INT", None, False, False)]), "s", "t").failed
+    assert failed.count() == 2000
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        sizes = [len(p) for p in failed.rdd.glom().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    assert max(sizes) < 1000
+
+
 def test_null_keys_are_reported_once(spark):
     df = spark.createDataFrame([(None, None), ("a", None), (None, "b"), ("a", "b")], "x string, y string")
     got = null_key_failures(df, Labels("s", "t", ("y", "x")))

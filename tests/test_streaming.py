@@ -1,25 +1,26 @@
+import pytest
+
 from barsieve.functions.declared import column_specs
 from barsieve.plans import views
-from barsieve.schemas import strings
 from barsieve.streaming.ingest import ingest, ingest_checked, new_files
 from tests.conftest import rows
 
 
-def _deliver(folder, name, lines):
+def _deliver(folder, name, lines, head="k,v"):
     folder.mkdir(parents=True, exist_ok=True)
-    (folder / name).write_text("\n".join(["k,v", *lines]) + "\n")
+    (folder / name).write_text("\n".join([head, *lines]) + "\n")
 
 
 def test_files_are_read_once_and_archived(spark, tmp_path):
     incoming, archive = tmp_path / "incoming", tmp_path / "archive"
 
     def run():
-        stream = new_files(spark, str(incoming), strings(["k", "v"]), str(archive), files_per_batch=1)
-        ingest(stream, str(tmp_path / "table"), str(tmp_path / "progress"))
-        return rows(spark.read.parquet(str(tmp_path / "table")))
+        stream = new_files(spark, str(incoming), ["k", "v"], str(archive), files_per_batch=1)
+        folder = ingest(stream, ["k", "v"], str(tmp_path / "table"), str(tmp_path / "progress"))
+        return rows(spark.read.parquet(folder).select("k", "v"))
 
     _deliver(incoming, "a.csv", ["1,x"])
-    _deliver(incoming, "b.csv", ["2,y"])
+    _deliver(incoming, "b.csv", ["y,2,z"], "v,k,more")
     assert run() == [("1", "x"), ("2", "y")]
     assert run() == [("1", "x"), ("2", "y")]
     _deliver(incoming, "c.csv", ["3,z"])
@@ -29,23 +30,48 @@ def test_files_are_read_once_and_archived(spark, tmp_path):
     assert "a.csv" in moved and moved | left == {"a.csv", "b.csv", "c.csv"} and not moved & left
 
 
-def test_batches_are_checked(spark, tmp_path):
+def _checked(spark, tmp_path, files_per_batch=None, progress="progress"):
     metadata = views.metadata_frame(spark, [("k", "INT", None, True, True), ("v", "CHAR(1)", None, False, False)])
     specs = column_specs(metadata, ["k", "v"])
+    stream = new_files(spark, str(tmp_path / "incoming"), ["k", "v"], files_per_batch=files_per_batch)
+    ingest_checked(stream, ["k", "v"], specs, "s", "t", str(tmp_path / "out"), str(tmp_path / progress))
+    return spark.read.parquet(str(tmp_path / "out" / "passed")), spark.read.parquet(str(tmp_path / "out" / "failed"))
 
-    def run():
-        stream = new_files(spark, str(tmp_path / "incoming"), strings(["k", "v"]), str(tmp_path / "archive"))
-        ingest_checked(stream, specs, "s", "t", str(tmp_path / "out"), str(tmp_path / "progress"))
 
+def test_runs_are_checked(spark, tmp_path):
     _deliver(tmp_path / "incoming", "a.csv", ["1,x", "1,y", ",z"])
-    run()
+    _checked(spark, tmp_path)
     _deliver(tmp_path / "incoming", "b.csv", ["2,long"])
-    run()
-    passed = spark.read.parquet(str(tmp_path / "out" / "passed"))
-    failed = spark.read.parquet(str(tmp_path / "out" / "failed"))
-    assert rows(passed.select("k", "v", "batch")) == [("1", "x", 0), ("1", "y", 0), ("2", "long", 1)]
-    assert sorted((r["Validation Type"], r["batch"]) for r in failed.collect()) == [
+    passed, failed = _checked(spark, tmp_path)
+    assert rows(passed.select("k", "v", "from")) == [("1", "x", 0), ("1", "y", 0), ("2", "long", 1)]
+    assert sorted((r["Validation Type"], r["from"]) for r in failed.collect()) == [
         ("DataLength - CHAR(1) Validation", 1),
         ("Primary Key - Duplicate Data Validation", 0),
         ("Primary Key - Null Data Validation", 0),
     ]
+    again = _checked(spark, tmp_path)
+    assert [x.count() for x in again] == [3, 3]
+
+
+@pytest.mark.parametrize("files_per_batch", [None, 1])
+def test_duplicates_are_found_across_files(spark, tmp_path, files_per_batch):
+    _deliver(tmp_path / "incoming", "a.csv", ["1,x"])
+    _deliver(tmp_path / "incoming", "b.csv", ["y,1"], "v,k")
+    passed, failed = _checked(spark, tmp_path, files_per_batch)
+    assert rows(passed.select("k", "v")) == [("1", "x"), ("1", "y")]
+    assert [(r["Validation Type"], r["Unmatched Records"]) for r in failed.collect()] == [
+        ("Primary Key - Duplicate Data Validation", "{k -> 1, v -> y}")
+    ]
+
+
+def test_a_new_checkpoint_replaces_nothing(spark, tmp_path):
+    _deliver(tmp_path / "incoming", "a.csv", ["1,x"])
+    _checked(spark, tmp_path)
+    passed, _ = _checked(spark, tmp_path, progress="lost-and-new")
+    assert rows(passed.select("k", "v")) == [("1", "x"), ("1", "x")]
+
+
+def test_a_file_without_the_columns_fails(spark, tmp_path):
+    _deliver(tmp_path / "incoming", "a.csv", ["1,x"], "k,w")
+    with pytest.raises(Exception, match="no header with k, v"):
+        _checked(spark, tmp_path)

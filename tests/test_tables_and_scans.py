@@ -34,10 +34,39 @@ def test_flat_and_nested_scans(spark, tmp_path):
     assert rows(scan_csv(spark, str(tmp_path), ["k", "v"])) == rows(flat)
 
 
-def test_scan_with_other_header_fails(spark, tmp_path):
+def test_columns_are_found_by_name(spark, tmp_path):
     _csv(tmp_path / "a.csv", "k,v\n1,x\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        scan_csv(spark, str(tmp_path), ["v", "k"]).collect()
+    _csv(tmp_path / "b.csv", "v,more,k,\ny,7,2,\n,,3,\n")
+    _csv(tmp_path / "c.csv", 'more,"v",k\n1,"a,b",4\n')
+    want = [("1", "x"), ("2", "y"), ("3", None), ("4", "a,b")]
+    assert rows(scan_csv(spark, str(tmp_path), ["k", "v"])) == want
+    assert rows(scan_csv(spark, str(tmp_path), ["v", "k"]).select("k", "v")) == want
+
+
+def test_a_file_that_lacks_a_column_fails(spark, tmp_path):
+    _csv(tmp_path / "a.csv", "k,v\n1,x\n")
+    _csv(tmp_path / "b.csv", "k,w\n2,y\n")
+    with pytest.raises(Exception, match="no header with k, v in .*b.csv"):
+        scan_csv(spark, str(tmp_path), ["k", "v"]).collect()
+
+
+def test_csv_is_parsed_once(spark, tmp_path, capsys):
+    _csv(tmp_path / "a.csv", "k,v\n1,x\n")
+    scan_csv(spark, str(tmp_path), ["k", "v"]).explain()
+    plan = capsys.readouterr().out
+    assert "FileScan parquet" in plan and "FileScan csv" not in plan
+
+
+def test_source_files_and_days(spark, tmp_path):
+    _csv(tmp_path / "August282023" / "a.csv", "k\n1\n")
+    _csv(tmp_path / "August292023" / "b.csv", "k\n2\n")
+    got = rows(scan_csv(spark, str(tmp_path), ["k"], nested=True, source_file=True))
+    assert got == [("1", "a.csv", dt.date(2023, 8, 28)), ("2", "b.csv", dt.date(2023, 8, 29))]
+
+
+def test_headers_only(spark, tmp_path):
+    _csv(tmp_path / "a.csv", "k,v\n")
+    assert rows(scan_csv(spark, str(tmp_path), ["k", "v"])) == []
 
 
 def test_metadata_is_named_by_position(spark, tmp_path):
@@ -78,7 +107,7 @@ def test_profile(spark):
 def test_reconcile(spark):
     assert tuple(row_counts(spark.range(5), spark.range(5)).collect()[0])[:3] == (5, 5, 0)
     more = row_counts(spark.range(2), spark.range(5)).collect()[0]
-    assert (more["missing_rows"], more["status"]) == (-3, "Missing number of rows is -> -3")
+    assert (more["missing_rows"], more["status"]) == (-3, "rows that the target lacks: -3")
     assert row_counts(spark.range(0), spark.range(0)).collect()[0]["source_rows"] == 0
 
 
