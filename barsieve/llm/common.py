@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 4 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let workers on this machine import the package from where the driver has it.
+
+    On a cluster it goes along with the job (`--py-files`), like any package.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The same rows, written as Parquet to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
@@ -108,3 +122,20 @@ def map_blocks(
             yield pa.RecordBatch.from_arrays([_as_arrow(made[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, out)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups of rows that come sorted by integer keys: tables, each with the cuts between its groups."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([*held, batch])
+        values = np.column_stack([table.column(k).to_numpy() for k in keys])
+        cuts = np.concatenate([[0], np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1])
+        if cuts[-1]:
+            yield table.slice(0, cuts[-1]), cuts
+        held = table.slice(cuts[-1]).to_batches()  # its last group may go on
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, np.array([0, table.num_rows])

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from barsieve.llm.common import staged
+from barsieve.llm.common import sorted_groups, staged
 from barsieve.llm.components import components
 
 THRESHOLD = 0.9
@@ -167,29 +167,19 @@ def _links(
 
 def _compared(batches: Iterator[pa.RecordBatch], k: int, tables: int, most: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket and blocks to `node`, `links` first found here and `root` in the bucket."""
-    kept: list[pa.RecordBatch] = []
-
-    def groups(table: pa.Table, last: bool) -> Iterator[pa.Table]:
-        key = np.column_stack([table.column(c).to_numpy() for c in ("length", "bucket", "i", "j")])
-        cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]])
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if last or b < len(key):
-                yield table.slice(a, b - a)
-            else:
-                kept.extend(table.slice(a).to_batches())
-
-    def result(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    for table, cuts in sorted_groups(batches, ["length", "bucket", "i", "j"]):
+        column = {c: table.column(c).to_numpy() for c in ("length", "bucket", "i", "j", "own", "node", "copies")}
+        vectors, packed = table.column("vector").to_pylist(), table.column("axes").to_pylist()
         node_out, link_out, root_out = [], [], []
-        for group in groups(table, not more):
-            if len(group) < 2:
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            if end - start < 2:
                 continue
-            first = {c: group.column(c)[0].as_py() for c in ("length", "bucket", "i", "j")}
-            nodes, copies = group.column("node").to_numpy(), group.column("copies").to_numpy()
-            x = _unit(np.array([_vector(raw, first["length"]) for raw in group.column("vector").to_pylist()]))
-            axes = np.frombuffer(b"".join(group.column("axes").to_pylist()), dtype=np.uint32)
-            codes = bucket_codes(axes.reshape(len(nodes), tables, k, 2), most).reshape(len(nodes), -1)
-            own = group.column("own").to_numpy()
-            a, b, touched, root = _links(nodes, x, codes, own, first["bucket"], tables, first["i"], first["j"])
+            length, bucket, i, j = (int(column[c][start]) for c in ("length", "bucket", "i", "j"))
+            nodes, copies, own = (column[c][start:end] for c in ("node", "copies", "own"))
+            x = _unit(np.array([_vector(raw, length) for raw in vectors[start:end]]))
+            axes = np.frombuffer(b"".join(packed[start:end]), dtype=np.uint32).reshape(len(nodes), tables, k, 2)
+            codes = bucket_codes(axes, most).reshape(len(nodes), -1)
+            a, b, touched, root = _links(nodes, x, codes, own, bucket, tables, i, j)
             links = np.bincount(a, copies[b], len(nodes)) + np.bincount(b, copies[a], len(nodes))
             node_out.append(nodes[touched])
             link_out.append(links[touched].astype(np.int64))
@@ -198,16 +188,6 @@ def _compared(batches: Iterator[pa.RecordBatch], k: int, tables: int, most: int)
             out = {"node": np.concatenate(node_out), "links": np.concatenate(link_out), "root": np.concatenate(root_out)}
             yield pa.RecordBatch.from_pydict(out)
 
-    more = True
-    for batch in batches:
-        if batch.num_rows:
-            held, kept = [*kept, batch], []
-            yield from result(pa.Table.from_batches(held))
-    more = False
-    if kept:
-        held, kept = kept, []
-        yield from result(pa.Table.from_batches(held))
-
 
 def near_vectors(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     """For each row: `vec_id`, `n_links`, `component_id`, `kept` (vec_id is the smallest of its component)."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from barsieve.llm import (
     quality_rules,
     suffix_dedup,
 )
-from barsieve.llm.common import documents
+from barsieve.llm.common import documents, importable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +110,15 @@ from kept
 """
 
 
+def _with_package(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def all_queries() -> dict[str, Query]:
     named = [
         op1_line_dedup,
@@ -122,7 +132,7 @@ def all_queries() -> dict[str, Query]:
         op9_embedding_dedup,
         op10_quality_rules,
     ]
-    return {q.__name__: q for q in named}
+    return {q.__name__: _with_package(q) for q in named}
 
 
 def all_sql() -> dict[str, str]:
