@@ -92,8 +92,9 @@ def stage_entries(archives: DataFrame, path: str) -> None:
     `archive=<name>-<hash of its path>/entry=<name>/`, so that entries of one name in several archives stay apart, and
     so do archives of one name in several folders.
     """
-    path = F.col("archive")
-    named = unzip_lines(archives).withColumn("archive", F.concat(file_in_path(path), F.lit("-"), F.hex(F.xxhash64(path))))
+    source = F.col("archive")
+    own = F.concat(file_in_path(source), F.lit("-"), F.hex(F.xxhash64(source)))
+    named = unzip_lines(archives).withColumn("archive", own)
     ordered = named.sortWithinPartitions("archive", "entry", "line_no")
     ordered.select("archive", "entry", "line").write.partitionBy("archive", "entry").mode("overwrite").text(path)
 
