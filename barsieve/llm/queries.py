@@ -110,6 +110,55 @@ from kept
 """
 
 
+OP2_SQL = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+), sets as (
+    select doc_id, list_distinct(case
+        when len(w) = 0 then []
+        when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+    from words
+), shingles as (
+    select doc_id, len(s) as n, unnest(s) as shingle from sets where doc_id is not null
+), links as (
+    select a.doc_id as a, b.doc_id as b
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n
+    having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach as (
+    select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a
+), least as (
+    select a, min(b) as low from reach group by a
+)
+select doc_id, len(s)::bigint as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id
+from sets left join least on doc_id = a
+"""
+
+OP9_SQL = r"""
+with recursive sound as (
+    select vec_id, embedding::double[] as v from embeddings
+    where vec_id is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+    select a.vec_id as a, b.vec_id as b from sound a join sound b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+    where list_cosine_similarity(a.v, b.v) >= 0.9
+), counted as (
+    select a, count(*) as n from links group by a
+), reach as (
+    select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a
+), least as (
+    select a, min(b) as low from reach group by a
+)
+select vec_id, coalesce(n, 0)::bigint as n_links, least(vec_id, coalesce(low, vec_id)) as component_id,
+    coalesce(vec_id = least(vec_id, coalesce(low, vec_id)), true) as kept
+from embeddings left join counted on vec_id = counted.a left join least on vec_id = least.a
+"""
+
+
 def _with_package(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,4 +185,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_ngram_join": OP2_SQL, "op9_embedding_dedup": OP9_SQL}
