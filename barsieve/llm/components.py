@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from barsieve.llm.common import staged
@@ -32,8 +32,11 @@ def components(edges: DataFrame) -> DataFrame:
         hung = small.select(F.col("b").alias("a"), F.col("low").alias("b")).unionAll(
             small.select("a", F.col("low").alias("b"))
         )
-        current = staged(hung.where("a <> b").distinct(), "edges")
-        state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        seen = Observation()
+        digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("digest")
+        hung = hung.where("a <> b").distinct().observe(seen, F.count(F.lit(1)).alias("edges"), digest)
+        current = staged(hung, "edges")
+        state = seen.get
         if state == before:
             break
         before = state

@@ -11,23 +11,27 @@ smallest values of the set under random orders; a class enters `TILES` tiles in
 any two sets whose sizes allow the similarity share a band. Two sets of similarity s share no tile with probability
 (1 - s**ROWS)**TILES: below 8e-8 at 0.75, below 3e-9 at 0.8. Equal sets do not depend on it. Within a tile,
 
-1. every class meets the tile's smallest class id; pairs are verified and make first components;
-2. where a tile still holds several components, the classes of different components meet, in blocks.
+1. every class meets the tile's smallest class id; pairs are verified, and linked classes share a label;
+2. in tiles of `STAR_FROM` classes or more, every class meets one class of the tile drawn by hash, unless they share a
+   label, `STARS` times;
+3. where a tile still holds several labels, the classes of different labels meet, in blocks.
 
-So the pairs of a large group of copies are never listed: once a group is one component, nothing is left to compare.
+So the pairs of a large group of copies are never listed: once a group has one label, nothing is left to compare.
+The first two steps only save work; the third compares all that they have not joined.
 A pair is verified by its sizes, then by hashed bitmaps (bits that one set has alone bound the overlap from above),
 then by the exact intersection of the sorted hashes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsieve.llm.common import add_columns, map_blocks, staged
+from barsieve.llm.common import add_columns, map_blocks, sorted_groups, staged
 from barsieve.llm.components import components
 from barsieve.llm.textblocks import U64, TextBlock, distinct_in_rows, folded, mix, windows
 
@@ -35,6 +39,8 @@ WORDS = 5
 #: Similarity to link, as a fraction.
 OVER, UNDER = 75, 100
 ROWS, TILES = 3, 30
+#: Turns in which the classes of a tile meet one drawn by hash, and classes of a tile from which on that saves work.
+STARS, STAR_FROM = 2, 16
 #: Classes of a tile that one task compares with as many others.
 BLOCK = 1024
 #: Bits in a bitmap, at most.
@@ -158,47 +164,107 @@ def _exact(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, bounded: bool) -> DataFrame:
-    """The pairs (`a`, `b`) that link. `bounded`: their bitmaps have been compared."""
-    if not bounded:
-        sized = _within(pairs, classes.withColumnRenamed("n_shingles", "n"), ["n", "bits"])
-        sized = sized.where(UNDER * F.least("n_a", "n_b") >= OVER * F.greatest("n_a", "n_b"))
-        pairs = staged(_bounded(sized).select("a", "b"), "bounded")
-    ends = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
+def _sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The sorted hashes of the nodes' texts."""
 
     def make(block: pa.RecordBatch) -> dict[str, object]:
         hashes, cuts = shingles(block.column("text"))
-        nodes = block.column("doc_id").to_pylist()
-        return {"node": nodes, "hashes": [hashes[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]}
+        found = block.column("doc_id")
+        return {"node": found, "hashes": [hashes[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]}
+
+    rows = docs.select("doc_id", "text").join(nodes.withColumnRenamed("node", "doc_id"), "doc_id")
+    return staged(map_blocks(rows, make, "node long, hashes binary").dropDuplicates(["node"]), "sets")
+
+
+class _Verifier:
+    """Decides pairs of classes; keeps the hashes of the classes that it has seen, as tables."""
+
+    def __init__(self, classes: DataFrame, docs: DataFrame):
+        self.sizes = classes.select("node", F.col("n_shingles").alias("n"), "bits")
+        self.docs = docs
+        self.sets: DataFrame | None = None
 
-    sets = staged(map_blocks(docs.select("doc_id", "text").join(ends, "doc_id"), make, "node long, hashes binary"), "sets")
-    return staged(_exact(_within(pairs, sets, ["hashes"])), "links")
+    def links(self, pairs: DataFrame, bounded: bool = False) -> DataFrame:
+        """The pairs (`a`, `b`) that link. `bounded`: their bitmaps have been compared."""
+        if not bounded:
+            sized = _within(pairs, self.sizes, ["n", "bits"])
+            sized = sized.where(UNDER * F.least("n_a", "n_b") >= OVER * F.greatest("n_a", "n_b"))
+            pairs = staged(_bounded(sized).select("a", "b"), "bounded")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if self.sets is not None:
+            ends = ends.join(self.sets.select("node"), "node", "left_anti")
+        fresh = _sets(staged(ends, "ends"), self.docs)
+        self.sets = fresh if self.sets is None else self.sets.unionAll(fresh)
+        return staged(_exact(_within(pairs, self.sets, ["hashes"])), "links")
+
+
+def _joined_so_far(links: DataFrame) -> DataFrame:
+    """Labels by which some linked classes, not all, are known to be in one component: `node`, `component`.
+
+    Every class takes the smallest one that it links with, and then that one's.
+    """
+    ways = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = staged(ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "labels")
+    far = near.select(F.col("a").alias("low"), F.col("low").alias("lower"))
+    return near.join(far, "low", "left").select(F.col("a").alias("node"), F.coalesce("lower", "low").alias("component"))
 
 
-def _block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+def _components_in_tiles(entries: DataFrame, known: DataFrame) -> DataFrame:
+    """The tiles' classes with the component that each is in so far."""
+    known = known.withColumnRenamed("node", "_n")
+    held = entries.join(known, F.col("node") == F.col("_n"), "left")
+    return held.select("tile", "node", F.coalesce("component", "node").alias("component"))
+
+
+def _star_pairs(entries: DataFrame, known: DataFrame, turn: int) -> DataFrame:
+    """Each tile's classes with one of them, drawn by hash, that is in another component."""
+    held = _components_in_tiles(entries, known)
+    drawn = F.xxhash64(F.lit(turn), "node")
+    leads = held.groupBy("tile").agg(F.min_by("node", drawn).alias("lead"), F.min_by("component", drawn).alias("of"))
+    pairs = held.join(leads, "tile").where("component <> of")
+    return staged(pairs.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct(), "star")
+
+
+def _folded_bits(raw: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of one matrix, folded to the shortest of them."""
+    words = [_as_words(b) for b in raw]
+    least = min(map(len, words))
+    out = np.zeros((len(words), least), dtype=U64)
+    for k, w in enumerate(words):
+        out[k] = np.bitwise_or.reduce(w.reshape(-1, least), axis=0)
+    return out
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a tile's two blocks, of different components, that sizes and bitmaps allow to link."""
-    i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
-    rows = rows.drop_duplicates(["node"])
-    left, right = rows[rows["own"] == i], rows[rows["own"] == j]
-    out: list[tuple[int, int]] = []
-    n_right, comp = right["n"].to_numpy(), right["component"].to_numpy()
-    nodes, bits = right["node"].to_numpy(), [_as_words(b) for b in right["bits"]]
-    for node, n, component, raw in left[["node", "n", "component", "bits"]].itertuples(index=False):
-        x = _as_words(raw)
-        near = (comp != component) & (UNDER * np.minimum(n, n_right) >= OVER * np.maximum(n, n_right))
-        if i == j:
-            near &= nodes > node
-        for k in np.flatnonzero(near):
-            if linked(overlap_bound(int(n), x, int(n_right[k]), bits[k]), int(n), int(n_right[k])):
-                out.append((min(node, nodes[k]), max(node, nodes[k])))
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-
-def _across(entries: DataFrame, classes: DataFrame, first: DataFrame) -> DataFrame:
+    for table, cuts in sorted_groups(batches, ["tile", "i", "j"]):
+        column = {c: table.column(c).to_numpy() for c in ("i", "j", "own", "node", "component", "n")}
+        raw = table.column("bits").to_pylist()
+        found_a, found_b = [], []
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            own, node, component, n = (column[c][start:end] for c in ("own", "node", "component", "n"))
+            i, j = column["i"][start], column["j"][start]
+            if end - start < 2 or (component == component[0]).all():
+                continue
+            bits = _folded_bits(raw[start:end])
+            for k in np.flatnonzero(own == i):
+                near = (component != component[k]) & (own == j) & (node > node[k] if i == j else True)
+                near &= UNDER * np.minimum(n[k], n) >= OVER * np.maximum(n[k], n)
+                at = np.flatnonzero(near)
+                if len(at):
+                    alone = np.bitwise_count(bits[k] & ~bits[at]).sum(axis=1, dtype=np.int64)
+                    others = np.bitwise_count(bits[at] & ~bits[k]).sum(axis=1, dtype=np.int64)
+                    most = np.minimum(n[k] - alone, n[at] - others)
+                    at = at[UNDER * most >= OVER * (n[k] + n[at] - most)]
+                    found_a.append(np.minimum(node[k], node[at]))
+                    found_b.append(np.maximum(node[k], node[at]))
+        if found_a:
+            yield pa.RecordBatch.from_pydict({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+
+
+def _across(entries: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs to verify of the classes that share a tile but not a component."""
-    known = first.withColumnRenamed("node", "_n")
-    held = entries.join(known, F.col("node") == F.col("_n"), "left")
-    held = held.select("tile", "node", F.coalesce("component", "node").alias("component"))
+    held = _components_in_tiles(entries, known)
     mixed = (
         held.groupBy("tile")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"))
@@ -213,8 +279,10 @@ def _across(entries: DataFrame, classes: DataFrame, first: DataFrame) -> DataFra
     )
     rows = rows.select("tile", "node", "component", "own", F.explode(meets).alias("at"))
     wide = rows.join(classes.select("node", F.col("n_shingles").alias("n"), "bits"), "node")
+    order = ["tile", "i", "j"]
     flat = wide.select("tile", "at.i", "at.j", "own", "node", "component", "n", "bits")
-    return staged(flat.groupBy("tile", "i", "j").applyInPandas(_block_pairs, "a long, b long").distinct(), "across")
+    dealt = flat.repartition(*order).sortWithinPartitions(*order)
+    return staged(dealt.mapInArrow(_block_pairs, "a long, b long").distinct(), "across")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -228,13 +296,18 @@ def near_copies(docs: DataFrame) -> DataFrame:
     classes = staged(own.join(heads, ["node", "f1", "f2"]).select("node", "n_shingles", "tiles", "bits"), "class-sketches")
     entries = classes.select("node", F.explode("tiles").alias("tile"))
     shared = entries.groupBy("tile").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    entries = staged(entries.join(shared, "tile").select("tile", "lead", "node"), "tiles")
+    entries = staged(entries.join(shared, "tile").select("tile", "lead", "node", "m"), "tiles")
     pairs = staged(entries.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    plain = docs.select("doc_id", "text")
-    links = _verified(pairs, classes, plain, bounded=False)
-    first = components(links)
-    more = _verified(_across(entries, classes, first).join(pairs, ["a", "b"], "left_anti"), classes, plain, bounded=True)
-    joined = components(links.unionAll(more))
+    verifier = _Verifier(classes, docs)
+    links = verifier.links(pairs)
+    known = staged(_joined_so_far(links), "joined")
+    for turn in range(STARS):
+        star = _star_pairs(entries.where(F.col("m") >= STAR_FROM), known, turn).join(pairs, ["a", "b"], "left_anti")
+        links = links.unionAll(verifier.links(star))
+        pairs = pairs.unionAll(star)
+        known = staged(_joined_so_far(links), "joined")
+    more = _across(entries, classes, known).join(pairs, ["a", "b"], "left_anti")
+    joined = components(links.unionAll(verifier.links(more, bounded=True)))
     nodes = heads.join(joined, "node", "left").select(
         "f1", "f2", "n_shingles", F.coalesce("component", "node").alias("component")
     )
