@@ -16,8 +16,10 @@ anchors are equal, and only those need to meet.
 4. An anchor with more than `KINDS` differing segments is not sorted in one task: its strings are counted by 128 bits
    of hash over all tasks instead, which gives the same answer.
 
-A text is known by 128 bits of its hash, so copies of a text share their spans. Repeated rows are documents of their
-own, and doc_ids may be null. Other columns are carried along; an input column named like a new one is replaced.
+Counts of anchors and kinds are written before they are joined to the segments, so that Spark can split the partition
+of a frequent one. A text is known by 128 bits of its hash, so copies of a text share their spans. Repeated rows are documents of their
+own, and doc_ids may be null. Other columns are carried along, but for input columns
+named t1, t2 or runs; one named like a new one is replaced.
 """
 
 from __future__ import annotations
@@ -264,9 +266,9 @@ def repeats(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, kinds: int
     anchors = cuts.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("kind").alias("low"), F.max("kind").alias("high")
     )
-    anchors = anchors.where("n > 1").select("anchor", F.expr("low <> high").alias("differ"))
+    anchors = staged(anchors.where("n > 1").select("anchor", F.expr("low <> high").alias("differ")), "anchors")
     again = staged(cuts.join(anchors, "anchor"), "repeated-anchors")
-    counts = again.groupBy("anchor", "kind").agg(F.count(F.lit(1)).alias("copies"))
+    counts = staged(again.groupBy("anchor", "kind").agg(F.count(F.lit(1)).alias("copies")), "copies")
     counted = staged(again.join(counts, ["anchor", "kind"]), "kinds")
     whole = counted.where("copies > 1").select("t1", "t2", "start", "starts").distinct()
     wanted = staged(counted.where("differ").dropDuplicates(["anchor", "kind"]), "wanted")
@@ -295,7 +297,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | Non
     """The rows with `n_bytes`, `n_removed`, the removed `spans` (first byte, byte after) and the bytes `kept`."""
     text = F.coalesce("text", F.lit(""))
     keys = {"t1": F.xxhash64(text), "t2": F.xxhash64(F.lit(11), text)}
-    keyed = docs.withColumns(keys)
+    keyed = docs.drop("runs").withColumns(keys)
     runs = repeats(keyed.select("doc_id", text.alias("text"), "t1", "t2"), length, **options)
 
     def cut(block: pa.RecordBatch) -> dict[str, object]:
