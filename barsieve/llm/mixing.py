@@ -156,7 +156,7 @@ def mix(
         .where("before < chosen and before + m >= chosen")
         .select("sid", "size", F.col("bucket").alias("edge"), (F.col("chosen") - F.col("before")).alias("need"))
     )
-    full = plan.join(edge, ["sid", "size"], "left")
+    full = staged(plan.join(edge, ["sid", "size"], "left"), "plan")
     found = staged(rows.join(full, ["sid", "size"]).withColumn("bucket", bucket), "chosen")
     on_edge = F.col("bucket") == F.col("edge")
     clear = F.col("edge").isNull() | ~on_edge
