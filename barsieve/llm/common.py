@@ -20,7 +20,7 @@ from barsieve.scratch import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that a task turns into arrays at a time. A longer text makes a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def importable(spark: SparkSession) -> None:
