@@ -236,10 +236,15 @@ def _folded_bits(raw: list[bytes]) -> np.ndarray:
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a tile's two blocks, of different components, that sizes and bitmaps allow to link."""
+    """Pairs of a tile's two blocks, of different components, that sizes and bitmaps allow to link.
+
+    A pair comes out of the smallest tile that both are in; they have different labels in every tile they share.
+    """
     for table, cuts in sorted_groups(batches, ["tile", "i", "j"]):
         column = {c: table.column(c).to_numpy() for c in ("i", "j", "own", "node", "component", "n")}
         raw = table.column("bits").to_pylist()
+        tiles = table.column("tiles").combine_chunks().flatten().to_numpy().reshape(-1, 2 * TILES)
+        of = table.column("tile").to_numpy()
         found_a, found_b = [], []
         for start, end in zip(cuts[:-1], cuts[1:], strict=True):
             own, node, component, n = (column[c][start:end] for c in ("own", "node", "component", "n"))
@@ -256,6 +261,10 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     others = np.bitwise_count(bits[at] & ~bits[k]).sum(axis=1, dtype=np.int64)
                     most = np.minimum(n[k] - alone, n[at] - others)
                     at = at[UNDER * most >= OVER * (n[k] + n[at] - most)]
+                    shared = tiles[start:end][at]
+                    top = np.iinfo(np.int64).max
+                    first = np.where(np.isin(shared, tiles[start + k]), shared, top).min(axis=1, initial=top)
+                    at = at[first == of[start]]
                     found_a.append(np.minimum(node[k], node[at]))
                     found_b.append(np.maximum(node[k], node[at]))
         if found_a:
@@ -278,9 +287,9 @@ def _across(entries: DataFrame, classes: DataFrame, known: DataFrame) -> DataFra
         lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")),
     )
     rows = rows.select("tile", "node", "component", "own", F.explode(meets).alias("at"))
-    wide = rows.join(classes.select("node", F.col("n_shingles").alias("n"), "bits"), "node")
+    wide = rows.join(classes.select("node", F.col("n_shingles").alias("n"), "bits", "tiles"), "node")
     order = ["tile", "i", "j"]
-    flat = wide.select("tile", "at.i", "at.j", "own", "node", "component", "n", "bits")
+    flat = wide.select("tile", "at.i", "at.j", "own", "node", "component", "n", "bits", "tiles")
     dealt = flat.repartition(*order).sortWithinPartitions(*order)
     return staged(dealt.mapInArrow(_block_pairs, "a long, b long").distinct(), "across")
 
