@@ -405,6 +405,30 @@ def test_attention_gradients_and_windows():
     assert sum(10.0 ** s for s in first) == pytest.approx(1, rel=1e-4)
 
 
+def test_every_word_of_a_text_is_learned_from(spark):
+    def learned(words):
+        model = attention_lm.AttentionModel()
+        docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+        attention_lm.learn_everywhere(docs, model, packing.default_vocabulary())
+        return model.flat()
+
+    words = ["one", "two"] * 1000
+    plain = learned(words)
+    for place in (0, 500, 1000, 1500, 1999):
+        assert (learned([*words[:place], "six", *words[place + 1 :]]) != plain).any(), place
+
+
+@settings(max_examples=40, deadline=None)
+@given(counts=st.lists(st.integers(0, 100), min_size=1, max_size=6), batch=st.integers(1, 5))
+def test_whole_windows(counts, batch):
+    bounds = np.cumsum([0, *counts])
+    groups = np.arange(bounds[-1]) % 127
+    parts = attention_lm.whole_windows(groups, bounds, batch)
+    found = [pair for x, y, w in parts for pair in zip(x[w > 0].tolist(), y[w > 0].tolist(), strict=True)]
+    texts = [groups[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert found == [pair for t in texts for pair in zip([attention_lm.START, *t], [*t, attention_lm.END], strict=True)]
+
+
 # Personal data
 
 
