@@ -12,9 +12,11 @@ empty table gives an empty table. No id is dropped. Only ids' counts and checksu
 from __future__ import annotations
 
 import base64
+import json
 import math
 import zlib
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -39,18 +41,21 @@ def default_vocabulary() -> str:
 
 @cache
 def encoder(path: str):
-    """The byte-level tokenizer of a file of ranks; special tokens are ordinary text."""
+    """The byte-level tokenizer of a file of ranks, with the added tokens of the JSON file beside it, if there is one."""
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    whole = Path(path).with_suffix(".json")
+    added = json.loads(whole.read_text(encoding="utf-8"))["added_tokens"] if whole.exists() else []
+    special = {t["content"]: t["id"] for t in added}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def token_ids(path: str, text: str | None) -> np.ndarray:
-    """The ids of a text and the end id, as unsigned 32-bit numbers."""
-    ids = encoder(path).encode_to_numpy(text, disallowed_special=()) if text else np.zeros(0, dtype="<u4")
+    """The ids of a text and the end id, as unsigned 32-bit numbers; an added token that stands in the text has its id."""
+    ids = encoder(path).encode_to_numpy(text, allowed_special="all") if text else np.zeros(0, dtype="<u4")
     return np.concatenate([ids.astype("<u4", copy=False), np.array([END], dtype="<u4")])
 
 

@@ -549,3 +549,17 @@ def test_vocabularies_agree():
         want = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
         assert packing.token_ids(packing.default_vocabulary(), text).tolist() == want
     assert base64.b64decode("YQ==") == b"a"
+
+
+def test_added_tokens_in_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(8)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "a", "one two", "é中", "'s", "12", "."]
+    for _ in range(500):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        want = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        assert packing.token_ids(packing.default_vocabulary(), text).tolist() == want, text
+    assert 50256 in packing.token_ids(packing.default_vocabulary(), "a<|endoftext|>b")
