@@ -32,8 +32,9 @@ def list_archives(spark: SparkSession, path: str, name_filter: str = "*.zip*") -
 def unzip_rows(archives: DataFrame, columns: list[str] = STAGED_BAR_COLUMNS) -> DataFrame:
     """Rows of every CSV entry, all text, columns matched by header; an empty field is null.
 
-    An entry whose header lacks a column fails the job, further columns are left out, and an entry without a line has
-    no rows. Lines are parsed by Spark as those of any CSV file.
+    An entry whose header lacks a column, or has it beyond the `SPARE_COLUMNS` further cells that are parsed, fails the
+    job; further columns are left out, and an entry without a line has no rows. Lines are parsed by Spark as those of
+    any CSV file.
     """
     columns = list(columns)
     schema = cell_schema(len(columns) + SPARE_COLUMNS)
@@ -83,7 +84,11 @@ def _places(header: bytes, columns: list[str], where: str) -> list[int]:
     absent = [c for c in columns if c not in names]
     if absent:
         raise ValueError(f"no column {', '.join(absent)} in {where}")
-    return [names.index(c) for c in columns]
+    places = [names.index(c) for c in columns]
+    beyond = [c for c, k in zip(columns, places, strict=True) if k >= len(columns) + SPARE_COLUMNS]
+    if beyond:
+        raise ValueError(f"column {', '.join(beyond)} beyond {len(columns) + SPARE_COLUMNS} cells in {where}")
+    return places
 
 
 def stage_entries(archives: DataFrame, path: str) -> None:

@@ -48,6 +48,17 @@ def test_absent_columns_fail(spark, tmp_path):
         unzip_rows(archives, ["SYMBOL", "ISIN"]).collect()
 
 
+def test_columns_beyond_the_parsed_cells_fail(spark, tmp_path):
+    for spare in (32, 33):
+        (tmp_path / str(spare)).mkdir()
+        names, values = [f"M{i}" for i in range(spare)], ["x"] * spare
+        _zip(tmp_path / str(spare) / "a.zip", {"a.csv": ",".join([*names, "N"]) + "\n" + ",".join([*values, "1"]) + "\n"})
+    read = lambda spare: unzip_rows(list_archives(spark, str(tmp_path / str(spare))), ["N"])
+    assert rows(read(32)) == [("a.csv", "1")]
+    with pytest.raises(Exception, match="column N beyond 33 cells in .*a.csv"):
+        read(33).collect()
+
+
 def test_entries_of_one_name_stay_apart(spark, tmp_path):
     for k, symbol in enumerate("ABC"):
         folder = tmp_path / "in" / str(k // 2)
