@@ -15,6 +15,7 @@ from barsieve.llm import (
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     pii,
     quality_gam,
     quality_rules,
@@ -85,6 +86,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, model, keep=["doc_id"])
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, some of which are first made to end in one, and digests of what is left."""
+    docs = periodic_runs.with_periodic_tails(documents(spark, sf_dir).select("doc_id", "text"))
+    found = periodic_runs.with_runs(docs, keep=["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.col("n_runs") > 0, "\n").otherwise(""))
+    longest = ["start", "length", "period", "exponent_milli"]
+    runs_sha256, collapsed_sha256 = F.sha2(listed, 256), F.sha2("collapsed", 256)
+    return found.select(
+        "doc_id", "n_runs", *longest, runs_sha256.alias("runs_sha256"), collapsed_sha256.alias("collapsed_sha256")
+    )
+
+
 OP1_SQL = rf"""
 with lines as (
     select source, unnest(list_distinct(string_split(text, chr(10)))) as line from documents
@@ -180,6 +194,7 @@ def all_queries() -> dict[str, Query]:
         op8_personal_data,
         op9_embedding_dedup,
         op10_quality_rules,
+        op11_periodic_runs,
     ]
     return {q.__name__: _with_package(q) for q in named}
 
