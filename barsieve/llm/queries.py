@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barsieve.llm import (
     attention_lm,
+    collocations,
     embed_dedup,
     line_dedup,
     mixing,
@@ -99,6 +100,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words stand together most against chance."""
+    return collocations.collocations(documents(spark, sf_dir).select("lang", "text"))
+
+
 OP1_SQL = rf"""
 with lines as (
     select source, unnest(list_distinct(string_split(text, chr(10)))) as line from documents
@@ -172,6 +178,47 @@ select vec_id, coalesce(n, 0)::bigint as n_links, least(vec_id, coalesce(low, ve
 from embeddings left join counted on vec_id = counted.a left join least on vec_id = least.a
 """
 
+OP12_SQL = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), words as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), totals as (
+    select lang, sum(len(w))::bigint as n from words group by lang
+), phrases as (
+    select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) as phrase
+    from words, unnest(range(1, 6)) as lengths(m) where len(w) >= m
+), counted as (
+    select lang, m, phrase, count(*) as a from phrases group by lang, m, phrase having count(*) >= 100
+), listed as (
+    select *, string_split(phrase, ' ') as w from counted where m > 1
+), inner_phrases as (
+    select lang, a, unnest(flatten(list_transform(range(2, m), lambda k: list_transform(range(1, m - k + 2),
+        lambda i: array_to_string(w[i:i + k - 1], ' '))))) as phrase
+    from listed where m > 2
+), above as (
+    select lang, phrase, max(a) as most from inner_phrases group by lang, phrase
+), alone as (
+    select l.* from listed l left join above b on l.lang = b.lang and l.phrase = b.phrase
+    where b.most is null or 100 * b.most < 100 * l.a
+), cuts as (
+    select lang, phrase, a, k, array_to_string(w[1:k], ' ') as x, array_to_string(w[k + 1:], ' ') as y
+    from alone, unnest(range(1, 5)) as places(k) where k < m
+), scored as (
+    select c.lang, c.phrase, c.a, k, x.a as l, y.a as r, n,
+        ((1000::hugeint * c.a * n) // (x.a::hugeint * y.a))::bigint as score
+    from cuts c join totals t on c.lang = t.lang
+        join counted x on c.lang = x.lang and c.x = x.phrase join counted y on c.lang = y.lang and c.y = y.phrase
+), best as (
+    select *, row_number() over (partition by lang, phrase order by score, k) as cut from scored
+), ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best where cut = 1
+)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""
+
 
 def _with_package(query: Query) -> Query:
     @wraps(query)
@@ -195,9 +242,10 @@ def all_queries() -> dict[str, Query]:
         op9_embedding_dedup,
         op10_quality_rules,
         op11_periodic_runs,
+        op12_collocations,
     ]
     return {q.__name__: _with_package(q) for q in named}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op2_ngram_join": OP2_SQL, "op9_embedding_dedup": OP9_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_ngram_join": OP2_SQL, "op9_embedding_dedup": OP9_SQL, "op12_collocations": OP12_SQL}
