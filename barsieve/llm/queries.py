@@ -21,8 +21,10 @@ from barsieve.llm import (
     quality_gam,
     quality_rules,
     suffix_dedup,
+    warc,
 )
 from barsieve.llm.common import documents, importable
+from barsieve.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,6 +107,14 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir).select("lang", "text"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives, and what these say of every page."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(warc.planned(spark.read.parquet(f"{sf_dir}/pages.parquet")), path)
+    found = warc.read_archives(spark, path, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 OP1_SQL = rf"""
 with lines as (
     select source, unnest(list_distinct(string_split(text, chr(10)))) as line from documents
@@ -219,6 +229,25 @@ with pieces as (
 select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
 """
 
+OP13_SQL = r"""
+with payloads as (
+    select page_id, coalesce(html, '') as payload, max(page_id) over (partition by coalesce(html, '')) as head from pages
+), hashed as (
+    select *, sha1(payload) as hex from payloads
+), bits as (
+    select *, array_to_string(list_transform(range(1, 41),
+        lambda i: right('000' || bin(instr('0123456789abcdef', substr(hex, i, 1)) - 1), 4)), '') as b
+    from hashed
+)
+select page_id, strlen(payload)::bigint as payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + list_sum(list_transform(range(1, 6), lambda j: substr(b, i * 5 + j, 1)::int * (1 << (5 - j)::int)))::int, 1)),
+        '') as payload_digest,
+    case when page_id is not distinct from head then 'response' else 'revisit' end as record_type,
+    case when page_id is distinct from head then head end as refers_to
+from bits
+"""
+
 
 def _with_package(query: Query) -> Query:
     @wraps(query)
@@ -243,9 +272,16 @@ def all_queries() -> dict[str, Query]:
         op10_quality_rules,
         op11_periodic_runs,
         op12_collocations,
+        op13_warc,
     ]
     return {q.__name__: _with_package(q) for q in named}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op2_ngram_join": OP2_SQL, "op9_embedding_dedup": OP9_SQL, "op12_collocations": OP12_SQL}
+    return {
+        "op1_line_dedup": OP1_SQL,
+        "op2_ngram_join": OP2_SQL,
+        "op9_embedding_dedup": OP9_SQL,
+        "op12_collocations": OP12_SQL,
+        "op13_warc": OP13_SQL,
+    }
