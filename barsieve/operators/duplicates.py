@@ -64,15 +64,58 @@ def mark_surplus(df: DataFrame, keys: list[str], flag: str = "_surplus", null_ke
     task has to take all rows of a key. The input is evaluated twice. Without `null_keys`, rows with a null in
     a key are no duplicates of each other and get a null flag.
     """
+    firsts = _firsts(df if null_keys else df.where(_present(keys)), keys)
+    joined = _beside_first(df, firsts, keys, null_keys, "inner" if null_keys else "left")
+    differing = joined.where(~F.col(_SAME)).select(
+        *df.columns, F.when(F.col(_FIRST).isNotNull(), F.lit(True)).alias(flag)
+    )
+    copies = repeat_rows(_counted_firsts(joined, keys), _N, number="_copy")
+    return differing.unionByName(copies.withColumn(flag, F.col("_copy") > 1).drop("_copy"))
+
+
+def surplus_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows that `mark_surplus` flags, of keys without a null: all rows of a key but the smallest.
+
+    Only keys with several rows have a first row to meet, and only their rows come out of the join.
+    """
+    firsts = _firsts(df.where(_present(keys)), keys).where(F.col(_N) > 1).drop(_N)
+    joined = _beside_first(df.where(_present(keys)), firsts, keys, True, "inner")
+    copies = _counted_firsts(joined, keys).withColumn(_N, F.col(_N) - 1)
+    return joined.where(~F.col(_SAME)).select(*df.columns).unionByName(repeat_rows(copies, _N))
+
+
+def first_rows(df: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
+    """The row of each key without a null that `mark_surplus` does not flag, as read.
+
+    The columns `carried` come along and take no part in the order. One aggregate, in which every task sends at most one
+    row per key.
+    """
+    own = df.drop(*carried)
+    row = F.struct(*_order(own, keys), F.struct(*own.columns).alias("_row"), *carried)
+    kept = df.where(_present(keys)).groupBy(*keys).agg(F.min(row).alias(_FIRST))
+    return kept.select(f"{_FIRST}._row.*", *[F.col(_FIRST)[c].alias(c) for c in carried])
+
+
+def _present(keys: list[str]) -> Column:
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
+    return present
+
+
+def _firsts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The smallest row of each key, and the number of its rows."""
     row = F.struct(*_order(df, keys), F.struct(*df.columns).alias("_row"))
-    firsts = (df if null_keys else df.where(present)).groupBy(*keys).agg(F.min(row).alias(_FIRST))
+    return df.groupBy(*keys).agg(F.min(row).alias(_FIRST), F.count(F.lit(1)).alias(_N))
+
+
+def _beside_first(df: DataFrame, firsts: DataFrame, keys: list[str], null_keys: bool, how: str) -> DataFrame:
+    """Rows with the first row of their key, and whether they equal it throughout."""
     # The hash makes the join deal rows by more than the keys, so Spark does not take over the partitions of the
     # aggregate and can split a large one. Rows without a partner are spread by all their columns.
     key_hash = F.xxhash64(*keys)
-    rows = df.withColumn(_HASH, key_hash if null_keys else F.when(present, key_hash).otherwise(F.xxhash64(*df.columns)))
+    spread = key_hash if null_keys else F.when(_present(keys), key_hash).otherwise(F.xxhash64(*df.columns))
+    rows = df.withColumn(_HASH, spread)
     firsts = firsts.select(key_hash.alias("_h"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], _FIRST)
     same_key = F.col(_HASH) == F.col("_h")
     for i, k in enumerate(keys):
@@ -82,13 +125,13 @@ def mark_surplus(df: DataFrame, keys: list[str], flag: str = "_surplus", null_ke
     same = F.col(_FIRST).isNotNull()
     for c in order:
         same = same & c
-    joined = rows.join(firsts, same_key, "inner" if null_keys else "left").withColumn(_SAME, same)
-    differing = joined.where(~F.col(_SAME)).select(
-        *df.columns, F.when(F.col(_FIRST).isNotNull(), F.lit(True)).alias(flag)
-    )
+    return rows.join(firsts, same_key, how).withColumn(_SAME, same)
+
+
+def _counted_firsts(joined: DataFrame, keys: list[str]) -> DataFrame:
+    """The first row of each key and how many rows equal it."""
     counted = joined.where(_SAME).groupBy(*keys).agg(F.count("*").alias(_N), F.any_value(_FIRST).alias(_FIRST))
-    copies = repeat_rows(counted.select(f"{_FIRST}._row.*", _N), _N, number="_copy")
-    return differing.unionByName(copies.withColumn(flag, F.col("_copy") > 1).drop("_copy"))
+    return counted.select(f"{_FIRST}._row.*", _N)
 
 
 def _order(df: DataFrame, keys: list[str], named: bool = True) -> list[Column]:

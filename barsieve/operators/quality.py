@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +21,9 @@ from barsieve.functions.predicates import (
     named_values,
     row_text,
 )
-from barsieve.operators.duplicates import mark_surplus
+from barsieve.operators.duplicates import first_rows, surplus_rows
 from barsieve.schemas import REPORT_COLUMNS, REPORT_SCHEMA
+from barsieve.scratch import scratch_path
 
 # Names of the checks in the report, and the text that stands for a whole column.
 NULL_KEY = "Primary Key - Null Data Validation"
@@ -33,7 +34,7 @@ DATA_TYPE = "DataType - {declared} Validation"
 DATA_LENGTH = "DataLength - {declared} Validation"
 ALL_RECORDS = "**ALL RECORDS**"
 
-_SURPLUS = "_surplus"
+_SOUND, _BROKEN = "_sound", "_broken"
 
 
 @dataclass(frozen=True)
@@ -149,9 +150,7 @@ def null_key_failures(df: DataFrame, labels: Labels) -> DataFrame:
 
 def duplicate_key_failures(df: DataFrame, labels: Labels) -> DataFrame:
     """All rows per key but one, with all columns as text; rows with a null key are left out."""
-    keys = list(labels.keys)
-    marked = mark_surplus(df.where(all_present(keys)), keys, _SURPLUS)
-    return rule_failures(marked, [_duplicate_rule(df.columns, labels)], labels)
+    return rule_failures(surplus_rows(df, list(labels.keys)), [_duplicate_rule(df.columns, labels)], labels)
 
 
 class CheckResult:
@@ -161,40 +160,58 @@ class CheckResult:
     `passed_strict` the rows that break no rule, one per key.
     """
 
-    def __init__(self, df: DataFrame, specs: list[ColumnSpec], source: str, target: str) -> None:
-        self._keys = key_names(specs)
-        self._labels = Labels(source, target, tuple(self._keys))
-        self._rows = df.select(*[s.name for s in specs])
-        self._specs = specs
+    def __init__(
+        self, rows: DataFrame, columns: list[str], labels: Labels, rules: list[Rule], sound: Column | None = None
+    ) -> None:
+        self._rows = rows
+        self._columns = columns
+        self._labels = labels
+        self._rules = rules
+        self._sound = breaks_none(rules) if sound is None else sound
+
+    @property
+    def _keys(self) -> list[str]:
+        return list(self._labels.keys)
 
     @cached_property
     def failed(self) -> DataFrame:
-        """All rules, null keys included, are one expression over the rows; these are read twice, for duplicates."""
+        """All rules, null keys included, are one expression over the rows; duplicate keys are found apart from them."""
         if not self._keys:
             return rule_failures(self._rows, self._rules, self._labels)
-        columns = self._rows.columns
-        rules = [_duplicate_rule(columns, self._labels), *self._rules]
-        return rule_failures(self._marked, rules, self._labels, _null_key_rule(columns, self._labels))
+        by_rule = rule_failures(self._rows, self._rules, self._labels, _null_key_rule(self._columns, self._labels))
+        return by_rule.unionByName(duplicate_key_failures(self._rows.select(self._columns), self._labels))
 
     @cached_property
     def passed_null_key(self) -> DataFrame:
         """A filter on the scan, without a shuffle."""
-        return self._rows.where(all_present(self._keys)) if self._keys else self._rows
+        rows = self._rows.select(self._columns)
+        return rows.where(all_present(self._keys)) if self._keys else rows
 
     @cached_property
     def passed_strict(self) -> DataFrame:
+        """The smallest row of each key, where it breaks no rule: an aggregate that carries that flag."""
         if not self._keys:
-            return self._rows.where(breaks_none(self._rules))
-        # a row with a null key has no flag
-        return self._marked.where(~F.col(_SURPLUS) & breaks_none(self._rules)).drop(_SURPLUS)
-
-    @cached_property
-    def _rules(self) -> list[Rule]:
-        return column_rules(self._specs, self._keys)
-
-    @cached_property
-    def _marked(self) -> DataFrame:
-        return mark_surplus(self._rows, self._keys, _SURPLUS, null_keys=False)
+            return self._rows.where(self._sound).select(self._columns)
+        # the rules stand below the aggregate alone: no filter can be pushed through it
+        judged = self._rows.select(*self._columns, self._sound.alias(_SOUND))
+        return first_rows(judged, self._keys, [_SOUND]).where(_SOUND).drop(_SOUND)
+
+    def staged(self, path: str | None = None) -> CheckResult:
+        """The same outcome over rows that are written once, each with the numbers of the rules that it breaks.
+
+        For several parts of one check: the input is read and its rules evaluated by that write alone, and every part
+        reads what it needs of the table, which is in `path` or the shared folder.
+        """
+        spark = self._rows.sparkSession
+        path = path or scratch_path(spark, "checked")
+        numbers = {id(r): F.lit(i) for i, r in enumerate(self._rules)}
+        table = self._rows.withColumn(_BROKEN, broken(self._rules, lambda r: numbers[id(r)]))
+        table.write.parquet(path)
+        rules = [
+            r if r.breaks is None else replace(r, breaks=F.array_contains(_BROKEN, i)) for i, r in enumerate(self._rules)
+        ]
+        rows = spark.read.schema(table.schema).parquet(path)
+        return CheckResult(rows, self._columns, self._labels, rules, F.size(_BROKEN) == 0)
 
 
 def check(df: DataFrame, specs: list[ColumnSpec], source: str, target: str) -> CheckResult:
@@ -210,7 +227,9 @@ def check(df: DataFrame, specs: list[ColumnSpec], source: str, target: str) -> C
     undeclared = [c for c in df.columns if c not in declared]
     if undeclared:
         raise ValueError(f"columns in the data but not declared: {', '.join(undeclared)}")
-    return CheckResult(df, specs, source, target)
+    keys = key_names(specs)
+    labels = Labels(source, target, tuple(keys))
+    return CheckResult(df.select(declared), declared, labels, column_rules(specs, keys))
 
 
 def _null_key_rule(columns: list[str], labels: Labels) -> Rule:
@@ -219,7 +238,7 @@ def _null_key_rule(columns: list[str], labels: Labels) -> Rule:
 
 
 def _duplicate_rule(columns: list[str], labels: Labels) -> Rule:
-    return Rule(DUPLICATE_KEY, labels.key_text, F.col(_SURPLUS), row_text(columns))
+    return Rule(DUPLICATE_KEY, labels.key_text, F.lit(True), row_text(columns))
 
 
 def _short_text(spec: ColumnSpec, keys: list[str], named: dict[str, Column] | None = None) -> Column:

@@ -490,9 +490,10 @@ def _run_job(spark: SparkSession, sf_dir: str) -> str:
         )
 
     datasets = [
-        dataset("bars", lambda session: project_bars(scan_csv(session, f"{root}/data", STAGED_BAR_COLUMNS))),
+        dataset("bars", lambda session: project_bars(scan_csv(session, f"{root}/data", STAGED_BAR_COLUMNS, staged=False))),
         dataset(
-            "snapshots", lambda session: scan_csv(session, f"{root}/snapshots/*", SNAPSHOT_SCHEMA.names, nested=True)
+            "snapshots",
+            lambda session: scan_csv(session, f"{root}/snapshots/*", SNAPSHOT_SCHEMA.names, nested=True, staged=False),
         ),
     ]
     outcome = run_listed(spark, [f"{root}/metadata/{n}.csv" for n in ("other", "bars", "snapshots")], datasets)

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from barsieve.operators.duplicates import except_all, keep_first, mark_surplus, repeat_rows
+from barsieve.operators.duplicates import except_all, first_rows, keep_first, mark_surplus, repeat_rows, surplus_rows
 from tests.conftest import rows
 
 
@@ -112,3 +112,29 @@ def test_empty_and_single_rows(spark):
     assert mark_surplus(empty, ["k"]).count() == 0
     one = spark.createDataFrame([("a", None)], "k string, v int")
     assert [tuple(r) for r in mark_surplus(one, ["k"]).collect()] == [("a", None, False)]
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_surplus_and_first_rows(spark, seed):
+    df, data = _skewed(spark, seed)
+    present = [r for r in data if r[1] is not None]
+    kept = _survivors(present, "k")
+    assert Counter(tuple(r) for r in surplus_rows(df, ["k"]).collect()) == Counter(present) - kept
+    first = first_rows(df.withColumn("flag", F.col("v") == "x"), ["k"], ["flag"])
+    assert first.columns == [*df.columns, "flag"]
+    assert Counter(tuple(r)[:3] for r in first.collect()) == kept
+    assert all(r["flag"] == (None if r["v"] is None else r["v"] == "x") for r in first.collect())
+    assert surplus_rows(df.where("false"), ["k"]).count() == first_rows(df.where("false"), ["k"], []).count() == 0
+
+
+def test_surplus_rows_come_out_as_read(spark):
+    df = spark.createDataFrame([("k", 0.0), ("k", -0.0), ("k", -0.0), ("k", 5.0), (None, -0.0)], "k string, v double")
+    assert sorted(str(r["v"]) for r in surplus_rows(df, ["k"]).collect()) == ["-0.0", "0.0", "5.0"]
+    assert [(r["k"], str(r["v"])) for r in first_rows(df, ["k"], []).collect()] == [("k", "-0.0")]
+
+
+def test_only_rows_of_several_meet_their_first(spark, capsys):
+    df, _ = _skewed(spark, 3)
+    surplus_rows(df, ["k"]).explain()
+    plan = capsys.readouterr().out
+    assert "Window" not in plan and "hashpartitioning(_key_hash" in plan

@@ -170,3 +170,17 @@ def test_job_isolates_datasets(spark, tmp_path):
     outcome = run_listed(spark, listing, [dataset("good", ["k"]), dataset("bad", ["k", "undeclared"])])
     assert outcome["good"] is None and "undeclared" in outcome["bad"] and len(outcome) == 2
     assert spark.read.parquet(f"{tmp_path}/good-passed").count() == 1
+
+
+def test_scans_are_staged_by_name(spark, tmp_path):
+    _csv(tmp_path / "a.csv", '"k","v, w",z\n1,"x, y",2\nk,"v, w",q\n')
+    _csv(tmp_path / "b.csv", '"v, w",more,"k","a""b"\n"u",m,3,p\n')
+    staged = scan_csv(spark, str(tmp_path), ["k", "v, w"])
+    assert rows(staged) == [("1", "x, y"), ("3", "u")]
+    assert rows(scan_csv(spark, str(tmp_path), ["k", "v, w"], staged=False)) == rows(staged)
+    plan = staged.where("k = '1'").select("k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_cells" not in plan and "_c0" not in plan and "Join" not in plan
+    only = tmp_path / "quoted"
+    _csv(only / "b.csv", '"v, w",more,"k","a""b"\n"u",m,3,p\n')
+    names = spark.read.option("header", True).option("escape", '"').csv(str(only)).columns
+    assert rows(scan_csv(spark, str(only), [names[0], names[2]])) == [("u", "3")]
