@@ -73,11 +73,15 @@ def mark_surplus(df: DataFrame, keys: list[str], flag: str = "_surplus", null_ke
     return differing.unionByName(copies.withColumn(flag, F.col("_copy") > 1).drop("_copy"))
 
 
-def surplus_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+def surplus_rows(df: DataFrame, keys: list[str], seen: DataFrame | None = None) -> DataFrame:
     """The rows that `mark_surplus` flags, of keys without a null: all rows of a key but the smallest.
 
-    Only keys with several rows have a first row to meet, and only their rows come out of the join.
+    Only keys with several rows have a first row to meet, and only their rows come out of the join. Of the keys in `seen`,
+    whose first rows are elsewhere, all rows are surplus.
     """
+    if seen is not None:
+        fresh = surplus_rows(df.join(seen, keys, "left_anti").select(df.columns), keys)
+        return df.join(seen, keys, "left_semi").select(df.columns).unionByName(fresh)
     firsts = _firsts(df.where(_present(keys)), keys).where(F.col(_N) > 1).drop(_N)
     joined = _beside_first(df.where(_present(keys)), firsts, keys, True, "inner")
     copies = _counted_firsts(joined, keys).withColumn(_N, F.col(_N) - 1)

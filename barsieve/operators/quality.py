@@ -148,9 +148,9 @@ def null_key_failures(df: DataFrame, labels: Labels) -> DataFrame:
     return rule_failures(df, [], labels, _null_key_rule(df.columns, labels))
 
 
-def duplicate_key_failures(df: DataFrame, labels: Labels) -> DataFrame:
-    """All rows per key but one, with all columns as text; rows with a null key are left out."""
-    return rule_failures(surplus_rows(df, list(labels.keys)), [_duplicate_rule(df.columns, labels)], labels)
+def duplicate_key_failures(df: DataFrame, labels: Labels, seen: DataFrame | None = None) -> DataFrame:
+    """All rows per key but one, or all rows of a key in `seen`, with all columns as text; null keys are left out."""
+    return rule_failures(surplus_rows(df, list(labels.keys), seen), [_duplicate_rule(df.columns, labels)], labels)
 
 
 class CheckResult:
@@ -161,12 +161,19 @@ class CheckResult:
     """
 
     def __init__(
-        self, rows: DataFrame, columns: list[str], labels: Labels, rules: list[Rule], sound: Column | None = None
+        self,
+        rows: DataFrame,
+        columns: list[str],
+        labels: Labels,
+        rules: list[Rule],
+        seen: DataFrame | None = None,
+        sound: Column | None = None,
     ) -> None:
         self._rows = rows
         self._columns = columns
         self._labels = labels
         self._rules = rules
+        self._seen = seen
         self._sound = breaks_none(rules) if sound is None else sound
 
     @property
@@ -179,7 +186,7 @@ class CheckResult:
         if not self._keys:
             return rule_failures(self._rows, self._rules, self._labels)
         by_rule = rule_failures(self._rows, self._rules, self._labels, _null_key_rule(self._columns, self._labels))
-        return by_rule.unionByName(duplicate_key_failures(self._rows.select(self._columns), self._labels))
+        return by_rule.unionByName(duplicate_key_failures(self._rows.select(self._columns), self._labels, self._seen))
 
     @cached_property
     def passed_null_key(self) -> DataFrame:
@@ -194,6 +201,8 @@ class CheckResult:
             return self._rows.where(self._sound).select(self._columns)
         # the rules stand below the aggregate alone: no filter can be pushed through it
         judged = self._rows.select(*self._columns, self._sound.alias(_SOUND))
+        if self._seen is not None:
+            judged = judged.join(self._seen, self._keys, "left_anti").select(judged.columns)
         return first_rows(judged, self._keys, [_SOUND]).where(_SOUND).drop(_SOUND)
 
     def staged(self, path: str | None = None) -> CheckResult:
@@ -211,13 +220,16 @@ class CheckResult:
             r if r.breaks is None else replace(r, breaks=F.array_contains(_BROKEN, i)) for i, r in enumerate(self._rules)
         ]
         rows = spark.read.schema(table.schema).parquet(path)
-        return CheckResult(rows, self._columns, self._labels, rules, F.size(_BROKEN) == 0)
+        return CheckResult(rows, self._columns, self._labels, rules, self._seen, F.size(_BROKEN) == 0)
 
 
-def check(df: DataFrame, specs: list[ColumnSpec], source: str, target: str) -> CheckResult:
+def check(
+    df: DataFrame, specs: list[ColumnSpec], source: str, target: str, seen: DataFrame | None = None
+) -> CheckResult:
     """Check every column against its spec: null keys, duplicate keys, then length and type per column.
 
-    Rules after the null-key check see only rows whose keys are all present. All failures are reported. Raises
+    Rules after the null-key check see only rows whose keys are all present. All failures are reported. `seen` has the
+    distinct keys, among those of the rows, that were checked before; their rows are all duplicates. Raises
     ValueError when a declared column is not in the data or a column of the data is not declared.
     """
     declared = [s.name for s in specs]
@@ -229,7 +241,7 @@ def check(df: DataFrame, specs: list[ColumnSpec], source: str, target: str) -> C
         raise ValueError(f"columns in the data but not declared: {', '.join(undeclared)}")
     keys = key_names(specs)
     labels = Labels(source, target, tuple(keys))
-    return CheckResult(df.select(declared), declared, labels, column_rules(specs, keys))
+    return CheckResult(df.select(declared), declared, labels, column_rules(specs, keys), seen if keys else None)
 
 
 def _null_key_rule(columns: list[str], labels: Labels) -> Rule:

@@ -444,6 +444,22 @@ def incremental_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out/failed").drop("checkpoint", "from")
 
 
+def incremental_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty rows in two deliveries, checked by a run each; keys of the first are duplicates in the second."""
+    root = scratch_path(spark, "across")
+    rows = views.dirty(spark, sf_dir)
+    specs = _specs(spark, DIRTY_METADATA)
+    typed_id = lambda df: df.withColumn("event_id", F.col("event_id").cast(rows.schema["event_id"].dataType))
+    for half in (0, 1):
+        part = rows.where(F.col("event_id") % 2 == half)
+        part.write.mode("append").option("header", True).csv(f"{root}/incoming")
+        stream = new_files(spark, f"{root}/incoming", rows.columns, f"{root}/archive")
+        ingest_checked(
+            stream, rows.columns, specs, SOURCE, TARGET, f"{root}/out", f"{root}/progress", typed_id, across_runs=True
+        )
+    return spark.read.parquet(f"{root}/out/failed").drop("checkpoint", "from")
+
+
 BAR_METADATA = [
     ("SYMBOL", "VARCHAR(20)", None, True, True),
     ("SERIES", "VARCHAR(2)", None, True, True),
@@ -587,6 +603,7 @@ def all_queries() -> dict[str, Query]:
         sink_roundtrip,
         incremental_ingest,
         incremental_check,
+        incremental_duplicates,
         quality_job,
         quality_job_snapshots,
     ]

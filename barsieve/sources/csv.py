@@ -43,8 +43,9 @@ def headers(spark: SparkSession, files: str, columns: list[str], width: int, **o
     parsing = {k: str(v) for k, v in options.items() if k not in _LISTING}
     schema = cell_schema(width)
     parsed = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), parsing)
-    found = lines.select(parsed.alias("line"), FILE).select(F.array(*[f"line.{c}" for c in schema.names]).alias(_CELLS), FILE)
-    return _places(found, columns)
+    # out of a generator, so that a line is parsed once and not for each of its cells
+    found = lines.select(FILE, F.explode(F.array(parsed)).alias("line"))
+    return _places(found.select(F.array(*[f"line.{c}" for c in schema.names]).alias(_CELLS), FILE), columns)
 
 
 def _named(columns: list[str]) -> Column:

@@ -9,10 +9,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsieve.functions.declared import ColumnSpec
+from barsieve.functions.declared import ColumnSpec, key_names
+from barsieve.functions.predicates import all_present
 from barsieve.operators.quality import check
 from barsieve.scratch import scratch_path
 from barsieve.sources.csv import FILE, SPARE_COLUMNS, by_header, cell_schema
+from barsieve.streaming.seen import SeenKeys
 
 
 def new_files(
@@ -65,12 +67,14 @@ def ingest_checked(
     folder: str,
     checkpoint: str,
     project: Callable[[DataFrame], DataFrame] = lambda df: df,
+    across_runs: bool = False,
 ) -> None:
     """Check all new files of a run together; failures and passed rows go to `failed/` and `passed/` in the folder.
 
     The rows land in `rows/` batch by batch and are checked when the run has read everything, so neither the report
     nor its duplicate keys depend on how files were dealt to batches. What an interrupted run left unchecked is checked
-    by the next one, into the same place: `checkpoint=<id>/from=<first batch>`.
+    by the next one, into the same place: `checkpoint=<id>/from=<first batch>`. With `across_runs`, a key that an earlier
+    run of this checkpoint has seen is a duplicate in all of its rows; the keys are kept in `seen/`.
     """
     spark = stream.sparkSession
     landed = ingest(stream, columns, f"{folder}/rows", checkpoint)
@@ -85,9 +89,21 @@ def ingest_checked(
     newest = fresh.agg(F.max("batch")).first()[0]
     if newest is None:
         return
-    result = check(project(fresh.drop("batch")), specs, source_name, target_name)
+    fresh = project(fresh.drop("batch"))
+    names = key_names(specs)
+    seen, again = None, None
+    if across_runs and names:
+        seen = SeenKeys(spark, f"{folder}/seen/{own}", [fresh.schema[k] for k in names])
+        found = scratch_path(spark, "keys")
+        keys = fresh.where(all_present(names)).select(*names).distinct()
+        keys.write.parquet(found)
+        keys = spark.read.schema(keys.schema).parquet(found)
+        again = seen.among(keys, last + 1)
+    result = check(fresh, specs, source_name, target_name, again).staged()
     result.failed.write.mode("overwrite").parquet(f"{folder}/failed/{own}/from={last + 1}")
     result.passed_null_key.write.mode("overwrite").parquet(f"{folder}/passed/{own}/from={last + 1}")
+    if seen is not None:
+        seen.add(keys, last + 1)
     spark.range(1).select(F.lit(newest).cast("long").alias("last")).write.mode("append").parquet(log)
 
 
