@@ -5,8 +5,9 @@ Everything is counted for each `lang` by itself; rows without one are `und`. A p
 it stands within pieces, overlaps included.
 
 Blocks of texts (chunks) are written once as numbers: a chunk's own dictionary of words and its text as places in it.
-Words of `LEAST` occurrences or more get ids, by which the chunks are rewritten; no chunk needs more of the vocabulary
-than its own words, so nothing is broadcast. Then phrases are counted level by level. A phrase can only be frequent if
+Ranges of words are merged over all chunks; those of `LEAST` occurrences or more get ids, and every chunk is answered
+which of its own words they are. No chunk needs more of the vocabulary, so nothing is broadcast. Then phrases are
+counted level by level. A phrase can only be frequent if
 what it is without its first or its last word is, so a chunk counts the n-grams made of two frequent ones that overlap.
 An n-gram is one number: the id of its first n - 1 words and the id of its last. A chunk's numbers go into a counting
 quotient filter, cut by their first bits; filters of the same range of all chunks are merged, frequent n-grams get ids,
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from barsieve.llm.common import staged, text_blocks
 from barsieve.llm.quotient_filter import merged, pack, permuted, unpack, unpermuted
-from barsieve.llm.textblocks import U64, TextBlock
+from barsieve.llm.textblocks import U64, TextBlock, mix
 
 #: Fewest occurrences of a phrase, most words, and phrases listed for each language.
 LEAST, LONGEST, TOP = 100, 5, 2000
@@ -42,10 +44,8 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 CONTAINED = 100
 #: Bytes of text in a chunk; a longer text makes a chunk of its own.
 CHUNK_BYTES = 4 << 20
-#: Keys of all chunks that one task merges, about.
+#: Words or n-grams of all chunks that one task merges, about.
 MERGED_KEYS = 1 << 21
-#: Partial numberings in which words get their ids.
-ID_RANGES = 256
 
 _BLANK = [0x20, 0x09]
 _BREAK = [*b".,;:!?", *range(0x0A, 0x0E)]
@@ -79,15 +79,15 @@ def pieces_of_words(texts: TextBlock) -> tuple[pa.Array, np.ndarray, np.ndarray]
 
 
 def packed_numbers(values: np.ndarray) -> bytes:
-    """Numbers from 0 in as many planes of bytes as the largest needs."""
+    """Numbers from 0 in as many planes of bytes as the largest needs, compressed."""
     planes = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
     columns = values.astype("<u8").view(np.uint8).reshape(len(values), 8)[:, :planes]
-    return bytes([planes]) + np.ascontiguousarray(columns.T).tobytes()
+    return bytes([planes]) + zstandard.compress(np.ascontiguousarray(columns.T).tobytes(), 1)
 
 
 def unpacked_numbers(packed: bytes) -> np.ndarray:
     planes = packed[0]
-    columns = np.frombuffer(packed, dtype=np.uint8, offset=1).reshape(planes, -1)
+    columns = np.frombuffer(zstandard.decompress(packed[1:]), dtype=np.uint8).reshape(planes, -1)
     wide = np.zeros((columns.shape[1], 8), dtype=np.uint8)
     wide[:, :planes] = columns.T
     return wide.view("<u8").reshape(-1).astype(np.int64)
@@ -104,8 +104,20 @@ def _mapped(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def packed_table(table: pa.Table | pa.RecordBatch) -> bytes:
+    """A table as compressed Arrow data."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked_table(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(packed).read_all()
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """Blocks of texts: `words` (the distinct ones with their language and count) and `text`, places in it from 1.
+    """Blocks of texts: `words` (a table of the distinct ones with their language and count) and `text`, places in it from 1.
 
     A zero stands between pieces. A chunk's number is that of its task and block; it is written with the chunk.
     """
@@ -124,27 +136,81 @@ def chunks(docs: DataFrame) -> DataFrame:
             text = np.zeros(len(words) + int(fresh.sum()), dtype=np.int64)
             text[np.arange(len(words)) + np.cumsum(fresh)] = places.reshape(-1) + 1
             columns = [langs.dictionary.take(lang).cast(pa.string()), known.dictionary.take(word).cast(pa.string())]
-            columns += [pa.array(counts), pa.array(np.arange(1, len(kinds) + 1))]
-            made = pa.StructArray.from_arrays(columns, names=["lang", "word", "n", "place"])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([task + k]),
-                    pa.ListArray.from_arrays(pa.array([0, len(kinds)], pa.int32()), made),
-                    pa.array([packed_numbers(text)], pa.binary()),
-                ],
-                names=["chunk", "words", "text"],
+            listed = pa.table([*columns, pa.array(counts)], names=["lang", "word", "n"])
+            yield pa.RecordBatch.from_pydict(
+                {"chunk": [task + k], "kinds": [len(kinds)], "words": [packed_table(listed)], "text": [packed_numbers(text)]}
             )
 
-    schema = "chunk long, words array<struct<lang: string, word: string, n: long, place: long>>, text binary"
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, "chunk long, kinds long, words binary, text binary")
+
+
+def _text_hashes(values: pa.ChunkedArray) -> np.ndarray:
+    block = TextBlock(values.combine_chunks())
+    return block.hashes(block.offsets[:-1], block.offsets[1:])
+
+
+def _word_tables(row: dict, part_bits: int) -> Iterator[pa.RecordBatch]:
+    """A chunk's words with their counts and places, as one table for each range of their hashes."""
+    listed = unpacked_table(row["words"])
+    hashes = mix(_text_hashes(listed.column("word")) ^ mix(_text_hashes(listed.column("lang"))))
+    parts = (hashes & U64((1 << part_bits) - 1)).astype(np.int64)
+    order = np.argsort(parts, kind="stable")
+    listed = listed.append_column("place", pa.array(np.arange(1, len(parts) + 1))).take(order)
+    found, starts = np.unique(parts[order], return_index=True)
+    for part, start, end in zip(found.tolist(), starts, np.append(starts[1:], len(parts)), strict=True):
+        words = packed_table(listed.slice(start, end - start).combine_chunks())
+        yield pa.RecordBatch.from_pydict({"part": [part], "chunk": [row["chunk"]], "words": [words]})
+
+
+def _merged_words(rows: pa.Table, least: int, part_bits: int) -> pa.Table:
+    """The words of one range: frequent ones with ids, and their total in each language, in a row without chunk.
+
+    For each chunk, the places of its frequent words and their ids.
+    """
+    part = rows.column("part")[0].as_py()
+    tables = [unpacked_table(w) for w in rows.column("words").to_pylist()]
+    every = pa.concat_tables(tables)
+    langs = every.column("lang").combine_chunks().dictionary_encode()
+    words = every.column("word").combine_chunks().dictionary_encode()
+    own = langs.indices.to_numpy().astype(np.int64) * len(words.dictionary) + words.indices.to_numpy()
+    kinds, of = np.unique(own, return_inverse=True)
+    of = of.reshape(-1)
+    counts = np.zeros(len(kinds), dtype=np.int64)
+    np.add.at(counts, of, every.column("n").to_numpy())
+    frequent = counts >= least
+    ids = np.zeros(len(kinds), dtype=np.int64)
+    ids[frequent] = np.arange(int(frequent.sum())) * (1 << part_bits) + part + 1
+    lang, word = np.divmod(kinds, len(words.dictionary))
+    totals = np.zeros(len(langs.dictionary), dtype=np.int64)
+    np.add.at(totals, lang, counts)
+    named = [langs.dictionary.take(lang[frequent]), words.dictionary.take(word[frequent])]
+    listed = pa.table([*named, pa.array(counts[frequent]), pa.array(ids[frequent])], names=["lang", "word", "a", "id"])
+    whole = pa.table([langs.dictionary, pa.array(totals)], names=["lang", "n"])
+    out = {"chunk": [None], "keys": [packed_table(listed)], "ids": [packed_table(whole)]}
+    cuts = np.cumsum([t.num_rows for t in tables])[:-1]
+    places = np.split(every.column("place").to_numpy(), cuts)
+    for chunk, place, found in zip(rows.column("chunk").to_pylist(), places, np.split(ids[of], cuts), strict=True):
+        if found.any():
+            out["chunk"].append(chunk)
+            out["keys"].append(packed_numbers(place[found > 0]))
+            out["ids"].append(packed_numbers(found[found > 0]))
+    return pa.table([pa.array(v, t) for v, t in zip(out.values(), _ANSWER, strict=True)], names=list(out))
+
+
+_ANSWER = [pa.int64(), pa.binary(), pa.binary()]
 
 
-def frequent_words(counted: DataFrame, least: int) -> DataFrame:
-    """`lang`, `word`, `a` and a small id from 1, for words of `least` occurrences or more."""
-    found = counted.where(F.col("a") >= least).withColumn("range", F.pmod(F.xxhash64("lang", "word"), F.lit(ID_RANGES)))
-    turn = F.row_number().over(W.partitionBy("range").orderBy("lang", "word")).cast("long")
-    return found.select("lang", "word", "a", ((turn - 1) * ID_RANGES + F.col("range") + 1).alias("id"))
+def _ranges(keys: int) -> int:
+    """Bits for the number of ranges in which so many keys are merged."""
+    return max(0, math.ceil(keys / MERGED_KEYS) - 1).bit_length()
+
+
+def _to_chunks(held: DataFrame, answers: DataFrame, rewrite) -> DataFrame:
+    """The chunks that have frequent phrases, rewritten by what was answered to them."""
+    own = answers.where("chunk is not null").groupBy("chunk")
+    own = own.agg(F.collect_list(F.struct("keys", "ids")).alias("answers"))
+    return _mapped(held.join(own, "chunk"), rewrite, _CHUNK)
 
 
 def _rewritten(text: np.ndarray, keep: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
@@ -162,20 +228,22 @@ def _rewritten(text: np.ndarray, keep: np.ndarray, *columns: np.ndarray) -> list
 
 
 def _with_ids(row: dict) -> Iterator[pa.RecordBatch]:
-    """A chunk with its frequent words as ids; `phrases` are the same to begin with."""
+    """A chunk with its frequent words as ids, which are its phrases of one word as well."""
     text = unpacked_numbers(row["text"])
     ids = np.zeros(int(text.max(initial=0)) + 1, dtype=np.int64)
-    for found in row["known"]:
-        ids[found["place"]] = found["id"]
+    for found in row["answers"]:
+        ids[unpacked_numbers(found["keys"])] = unpacked_numbers(found["ids"])
     text = ids[text]
     (words,) = _rewritten(text, text > 0, text)
-    packed = packed_numbers(words)
-    yield pa.RecordBatch.from_pydict({"chunk": [row["chunk"]], "words": [packed], "phrases": [packed]})
+    yield pa.RecordBatch.from_pydict(
+        {"chunk": [row["chunk"]], "words": [packed_numbers(words)], "phrases": pa.array([None], pa.binary())}
+    )
 
 
 def _candidates(row: dict, n: int, word_bits: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A chunk's words, and the places and permuted keys of its n-grams made of two known ones of n - 1 words."""
-    words, phrases = unpacked_numbers(row["words"]), unpacked_numbers(row["phrases"])
+    words = unpacked_numbers(row["words"])
+    phrases = words if row["phrases"] is None else unpacked_numbers(row["phrases"])
     at = np.flatnonzero((phrases[:-1] > 0) & (phrases[1:] > 0))
     keys = (phrases[at] << word_bits) | words[at + n - 1]
     return words, at, permuted(keys, bits)
@@ -208,24 +276,23 @@ def _merged(rows: pa.Table, least: int, bits: int, part_bits: int) -> pa.Table:
     frequent = counts >= least
     ids = np.zeros(len(keys), dtype=np.int64)
     ids[frequent] = np.arange(int(frequent.sum())) * (1 << part_bits) + part + 1
-    out = {"chunk": [None], "keys": [unpermuted(keys[frequent], bits).tobytes()], "ids": [ids[frequent].tobytes()]}
-    out["counts"] = [counts[frequent].astype(np.int64).tobytes()]
+    plain = unpermuted(keys[frequent], bits).astype(np.int64)
+    listed = pa.table([plain, ids[frequent], counts[frequent].astype(np.int64)], names=["key", "id", "a"])
+    out = {"chunk": [None], "keys": [packed_table(listed)], "ids": [b""]}
     for chunk, place in zip(rows.column("chunk").to_pylist(), places, strict=True):
         place = place[frequent[place]]
         if len(place):
             out["chunk"].append(chunk)
-            out["keys"].append(keys[place].tobytes())
-            out["ids"].append(ids[place].tobytes())
-            out["counts"].append(None)
-    types = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.table([pa.array(out[c], t) for c, t in zip(out, types, strict=True)], names=list(out))
+            out["keys"].append(packed_numbers(np.diff(keys[place], prepend=U64(0))))
+            out["ids"].append(packed_numbers(ids[place]))
+    return pa.table([pa.array(v, t) for v, t in zip(out.values(), _ANSWER, strict=True)], names=list(out))
 
 
 def _answered(row: dict, n: int, word_bits: int, bits: int) -> Iterator[pa.RecordBatch]:
     """A chunk with the ids of its frequent n-grams; places that are part of none are left out."""
     words, at, found = _candidates(row, n, word_bits, bits)
-    keys = np.concatenate([np.frombuffer(a["keys"], dtype=U64) for a in row["answers"]])
-    ids = np.concatenate([np.frombuffer(a["ids"], dtype=np.int64) for a in row["answers"]])
+    keys = np.concatenate([np.cumsum(unpacked_numbers(a["keys"])).astype(U64) for a in row["answers"]])
+    ids = np.concatenate([unpacked_numbers(a["ids"]) for a in row["answers"]])
     order = np.argsort(keys)
     keys, ids = keys[order], ids[order]
     place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
@@ -240,20 +307,15 @@ def _answered(row: dict, n: int, word_bits: int, bits: int) -> Iterator[pa.Recor
     )
 
 
-def _listed(row: dict, word_bits: int) -> Iterator[pa.RecordBatch]:
-    """The frequent n-grams of one range as rows."""
-    keys = np.frombuffer(row["keys"], dtype=U64).astype(np.int64)
-    yield pa.RecordBatch.from_pydict(
-        {
-            "id": np.frombuffer(row["ids"], dtype=np.int64),
-            "prefix": keys >> word_bits,
-            "last": keys & ((1 << word_bits) - 1),
-            "a": np.frombuffer(row["counts"], dtype=np.int64),
-        }
+def _listed(answers: DataFrame, column: str, schema: str) -> DataFrame:
+    """The rows of the tables that stand in the rows without chunk."""
+    return _mapped(
+        answers.where("chunk is null").select(column), lambda r: unpacked_table(r[column]).to_batches(), schema
     )
 
 
 _CHUNK = "chunk long, words binary, phrases binary"
+_ANSWERS = "chunk long, keys binary, ids binary"
 
 
 def _level(held: DataFrame, n: int, least: int, word_bits: int, most: int, keys: int) -> tuple[DataFrame, DataFrame]:
@@ -264,18 +326,14 @@ def _level(held: DataFrame, n: int, least: int, word_bits: int, most: int, keys:
     bits = max(16, word_bits + int(most).bit_length())
     if bits > 63:
         raise ValueError(f"{bits} bits for a phrase of {n} words")
-    part_bits = min(bits, max(0, math.ceil(keys / MERGED_KEYS) - 1).bit_length())
+    part_bits = min(bits, _ranges(keys))
     sent = _mapped(held, lambda r: _filters(r, n, word_bits, bits, part_bits), "part long, chunk long, filter binary")
-    answers = sent.groupBy("part").applyInArrow(
-        lambda t: _merged(t, least, bits, part_bits), "chunk long, keys binary, ids binary, counts binary"
+    answers = sent.groupBy("part").applyInArrow(lambda t: _merged(t, least, bits, part_bits), _ANSWERS)
+    answers = staged(answers, f"answers-{n}")
+    phrases = _listed(answers, "keys", "key long, id long, a long").select(
+        "id", F.shiftright("key", word_bits).alias("prefix"), F.col("key").bitwiseAND((1 << word_bits) - 1).alias("last"), "a"
     )
-    answers = staged(answers, f"phrases-{n}")
-    phrases = _mapped(
-        answers.where("chunk is null"), lambda r: _listed(r, word_bits), "id long, prefix long, last long, a long"
-    )
-    own = answers.where("chunk is not null").groupBy("chunk")
-    own = own.agg(F.collect_list(F.struct("keys", "ids")).alias("answers"))
-    held = _mapped(held.join(own, "chunk"), lambda r: _answered(r, n, word_bits, bits), _CHUNK)
+    held = _to_chunks(held, answers, lambda r: _answered(r, n, word_bits, bits))
     return staged(phrases, f"frequent-{n}"), staged(held, f"chunks-{n}")
 
 
@@ -285,16 +343,17 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     `lang`, `phrase`, `ids` (of its words), `a`; and `lang`, `n`.
     """
     held = staged(chunks(docs), "chunks")
-    counted = held.select("chunk", F.inline("words"))
-    words = staged(counted.groupBy("lang", "word").agg(F.sum("n").alias("a")), "words")
-    totals = staged(words.groupBy("lang").agg(F.sum("a").alias("n")), "languages")
-    vocabulary = staged(frequent_words(words, least), "vocabulary")
-    found = counted.join(vocabulary, ["lang", "word"]).groupBy("chunk")
-    known = found.agg(F.collect_list(F.struct("place", "id")).alias("known"))
-    held = staged(_mapped(held.select("chunk", "text").join(known, "chunk"), _with_ids, _CHUNK), "chunks-1")
+    # one number, from which the number of ranges follows
+    part_bits = _ranges(held.agg(F.sum("kinds")).first()[0] or 0)
+    sent = _mapped(held.select("chunk", "words"), lambda r: _word_tables(r, part_bits), "part long, chunk long, words binary")
+    answers = staged(sent.groupBy("part").applyInArrow(lambda t: _merged_words(t, least, part_bits), _ANSWERS), "answers-1")
+    totals = _listed(answers, "ids", "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = staged(totals, "languages")
+    vocabulary = staged(_listed(answers, "keys", "lang string, word string, a long, id long"), "vocabulary")
+    held = staged(_to_chunks(held.select("chunk", "text"), answers, _with_ids), "chunks-1")
     # two numbers, from which the widths of keys and the number of ranges follow
     most = vocabulary.agg(F.max("id")).first()[0] or 1
-    keys = words.agg(F.sum("a")).first()[0] or 0
+    keys = totals.agg(F.sum("n")).first()[0] or 0
     word_bits = int(most).bit_length()
     shorter = vocabulary.select("id", "lang", F.col("word").alias("phrase"), F.array("id").alias("ids"), "a")
     every = shorter
