@@ -421,6 +421,7 @@ def all_sql() -> dict[str, str]:
         "cast(try_strptime(d, '%d-%b-%Y') as date) as d from keyed",
         "silver_bars": _with(BARS) + f"select {BAR_COLUMNS} from bars",
         "quality_job": _with(BARS) + f"select {BAR_COLUMNS} from bars",
+        "bhav_unzip_entries": _with(BARS) + f"select {staged}, generated_date, totaltrades, isin from bars",
         "bhav_unzip": _with(BARS) + f"select {staged}, generated_date, totaltrades, isin from bars",
         "bhav_stage_same_entry": _with(BARS) + f"select {staged}, generated_date, totaltrades, isin from bars",
         "bhav_stage_csv": _with(BARS) + f"select {staged}, generated_date, totaltrades, isin from bars",
@@ -480,6 +481,7 @@ from spine""",
         "'string' as event_type_family from events",
         "incremental_ingest": EVENT_ROWS,
         "mkt_decode": _snapshots(", cast(ts as date) as trade_date"),
+        "mkt_decode_stream": _snapshots(", cast(ts as date) as trade_date"),
         "mkt_decode_named": _snapshots(", cast(ts as date) as trade_date") + " where \"Transcode\" % 2 = 0",
         "mkt_stage_csv": _snapshots(),
         "quality_job_snapshots": _snapshot_report(),

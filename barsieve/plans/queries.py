@@ -33,6 +33,7 @@ from barsieve.scratch import scratch_path
 from barsieve.sources.archives import list_archives, scan_staged_entries, stage_entries, unzip_rows
 from barsieve.sources.csv import read_by_name, scan_csv
 from barsieve.sources.snapshots import read_snapshots
+from barsieve.sources.streamed import stream_archive_rows, stream_snapshots
 from barsieve.sources.tables import create_table, overwrite, read_table, stage_csv
 from barsieve.streaming.ingest import ingest, ingest_checked, new_files
 
@@ -381,12 +382,26 @@ def mkt_decode_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshots(spark, path).drop("source_file")
 
 
+def mkt_decode_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files through the data source that streams them."""
+    path = scratch_path(spark, "streamed")
+    views.write_snapshot_files(views.snapshot_rows(spark, sf_dir), path)
+    return stream_snapshots(spark, path, "*.gz").drop("source_file")
+
+
 def bhav_unzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     views.write_archives(views.staged_bars(spark, sf_dir), path)
     return typed_bars(project_bars(unzip_rows(list_archives(spark, path, "*"))))
 
 
+def bhav_unzip_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same archives through the data source that deals their entries to tasks."""
+    path = scratch_path(spark, "archives")
+    views.write_archives(views.staged_bars(spark, sf_dir), path)
+    return typed_bars(project_bars(stream_archive_rows(spark, path, name_filter="*")))
+
+
 def bhav_stage_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive entries staged as they are, one file per entry, and read by a CSV scan.
 
@@ -596,8 +611,10 @@ def all_queries() -> dict[str, Query]:
         scan_csv_mixed,
         mkt_decode,
         mkt_decode_named,
+        mkt_decode_stream,
         mkt_stage_csv,
         bhav_unzip,
+        bhav_unzip_entries,
         bhav_stage_csv,
         bhav_stage_same_entry,
         sink_roundtrip,

@@ -36,18 +36,26 @@ def unzip_rows(archives: DataFrame, columns: list[str] = STAGED_BAR_COLUMNS) ->
     job; further columns are left out, and an entry without a line has no rows. Lines are parsed by Spark as those of
     any CSV file.
     """
-    columns = list(columns)
+    return parsed_lines(_lines(archives, list(columns)), list(columns))
+
+
+def parsed_lines(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of the lines that follow the header of each entry."""
     schema = cell_schema(len(columns) + SPARE_COLUMNS)
-    lines = _lines(archives, columns).where("line_no > 0")
-    found = lines.select("entry", "places", F.from_csv("line", schema.simpleString()[7:-1].replace(":", " ")).alias("c"))
-    values = F.array(*[F.col("c")[f.name] for f in schema])
-    at = [F.get(values, F.get("places", F.lit(i))).alias(c) for i, c in enumerate(columns)]
+    parsed = F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "))
+    # out of a generator, so that a line is parsed once and not for each of its cells
+    found = as_text(lines).where("line_no > 0").select("entry", "places", F.explode(F.array(parsed)).alias("c"))
+    found = found.select("entry", "places", F.array(*[F.col("c")[f.name] for f in schema]).alias("cells"))
+    at = [F.get("cells", F.get("places", F.lit(i))).alias(c) for i, c in enumerate(columns)]
     return found.select("entry", *at)
 
 
 def unzip_lines(archives: DataFrame) -> DataFrame:
     """Lines of every entry with their archive and position, for staging the entries as they are."""
-    return _lines(archives, []).drop("places")
+    return as_text(_lines(archives, [])).drop("places")
+
+
+LINES = "archive string, entry string, line_no bigint, line binary, places array<int>"
 
 
 def _lines(archives: DataFrame, columns: list[str]) -> DataFrame:
@@ -55,27 +63,34 @@ def _lines(archives: DataFrame, columns: list[str]) -> DataFrame:
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, name, stream in _entries(batches):
-            start, places = 0, None
-            while block := stream.readlines(_READ_BYTES):
-                if places is None:
-                    places = _places(block[0], columns, f"{path} {name}")
-                n = len(block)
-                same = pa.array([0] * n, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([path]).take(same),
-                        pa.array([name]).take(same),
-                        pa.array(range(start, start + n), pa.int64()),
-                        pa.array([line.removesuffix(b"\n").removesuffix(b"\r") for line in block], pa.binary()),
-                        pa.array([places], pa.list_(pa.int32())).take(same),
-                    ],
-                    names=["archive", "entry", "line_no", "line", "places"],
-                )
-                start += n
-
-    schema = "archive string, entry string, line_no bigint, line binary, places array<int>"
-    staged = archives.select("path", "content").mapInArrow(lines, schema)
-    return staged.withColumn("line", F.col("line").cast("string"))
+            yield from line_batches(path, name, stream, columns)
+
+    return archives.select("path", "content").mapInArrow(lines, LINES)
+
+
+def line_batches(path: str, name: str, stream: zipfile.ZipExtFile, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """The lines of one entry, a block at a time."""
+    start, places = 0, None
+    while block := stream.readlines(_READ_BYTES):
+        if places is None:
+            places = _places(block[0], columns, f"{path} {name}")
+        n = len(block)
+        same = pa.array([0] * n, pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([path]).take(same),
+                pa.array([name]).take(same),
+                pa.array(range(start, start + n), pa.int64()),
+                pa.array([line.removesuffix(b"\n").removesuffix(b"\r") for line in block], pa.binary()),
+                pa.array([places], pa.list_(pa.int32())).take(same),
+            ],
+            names=["archive", "entry", "line_no", "line", "places"],
+        )
+        start += n
+
+
+def as_text(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("line", F.col("line").cast("string"))
 
 
 def _places(header: bytes, columns: list[str], where: str) -> list[int]:
@@ -94,12 +109,15 @@ def _places(header: bytes, columns: list[str], where: str) -> list[int]:
 def stage_entries(archives: DataFrame, path: str) -> None:
     """Write every entry line by line under its archive's and its own name; no shuffle, one file per entry.
 
+    `archives` are those listed with their content, or the lines of their entries as a stream gives them.
+
     `archive=<name>-<hash of its path>/entry=<name>/`, so that entries of one name in several archives stay apart, and
     so do archives of one name in several folders.
     """
     source = F.col("archive")
     own = F.concat(file_in_path(source), F.lit("-"), F.hex(F.xxhash64(source)))
-    named = unzip_lines(archives).withColumn("archive", own)
+    lines = unzip_lines(archives) if "content" in archives.columns else archives
+    named = lines.withColumn("archive", own)
     ordered = named.sortWithinPartitions("archive", "entry", "line_no")
     ordered.select("archive", "entry", "line").write.partitionBy("archive", "entry").mode("overwrite").text(path)
 

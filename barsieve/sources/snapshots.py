@@ -23,6 +23,11 @@ register_pickle_by_value(sys.modules[__name__])
 
 RECORDS_PER_BATCH = 64 * 1024
 
+#: A record's fields, then its day and file.
+RECORD_SCHEMA = T.StructType(
+    [*SNAPSHOT_SCHEMA.fields, T.StructField("trade_date", T.DateType()), T.StructField("source_file", T.StringType())]
+)
+
 _UNREADABLE = (OSError, EOFError, zlib.error)
 
 
@@ -49,25 +54,29 @@ def decode_snapshots(files: DataFrame) -> DataFrame:
 
     A file that is no whole gzip file fails the job; `unreadable_files` names such files.
     """
-    layout = np.dtype([(n, f"<u{size}") for n, size in SNAPSHOT_FIELDS] + [("unused", "<u4"), ("pad", "V16")])
-    origin = [T.StructField("trade_date", T.DateType()), T.StructField("source_file", T.StringType())]
-    schema = T.StructType([*SNAPSHOT_SCHEMA.fields, *origin])
+    origin = RECORD_SCHEMA.names[-2:]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 content = batch.column("content")[row].as_buffer()
                 for block in _blocks(content):
-                    records = np.frombuffer(block, dtype=layout)
-                    columns = [pa.array(records[n].astype(f"i{size * 2}")) for n, size in SNAPSHOT_FIELDS]
-                    same = pa.array(np.full(len(records), row, dtype="i4"))
-                    columns += [batch.column(f.name).take(same) for f in origin]
-                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                    columns = record_columns(block)
+                    same = pa.array(np.full(len(columns[0]), row, dtype="i4"))
+                    columns += [batch.column(c).take(same) for c in origin]
+                    yield pa.RecordBatch.from_arrays(columns, names=RECORD_SCHEMA.names)
 
     # day and file name are worked out per file, not per record
     path = F.col("path")
     named = files.select("content", day_in_path(path).alias("trade_date"), file_in_path(path).alias("source_file"))
-    return named.mapInArrow(decode, schema)
+    return named.mapInArrow(decode, RECORD_SCHEMA)
+
+
+def record_columns(block: bytes) -> list[pa.Array]:
+    """The fields of whole records."""
+    layout = np.dtype([(n, f"<u{size}") for n, size in SNAPSHOT_FIELDS] + [("unused", "<u4"), ("pad", "V16")])
+    records = np.frombuffer(block, dtype=layout)
+    return [pa.array(records[n].astype(f"i{size * 2}")) for n, size in SNAPSHOT_FIELDS]
 
 
 def unreadable_files(files: DataFrame) -> DataFrame:
@@ -98,13 +107,17 @@ def _each_file(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Buff
 
 
 def _blocks(content: pa.Buffer) -> Iterator[bytes]:
+    with gzip.GzipFile(fileobj=io.BytesIO(content)) as stream:
+        yield from record_blocks(stream)
+
+
+def record_blocks(stream: gzip.GzipFile) -> Iterator[bytes]:
     """The decompressed file in blocks of whole records; at most one block is held at a time."""
     size = SNAPSHOT_BYTES * RECORDS_PER_BATCH
-    with gzip.GzipFile(fileobj=io.BytesIO(content)) as stream:
-        while block := stream.read(size):
-            whole = len(block) - len(block) % SNAPSHOT_BYTES
-            if whole:
-                yield block[:whole]
+    while block := stream.read(size):
+        whole = len(block) - len(block) % SNAPSHOT_BYTES
+        if whole:
+            yield block[:whole]
 
 
 def _problem(content: pa.Buffer) -> str | None:
