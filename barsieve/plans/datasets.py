@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barsieve.functions.declared import column_specs
 from barsieve.operators.quality import check
 from barsieve.sources.csv import read_metadata
+from barsieve.sources.published import publish
 from barsieve.sources.tables import overwrite
 
 log = logging.getLogger(__name__)
@@ -21,7 +22,8 @@ class Dataset:
     """A dataset to check: chosen by the name of its metadata file, read and written by the caller's settings.
 
     Its rows are read once: they are written to `stage` (or the shared folder) with the rules that they break, and both
-    results come from there. So a CSV scan need not stage what it parses.
+    results come from there. So a CSV scan need not stage what it parses. The results replace the tables that `failed`
+    and `passed` name, one after the other, or are published together, as `failed` and `passed`, in `folder`.
     """
 
     name: str
@@ -32,6 +34,7 @@ class Dataset:
     failed: dict[str, str] = field(default_factory=dict)
     passed: dict[str, str] = field(default_factory=dict)
     stage: str | None = None
+    folder: str | None = None
 
 
 def run_dataset(spark: SparkSession, dataset: Dataset, metadata_path: str) -> None:
@@ -39,6 +42,9 @@ def run_dataset(spark: SparkSession, dataset: Dataset, metadata_path: str) -> No
     rows = dataset.read(spark)
     specs = column_specs(read_metadata(spark, metadata_path), rows.columns)
     result = check(rows, specs, dataset.source_name, dataset.target_name).staged(dataset.stage)
+    if dataset.folder is not None:
+        publish(spark, dataset.folder, {"failed": result.failed, "passed": result.passed_null_key})
+        return
     overwrite(result.failed, **dataset.failed)
     overwrite(result.passed_null_key, **dataset.passed)
 

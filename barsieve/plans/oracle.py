@@ -472,6 +472,10 @@ from spine""",
         + f"select n as source_rows, m as target_rows, n - m as missing_rows, case when n = m then '{SAME}' "
         f"else '{MISSING}' || (n - m) end as status from (select count(*) as n, "
         "count(*) filter (series = 'EQ') as m from bars)",
+        "reconcile_tables": _with(BARS)
+        + f"select n as source_rows, m as target_rows, n - m as missing_rows, case when n = m then '{SAME}' "
+        f"else '{MISSING}' || (n - m) end as status from (select count(*) as n, "
+        "count(*) filter (series = 'EQ') as m from bars)",
         "reconcile_equal": "select count(*) as source_rows, count(*) as target_rows, cast(0 as bigint) as missing_rows, "
         f"'{SAME}' as status from orders",
         "scan_csv_flat": EVENT_ROWS,

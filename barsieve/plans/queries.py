@@ -24,7 +24,7 @@ from barsieve.operators.quality import (
     rule_failures,
     type_rule,
 )
-from barsieve.operators.reconcile import row_counts
+from barsieve.operators.reconcile import row_counts, written_counts
 from barsieve.operators.silver import project_bars, typed, typed_bars
 from barsieve.plans import views
 from barsieve.plans.datasets import Dataset, run_listed
@@ -32,6 +32,7 @@ from barsieve.schemas import SNAPSHOT_SCHEMA, STAGED_BAR_COLUMNS
 from barsieve.scratch import scratch_path
 from barsieve.sources.archives import list_archives, scan_staged_entries, stage_entries, unzip_rows
 from barsieve.sources.csv import read_by_name, scan_csv
+from barsieve.sources.published import read_published
 from barsieve.sources.snapshots import read_snapshots
 from barsieve.sources.streamed import stream_archive_rows, stream_snapshots
 from barsieve.sources.tables import create_table, overwrite, read_table, stage_csv
@@ -296,7 +297,14 @@ def files_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All bars against the table of bars of one series, which is written and read back."""
+    """All bars against the table of bars of one series, both counted while that is written."""
+    path = scratch_path(spark, "reconcile")
+    write = lambda rows: overwrite(rows, fmt="parquet", path=path)
+    return written_counts(views.bars(spark, sf_dir), F.col("series") == "EQ", write)
+
+
+def reconcile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from both tables, the second written and read back."""
     bars = views.bars(spark, sf_dir)
     path = scratch_path(spark, "reconcile")
     overwrite(bars.where(F.col("series") == "EQ"), fmt="parquet", path=path)
@@ -516,8 +524,7 @@ def _run_job(spark: SparkSession, sf_dir: str) -> str:
             read=read,
             source_name=f"staged {name}",
             target_name=name,
-            failed={"fmt": "parquet", "path": f"{root}/failed/{name}"},
-            passed={"fmt": "parquet", "path": f"{root}/passed/{name}"},
+            folder=f"{root}/checked/{name}",
         )
 
     datasets = [
@@ -535,12 +542,12 @@ def _run_job(spark: SparkSession, sf_dir: str) -> str:
 
 def quality_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged bars and their metadata file, run as the job runs them; the passed table, typed."""
-    return typed_bars(read_table(spark, fmt="parquet", path=f"{_run_job(spark, sf_dir)}/passed/bars"))
+    return typed_bars(read_published(spark, f"{_run_job(spark, sf_dir)}/checked/bars", "passed"))
 
 
 def quality_job_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The failure report of the second dataset of the same run: market files, decoded, staged and checked."""
-    return read_table(spark, fmt="parquet", path=f"{_run_job(spark, sf_dir)}/failed/snapshots")
+    return read_published(spark, f"{_run_job(spark, sf_dir)}/checked/snapshots", "failed")
 
 
 def _check_rules() -> dict[str, Query]:
@@ -604,6 +611,7 @@ def all_queries() -> dict[str, Query]:
         ingest_audit_files,
         files_per_day,
         reconcile_counts,
+        reconcile_tables,
         reconcile_equal,
         scan_csv_flat,
         scan_csv_nested,
