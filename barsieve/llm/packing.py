@@ -15,6 +15,7 @@ import base64
 import json
 import math
 import zlib
+from collections import Counter
 from functools import cache
 from pathlib import Path
 
@@ -61,19 +62,26 @@ def token_ids(path: str, text: str | None) -> np.ndarray:
 
 def pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None) -> DataFrame:
     """A row for each piece: `doc_id`, `start`, `length`, `ids_crc32`, `doc_tokens`."""
+    return _numbered_pieces(docs, length, vocabulary).drop("copy")
+
+
+def _numbered_pieces(docs: DataFrame, length: int, vocabulary: str | None) -> DataFrame:
+    """The pieces with `copy`: how many rows before in the same block of texts have the doc_id; 0 where it is unique."""
     path = vocabulary or default_vocabulary()
 
     def cut(block: pa.RecordBatch) -> dict[str, object]:
-        rows: list[tuple[int, int, int, int, int]] = []
+        rows: list[tuple[int, int, int, int, int, int]] = []
+        seen: Counter[int | None] = Counter()
         for doc_id, text in zip(block.column("doc_id").to_pylist(), block.column("text").to_pylist(), strict=True):
             ids = token_ids(path, text)
             for start in range(0, len(ids), length):
                 part = ids[start : start + length]
-                rows.append((doc_id, start, len(part), zlib.crc32(part), len(ids)))
-        names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+                rows.append((doc_id, start, len(part), zlib.crc32(part), len(ids), seen[doc_id]))
+            seen[doc_id] += 1
+        names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "copy")
         return dict(zip(names, zip(*rows, strict=True), strict=True)) if rows else {n: [] for n in names}
 
-    return map_blocks(docs.select("doc_id", "text"), cut, PIECE)
+    return map_blocks(docs.select("doc_id", "text"), cut, f"{PIECE}, copy long")
 
 
 class RoomTree:
@@ -110,15 +118,16 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 def pack(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None, seed: int = SEED) -> DataFrame:
     """The pieces with the `sequence_id` each goes to and its `offset` there."""
-    cut = staged(pieces(docs, length, vocabulary), "pieces")
+    cut = staged(_numbered_pieces(docs, length, vocabulary), "pieces")
     groups = max(1, math.ceil(cut.count() / GROUP))
     order = ["length", "doc_id", "start", "ids_crc32"]
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(order, ascending=[False, True, True, True], kind="stable")
         sequence, offset = first_fit_decreasing(rows["length"].to_numpy(), length)
-        return rows.assign(sequence_id=(rows["group"].to_numpy() << 32) | sequence, offset=offset).drop(columns="group")
+        return rows.assign(sequence_id=(rows["group"].to_numpy() << 32) | sequence, offset=offset).drop(columns=["group", "copy"])
 
-    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32"), F.lit(groups))
+    # repeated rows are dealt like others, by their numbers
+    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", "copy"), F.lit(groups))
     placed = f"{PIECE}, sequence_id long, offset long"
     return cut.withColumn("group", group).groupBy("group").applyInPandas(fill, placed)
