@@ -205,12 +205,16 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, limit: int) -> DataFrame:
-    """Texts with the labels to learn from: about `limit` rows at most, spread by a hash of doc_id."""
-    usable = labels.where(learn & F.col("quality").isNotNull()).select("doc_id", F.col("quality").alias("label"))
+    """Texts with the labels to learn from: about `limit` rows at most, spread by a hash of doc_id.
+
+    Labels that are given several times count once, and of rows that share a doc_id the smallest text.
+    """
+    usable = labels.where(learn & F.col("quality").isNotNull()).select("doc_id", F.col("quality").alias("label")).distinct()
     share = min(1.0, limit / max(1, usable.count()))
     spread = F.pmod(F.xxhash64(F.lit("training"), "doc_id"), F.lit(1 << 20))
     chosen = usable.where(spread < int(share * (1 << 20)))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by `limit`
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by `limit`
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, limit: int = MAX_TRAINING_ROWS) -> AdditiveModel:
