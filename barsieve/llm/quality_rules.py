@@ -1,10 +1,10 @@
-"""Quality rules: fixed counts, and a calibrated logistic regression on hashed words and character trigrams.
+"""Quality rules: fixed counts, and a calibrated logistic regression on hashed word and character n-grams.
 
 The counts fail a text with under `MIN_WORDS` words, or with more than `MOST_REPEATED` per cent of its words in runs
 of five that the text holds twice or more. Any other text is kept if the probability of label 1 is `KEEP_AT` or more.
 
-The regression sees the shares of a text's words and of its byte trigrams by hash, and is fitted on labelled rows;
-one row in five of them, by a hash, is left out of the fit and sets the slope and offset that turn a sum into a
+The regression sees the shares of a text's words, of its pairs of neighbouring words and of its trigrams of characters
+(code points) by hash, and is fitted on labelled rows; one row in five of them, by a hash, is left out of the fit and sets the slope and offset that turn a sum into a
 probability. Null and empty texts have no words and fail. Without labelled rows, or with one class only, every text
 that passes the counts is kept. Repeated rows are judged one by one; other columns are carried along, and an input
 column named like a new one is replaced.
@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 
 from barsieve.llm.common import add_columns
 from barsieve.llm.quality_gam import training_rows
-from barsieve.llm.textblocks import U64, TextBlock, windows
+from barsieve.llm.textblocks import U64, TextBlock, mix, windows
 
 #: Labelled rows to learn from, at most. More are thinned by a hash of doc_id.
 MAX_TRAINING_ROWS = 4000
-WORD_SLOTS, TRIGRAM_SLOTS = 1 << 10, 1 << 11
+#: Slots of words, of word pairs and of trigrams; powers of two.
+SLOTS = (1 << 10, 1 << 11, 1 << 11)
 MIN_WORDS, MOST_REPEATED, RUN = 10, 20, 5
 KEEP_AT = 0.5
 _SYMBOLS = np.zeros(256, dtype=bool)
@@ -74,30 +75,33 @@ def counts(block: TextBlock) -> dict[str, np.ndarray]:
     }
 
 
-def _word_slots(block: TextBlock) -> np.ndarray:
-    return (block.word_hashes & U64(WORD_SLOTS - 1)).astype(np.int64)
+def _trigrams(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of every three characters in a row of the block, and the places of each text's characters among them."""
+    heads = (block.data & 0xC0) != 0x80
+    begins = np.concatenate([[0], np.cumsum(heads)])[block.offsets]
+    c = np.frombuffer(block.data.tobytes().decode().encode("utf-32-le"), dtype="<u4").astype(U64)
+    key = (c[:-2] << U64(42)) | (c[1:-1] << U64(21)) | c[2:] if len(c) > 2 else np.zeros(0, dtype=U64)
+    return mix(key), begins
 
 
-def _trigram_slots(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
-    """The slot of every trigram that starts in the block, and how many of them each text has."""
-    d = block.data.astype(np.uint32)
-    if len(d) < 3:
-        return np.zeros(0, dtype=np.int64), np.zeros(block.rows, dtype=np.int64)
-    key = (d[:-2] << np.uint32(16)) | (d[1:-1] << np.uint32(8)) | d[2:]
-    slots = (key * np.uint32(2654435761)) >> np.uint32(32 - (TRIGRAM_SLOTS.bit_length() - 1))
-    return slots.astype(np.int64), np.maximum(np.diff(block.offsets) - 2, 0)
+def _grams(block: TextBlock) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For words, word pairs and trigrams: the slot of each, and the first and end place of each text's."""
+    pairs, cuts = windows(block.word_hashes, block.words.bounds, 2)
+    trigrams, begins = _trigrams(block)
+    ends = np.maximum(begins[1:] - 2, begins[:-1])
+    places = [(block.words.bounds[:-1], block.words.bounds[1:]), (cuts[:-1], cuts[1:]), (begins[:-1], ends)]
+    hashes = [block.word_hashes, pairs, trigrams]
+    return [((h & U64(n - 1)).astype(np.int64), a, b) for h, n, (a, b) in zip(hashes, SLOTS, places, strict=True)]
 
 
 def shares(block: TextBlock) -> np.ndarray:
-    """For each text, the shares of its words and of its trigrams by slot."""
-    out = np.zeros((block.rows, WORD_SLOTS + TRIGRAM_SLOTS), dtype=np.float32)
-    word, (trigram, n) = _word_slots(block), _trigram_slots(block)
-    for k in range(block.rows):
-        a, b = block.words.bounds[k], block.words.bounds[k + 1]
-        out[k, :WORD_SLOTS] = np.bincount(word[a:b], minlength=WORD_SLOTS) / max(1, b - a)
-        start = block.offsets[k]
-        found = np.bincount(trigram[start : start + n[k]], minlength=TRIGRAM_SLOTS)
-        out[k, WORD_SLOTS:] = found / max(1, n[k])
+    """For each text, the shares of its words, word pairs and trigrams by slot."""
+    out = np.zeros((block.rows, sum(SLOTS)), dtype=np.float32)
+    first = 0
+    for (slots, start, end), size in zip(_grams(block), SLOTS, strict=True):
+        for k, (a, b) in enumerate(zip(start, end, strict=True)):
+            out[k, first : first + size] = np.bincount(slots[a:b], minlength=size) / max(1, b - a)
+        first += size
     return out
 
 
@@ -111,12 +115,11 @@ class NgramModel:
     offset: float
 
     def probability(self, block: TextBlock) -> np.ndarray:
-        word, (trigram, n) = _word_slots(block), _trigram_slots(block)
-        by_word = np.bincount(block.words.row, weights=self.weights[word], minlength=block.rows)
-        sums = np.concatenate([[0.0], np.cumsum(self.weights[WORD_SLOTS + trigram])])
-        start = np.minimum(block.offsets[:-1], len(sums) - 1)
-        by_trigram = sums[np.minimum(start + n, len(sums) - 1)] - sums[start]
-        total = by_word / np.maximum(block.words.counts, 1) + by_trigram / np.maximum(n, 1) + self.bias
+        total, first = np.full(block.rows, self.bias), 0
+        for (slots, start, end), size in zip(_grams(block), SLOTS, strict=True):
+            sums = np.concatenate([[0.0], np.cumsum(self.weights[first + slots])])
+            total += (sums[end] - sums[start]) / np.maximum(end - start, 1)
+            first += size
         return _logistic(self.slope * total + self.offset)
 
 
