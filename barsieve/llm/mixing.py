@@ -7,7 +7,8 @@ A source's documents are counted by exact length in words. With a target above i
 and the rest of the target is the budget; else the target is. Of each length, the documents that the budget's share
 of the source allows are taken, rounded down. What remains is fitted with single documents: the longest that fit,
 until the rest is short, then by dynamic programming over all sums with the counts left, which finds the largest sum
-not above it. Which documents of a length are taken is decided by a seeded hash of doc_id, so reruns agree.
+not above it. Where that still falls short, the shortest documents are given back until the longest would fit, and all
+sums are tried again with up to `most` copies of each document. Which documents of a length are taken is decided by a seeded hash of doc_id, so reruns agree.
 
 A null text has no words; documents without words are taken along at the budget's share and count nothing. Equal
 doc_ids are rows of their own. An empty table gives an empty table. Input columns named like new ones are replaced.
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsieve.llm.common import staged, word_count
+from barsieve.operators.duplicates import repeat_rows
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST, SEED = 1.5, 2, 20
@@ -103,13 +105,38 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     return taken
 
 
-def _plan(rows: pd.DataFrame) -> pd.DataFrame:
+def refit(lengths: np.ndarray, most: np.ndarray, taken: np.ndarray, budget: int) -> np.ndarray:
+    """Come nearer to a budget that a choice falls short of, with up to `most` of each length.
+
+    The shortest documents are given back until the longest would fit, and the rest is fitted anew by all sums.
+    """
+    rest = budget - int(np.dot(lengths, taken))
+    words = np.flatnonzero(lengths > 0)
+    if rest <= 0 or not len(words):
+        return taken
+    taken, longest = taken.copy(), int(lengths.max())
+    for k in words[np.argsort(lengths[words], kind="stable")]:
+        back = min(int(taken[k]), max(0, -(-(longest - rest) // int(lengths[k]))))
+        taken[k] -= back
+        rest += back * int(lengths[k])
+    fits = words[(lengths[words] <= rest) & (most[words] > taken[words])]
+    if len(fits):
+        rest = min(rest, int(np.dot(lengths[fits], (most - taken)[fits])))
+        taken[fits] += _nearest_sum(lengths[fits], (most - taken)[fits], rest)
+    return taken
+
+
+def _plan(rows: pd.DataFrame, most: int) -> pd.DataFrame:
+    """For each length of a source, how often all of its documents are taken, and how many once more."""
     rows = rows.sort_values("size")
     lengths, counts = rows["size"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
     target, total = int(rows["target"].iloc[0]), int(np.dot(lengths, counts))
-    times = target // total if total else 0
+    times = min(most, target // total) if total else 0
     budget = target - times * total
-    return rows.assign(times=times, chosen=fit_budget(lengths, counts, budget))[["sid", "size", "n", "times", "chosen"]]
+    copies = times * counts + fit_budget(lengths, counts if times < most else 0 * counts, budget)
+    copies = refit(lengths, most * counts, copies, target)
+    rows = rows.assign(times=copies // counts, chosen=copies % counts)
+    return rows[["sid", "size", "n", "times", "chosen"]]
 
 
 def _row_key() -> Column:
@@ -140,7 +167,7 @@ def mix(
     rows = sized.join(goals, same).drop(goals["source"])
     lengths = rows.groupBy("sid", "size", "target").agg(F.count(F.lit(1)).alias("n"))
     plan = staged(
-        lengths.groupBy("sid").applyInPandas(_plan, "sid int, size long, n long, times long, chosen long"), "fit"
+        lengths.groupBy("sid").applyInPandas(lambda g: _plan(g, most), "sid int, size long, n long, times long, chosen long"), "fit"
     )
     bucket = F.pmod("order", F.lit(BUCKETS))
     parts = plan.where("chosen > 0 and chosen < n").select("sid", "size", "chosen")
@@ -161,8 +188,15 @@ def mix(
     on_edge = F.col("bucket") == F.col("edge")
     clear = F.col("edge").isNull() | ~on_edge
     taken_one = F.when(F.col("edge").isNull(), F.col("chosen") > 0).otherwise(F.col("bucket") < F.col("edge"))
+    # rows that are equal throughout are ranked as one, with their number, and written again afterwards
+    alike = found.where(on_edge).groupBy(*found.columns).agg(F.count(F.lit(1)).alias("alike"))
     by_rank = Window.partitionBy("sid", "size").orderBy("order", "doc_id", "key")
-    ranked = found.where(on_edge).withColumn("more", (F.row_number().over(by_rank) <= F.col("need")).cast("long"))
+    alike = alike.withColumn("before", F.sum("alike").over(by_rank) - F.col("alike"))
+    first = F.greatest(F.lit(0), F.least("alike", F.col("need") - F.col("before"))).cast("long")
+    turns = [F.struct(first.alias("alike"), F.lit(1).cast("long").alias("more"))]
+    turns += [F.struct((F.col("alike") - first).alias("alike"), F.lit(0).cast("long").alias("more"))]
+    ranked = alike.withColumn("turn", F.explode(F.array(*turns))).select(*found.columns, "turn.alike", "turn.more")
+    ranked = repeat_rows(ranked, "alike")
     all_rows = found.where(clear).withColumn("more", taken_one.cast("long")).unionByName(ranked)
     copies = F.col("times") + F.col("more")
     return all_rows.select(
@@ -174,16 +208,17 @@ def mix(
 def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of `docs`.
 
-    Rows that share doc_id, source and text take turns, so that each gets one row of the mix.
+    Rows that share doc_id, source and text are taken equally often, and one of them as often again as is left.
     """
     keys, names = ["_k1", "_k2"], docs.columns
-    turn = Window.partitionBy(*keys).orderBy("_copies")
-    found = mix(docs, **options).select(
-        F.col("key.h1").alias("_k1"), F.col("key.h2").alias("_k2"), F.col("copies").alias("_copies")
-    )
-    found = found.withColumn("_turn", F.row_number().over(turn)).where("_copies > 0")
+    found = mix(docs, **options).select(F.col("key.h1").alias("_k1"), F.col("key.h2").alias("_k2"), "copies")
+    taken = found.groupBy(*keys).agg(F.min("copies").alias("_each"), F.sum("copies").alias("_all"), F.count("*").alias("_n"))
+    taken = staged(taken.where("_all > 0"), "copies")
     own = _row_key()
     keyed = docs.withColumns({"_k1": own["h1"], "_k2": own["h2"]})
-    keyed = keyed.withColumn("_turn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
-    joined = keyed.join(found, [*keys, "_turn"])
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*names)
+    each = keyed.join(taken.where("_each > 0").select(*keys, "_each"), keys)
+    each = each.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each").cast("int")))).select(*names)
+    left = taken.withColumn("_left", F.col("_all") - F.col("_each") * F.col("_n")).where("_left > 0").select(*keys, "_left")
+    left = staged(left, "left")  # mostly few rows or none, which Spark knows of a written table
+    one = keyed.join(left.select(*keys), keys).groupBy(*keys).agg(F.any_value(F.struct(*names)).alias("_row"))
+    return each.unionByName(repeat_rows(left, "_left").join(one, keys).select("_row.*"))
