@@ -22,6 +22,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task turns into arrays at a time. A longer text makes a block of its own.
 BLOCK_BYTES = 2 << 20
 
+#: Bytes of rows that Spark hands to a Python worker at a time; its default of 64 MB is held several times over.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 
 def importable(spark: SparkSession) -> None:
     """Let workers on this machine import the package from where the driver has it.
@@ -35,6 +39,12 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python workers at most `BATCH_BYTES` of rows at a time, unless the session has a size of its own."""
+    if spark.conf.get(_BATCH_SETTING, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The same rows, written as Parquet to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -11,13 +11,14 @@ smallest values of the set under random orders; a class enters `TILES` tiles in
 any two sets whose sizes allow the similarity share a band. Two sets of similarity s share no tile with probability
 (1 - s**ROWS)**TILES: below 8e-8 at 0.75, below 3e-9 at 0.8. Equal sets do not depend on it. Within a tile,
 
-1. every class meets the tile's smallest class id; pairs are verified, and linked classes share a label;
-2. in tiles of `STAR_FROM` classes or more, every class meets one class of the tile drawn by hash, unless they share a
-   label, `STARS` times;
+1. every class meets the tile's smallest class id, and in tiles of `STAR_FROM` classes or more one drawn by hash; pairs
+   are verified, and linked classes share a label;
+2. in those tiles, every class meets another one drawn by hash, unless they share a label;
 3. where a tile still holds several labels, the classes of different labels meet, in blocks.
 
 So the pairs of a large group of copies are never listed: once a group has one label, nothing is left to compare.
-The first two steps only save work; the third compares all that they have not joined.
+The first two steps only save work; the third compares all that they have not joined. There, pairs stay within the task
+that compares two blocks, and only links that join labels come out, so near misses cost time but no rows.
 A pair is verified by its sizes, then by hashed bitmaps (bits that one set has alone bound the overlap from above),
 then by the exact intersection of the sorted hashes.
 """
@@ -28,7 +29,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barsieve.llm.common import add_columns, map_blocks, sorted_groups, staged
@@ -39,10 +41,11 @@ WORDS = 5
 #: Similarity to link, as a fraction.
 OVER, UNDER = 75, 100
 ROWS, TILES = 3, 30
-#: Turns in which the classes of a tile meet one drawn by hash, and classes of a tile from which on that saves work.
-STARS, STAR_FROM = 2, 16
-#: Classes of a tile that one task compares with as many others.
-BLOCK = 1024
+#: Classes of a tile from which on a meeting with one drawn by hash saves work.
+STAR_FROM = 16
+#: Classes of a tile that one task compares with as many others, and bytes of their sets.
+BLOCK, BLOCK_BYTES = 1024, 32 << 20
+MARK = "_text_hash"
 #: Bits in a bitmap, at most.
 MOST_BITS = 1 << 17
 
@@ -106,8 +109,13 @@ def linked(overlap: int, n: int, m: int) -> bool:
     return UNDER * overlap >= OVER * (n + m - overlap)
 
 
+def _mark() -> Column:
+    """What tells rows of one doc_id apart that have different texts."""
+    return F.xxhash64("text").alias(MARK)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """For each document: set size, 128 bits that stand for the set, tiles and bitmap."""
+    """For each document: a hash of its text, set size, 128 bits that stand for the set, tiles and bitmap."""
 
     def make(block: pa.RecordBatch) -> dict[str, object]:
         hashes, cuts = shingles(block.column("text"))
@@ -123,7 +131,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         }
 
     added = "n_shingles long, f1 long, f2 long, tiles array<long>, bits binary"
-    return add_columns(docs.select("doc_id", "text"), make, added, ["doc_id"])
+    return add_columns(docs.select("doc_id", "text", _mark()), make, added, ["doc_id", MARK])
 
 
 def _within(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
@@ -184,18 +192,22 @@ class _Verifier:
         self.docs = docs
         self.sets: DataFrame | None = None
 
-    def links(self, pairs: DataFrame, bounded: bool = False) -> DataFrame:
-        """The pairs (`a`, `b`) that link. `bounded`: their bitmaps have been compared."""
-        if not bounded:
-            sized = _within(pairs, self.sizes, ["n", "bits"])
-            sized = sized.where(UNDER * F.least("n_a", "n_b") >= OVER * F.greatest("n_a", "n_b"))
-            pairs = staged(_bounded(sized).select("a", "b"), "bounded")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """A table of sets (`node`, `hashes`) that has those of these nodes."""
+        wanted = nodes.distinct()
         if self.sets is not None:
-            ends = ends.join(self.sets.select("node"), "node", "left_anti")
-        fresh = _sets(staged(ends, "ends"), self.docs)
+            wanted = wanted.join(self.sets.select("node"), "node", "left_anti")
+        fresh = _sets(staged(wanted, "ends"), self.docs)
         self.sets = fresh if self.sets is None else self.sets.unionAll(fresh)
-        return staged(_exact(_within(pairs, self.sets, ["hashes"])), "links")
+        return self.sets
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (`a`, `b`) that link."""
+        sized = _within(pairs, self.sizes, ["n", "bits"])
+        sized = sized.where(UNDER * F.least("n_a", "n_b") >= OVER * F.greatest("n_a", "n_b"))
+        pairs = staged(_bounded(sized).select("a", "b"), "bounded")
+        sets = self.sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        return staged(_exact(_within(pairs, sets, ["hashes"])), "links")
 
 
 def _joined_so_far(links: DataFrame) -> DataFrame:
@@ -213,12 +225,13 @@ def _components_in_tiles(entries: DataFrame, known: DataFrame) -> DataFrame:
     """The tiles' classes with the component that each is in so far."""
     known = known.withColumnRenamed("node", "_n")
     held = entries.join(known, F.col("node") == F.col("_n"), "left")
-    return held.select("tile", "node", F.coalesce("component", "node").alias("component"))
+    return held.select("tile", "node", "n", "m", F.coalesce("component", "node").alias("component"))
 
 
-def _star_pairs(entries: DataFrame, known: DataFrame, turn: int) -> DataFrame:
-    """Each tile's classes with one of them, drawn by hash, that is in another component."""
-    held = _components_in_tiles(entries, known)
+def _star_pairs(entries: DataFrame, known: DataFrame | None, turn: int) -> DataFrame:
+    """Each tile's classes with one of them, drawn by hash, that is in another component; nothing `known`: is another."""
+    alone = entries.select("tile", "node", F.col("node").alias("component"))
+    held = alone if known is None else _components_in_tiles(entries, known)
     drawn = F.xxhash64(F.lit(turn), "node")
     leads = held.groupBy("tile").agg(F.min_by("node", drawn).alias("lead"), F.min_by("component", drawn).alias("of"))
     pairs = held.join(leads, "tile").where("component <> of")
@@ -235,50 +248,93 @@ def _folded_bits(raw: list[bytes]) -> np.ndarray:
     return out
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a tile's two blocks, of different components, that sizes and bitmaps allow to link.
-
-    A pair comes out of the smallest tile that both are in; they have different labels in every tile they share.
-    """
+class _Block:
+    """The classes of a tile's two blocks, and which of them may link."""
+
+    def __init__(self, table: pa.Table, tile: int, i: int, j: int):
+        column = {c: table.column(c).to_numpy() for c in ("own", "node", "component", "n")}
+        self.own, self.node, self.label, self.n = (column[c] for c in ("own", "node", "component", "n"))
+        self.label = self.label.copy()
+        self.bits = _folded_bits(table.column("bits").to_pylist())
+        self.tiles = table.column("tiles").combine_chunks().flatten().to_numpy().reshape(-1, 2 * TILES)
+        self.tile, self.i, self.j = tile, i, j
+
+    def partners(self, k: int) -> np.ndarray:
+        """Classes of other labels that sizes and bitmaps allow to link with class k.
+
+        A pair counts in the smallest tile that both are in; they have different labels in every tile they share.
+        """
+        n = self.n
+        near = (self.label != self.label[k]) & (self.own == self.j)
+        near &= (self.node > self.node[k]) if self.i == self.j else True
+        near &= UNDER * np.minimum(n[k], n) >= OVER * np.maximum(n[k], n)
+        at = np.flatnonzero(near)
+        if not len(at):
+            return at
+        alone = np.bitwise_count(self.bits[k] & ~self.bits[at]).sum(axis=1, dtype=np.int64)
+        others = np.bitwise_count(self.bits[at] & ~self.bits[k]).sum(axis=1, dtype=np.int64)
+        most = np.minimum(n[k] - alone, n[at] - others)
+        at = at[UNDER * most >= OVER * (n[k] + n[at] - most)]
+        shared = self.tiles[at]
+        top = np.iinfo(np.int64).max
+        first = np.where(np.isin(shared, self.tiles[k]), shared, top).min(axis=1, initial=top)
+        return at[first == self.tile]
+
+    def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
+        for k in np.flatnonzero(self.own == self.i):
+            yield k, self.partners(k)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, _Block]]:
+    """Blocks of several labels, from rows sorted by tile and blocks."""
     for table, cuts in sorted_groups(batches, ["tile", "i", "j"]):
-        column = {c: table.column(c).to_numpy() for c in ("i", "j", "own", "node", "component", "n")}
-        raw = table.column("bits").to_pylist()
-        tiles = table.column("tiles").combine_chunks().flatten().to_numpy().reshape(-1, 2 * TILES)
-        of = table.column("tile").to_numpy()
-        found_a, found_b = [], []
         for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-            own, node, component, n = (column[c][start:end] for c in ("own", "node", "component", "n"))
-            i, j = column["i"][start], column["j"][start]
-            if end - start < 2 or (component == component[0]).all():
-                continue
-            bits = _folded_bits(raw[start:end])
-            for k in np.flatnonzero(own == i):
-                near = (component != component[k]) & (own == j) & (node > node[k] if i == j else True)
-                near &= UNDER * np.minimum(n[k], n) >= OVER * np.maximum(n[k], n)
-                at = np.flatnonzero(near)
-                if len(at):
-                    alone = np.bitwise_count(bits[k] & ~bits[at]).sum(axis=1, dtype=np.int64)
-                    others = np.bitwise_count(bits[at] & ~bits[k]).sum(axis=1, dtype=np.int64)
-                    most = np.minimum(n[k] - alone, n[at] - others)
-                    at = at[UNDER * most >= OVER * (n[k] + n[at] - most)]
-                    shared = tiles[start:end][at]
-                    top = np.iinfo(np.int64).max
-                    first = np.where(np.isin(shared, tiles[start + k]), shared, top).min(axis=1, initial=top)
-                    at = at[first == of[start]]
-                    found_a.append(np.minimum(node[k], node[at]))
-                    found_b.append(np.maximum(node[k], node[at]))
-        if found_a:
-            yield pa.RecordBatch.from_pydict({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
-
-
-def _across(entries: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs to verify of the classes that share a tile but not a component."""
+            part = table.slice(start, end - start)
+            if pc.count_distinct(part.column("component")).as_py() > 1:
+                yield part, _Block(part, *[part.column(c)[0].as_py() for c in ("tile", "i", "j")])
+
+
+def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of each block that may link with another one there: a row for each of them, not for each pair."""
+    for part, block in _blocks(batches):
+        found = np.zeros(part.num_rows, dtype=bool)
+        for k, at in block:
+            found[k] |= len(at) > 0
+            found[at] = True
+        if found.any():
+            yield from part.select(["tile", "i", "j", "own", "node", "component"]).filter(pa.array(found)).to_batches()
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each block that join its labels, a spanning forest; what they join is not compared again."""
+    for part, block in _blocks(batches):
+        sets = [_as_words(h) for h in part.column("hashes").to_pylist()]
+        found = []
+        for k, at in block:
+            for m in at:
+                if block.label[m] != block.label[k]:
+                    u, v = sets[k], sets[m]
+                    if linked(len(np.intersect1d(u, v, assume_unique=True)), len(u), len(v)):
+                        found.append((block.node[k], block.node[m]))
+                        block.label[block.label == block.label[m]] = block.label[k]
+        if found:
+            ends = np.array(found)
+            yield pa.RecordBatch.from_pydict({"a": ends.min(axis=1), "b": ends.max(axis=1)})
+
+
+def _across(entries: DataFrame, classes: DataFrame, known: DataFrame, verifier: _Verifier) -> DataFrame:
+    """Links that join the classes which share a tile but not a component.
+
+    Pairs stay within the task that compares two blocks: it first tells which classes have partners that bitmaps allow,
+    and when those have come with their sets, which of them link.
+    """
     held = _components_in_tiles(entries, known)
+    blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("hashes") * 8 / BLOCK_BYTES)).cast("int")
     mixed = (
         held.groupBy("tile")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"))
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("n").alias("hashes"), F.max("m").alias("m"))
         .where("lo <> hi and m > 2")
-        .select("tile", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+        .select("tile", blocks.alias("blocks"))
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = held.join(mixed, "tile").withColumn("own", own)
@@ -287,15 +343,23 @@ def _across(entries: DataFrame, classes: DataFrame, known: DataFrame) -> DataFra
         lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")),
     )
     rows = rows.select("tile", "node", "component", "own", F.explode(meets).alias("at"))
-    wide = rows.join(classes.select("node", F.col("n_shingles").alias("n"), "bits", "tiles"), "node")
+    rows = rows.select("tile", "at.i", "at.j", "own", "node", "component")
     order = ["tile", "i", "j"]
-    flat = wide.select("tile", "at.i", "at.j", "own", "node", "component", "n", "bits", "tiles")
-    dealt = flat.repartition(*order).sortWithinPartitions(*order)
-    return staged(dealt.mapInArrow(_block_pairs, "a long, b long").distinct(), "across")
+    wide = classes.select("node", F.col("n_shingles").alias("n"), "bits", "tiles")
+    dealt = rows.join(wide, "node").repartition(*order).sortWithinPartitions(*order)
+    kept = "tile long, i int, j int, own int, node long, component long"
+    near = staged(dealt.mapInArrow(_with_partners, kept), "partners")
+    whole = near.join(wide, "node").join(verifier.sets_of(near.select("node")), "node")
+    dealt = whole.repartition(*order).sortWithinPartitions(*order)
+    return staged(dealt.mapInArrow(_block_links, "a long, b long").distinct(), "across")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """For each row of `docs` (doc_id, text): `doc_id`, `n_shingles`, `component_id`."""
+    return _marked_copies(docs).drop(MARK)
+
+
+def _marked_copies(docs: DataFrame) -> DataFrame:
     found = staged(sketches(docs), "sketches")
     usable = found.where("n_shingles > 0 and doc_id is not null")
     # One row for each class: its tiles and bitmap are the same in all of its documents.
@@ -303,26 +367,26 @@ def near_copies(docs: DataFrame) -> DataFrame:
     heads = staged(heads, "classes")
     own = usable.select(F.col("doc_id").alias("node"), "f1", "f2", "tiles", "bits").dropDuplicates(["node", "f1", "f2"])
     classes = staged(own.join(heads, ["node", "f1", "f2"]).select("node", "n_shingles", "tiles", "bits"), "class-sketches")
-    entries = classes.select("node", F.explode("tiles").alias("tile"))
+    entries = classes.select("node", F.col("n_shingles").alias("n"), F.explode("tiles").alias("tile"))
     shared = entries.groupBy("tile").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    entries = staged(entries.join(shared, "tile").select("tile", "lead", "node", "m"), "tiles")
-    pairs = staged(entries.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    entries = staged(entries.join(shared, "tile").select("tile", "lead", "node", "n", "m"), "tiles")
+    large = entries.where(F.col("m") >= STAR_FROM)
+    pairs = entries.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    pairs = staged(pairs.unionAll(_star_pairs(large, None, 0)).distinct(), "pairs")
     verifier = _Verifier(classes, docs)
     links = verifier.links(pairs)
     known = staged(_joined_so_far(links), "joined")
-    for turn in range(STARS):
-        star = _star_pairs(entries.where(F.col("m") >= STAR_FROM), known, turn).join(pairs, ["a", "b"], "left_anti")
-        links = links.unionAll(verifier.links(star))
-        pairs = pairs.unionAll(star)
-        known = staged(_joined_so_far(links), "joined")
-    more = _across(entries, classes, known).join(pairs, ["a", "b"], "left_anti")
-    joined = components(links.unionAll(verifier.links(more, bounded=True)))
+    star = _star_pairs(large, known, 1).join(pairs, ["a", "b"], "left_anti")
+    links = links.unionAll(verifier.links(star))
+    known = staged(_joined_so_far(links), "joined")
+    joined = components(links.unionAll(_across(entries, classes, known, verifier)))
     nodes = heads.join(joined, "node", "left").select(
         "f1", "f2", "n_shingles", F.coalesce("component", "node").alias("component")
     )
-    counted = found.select("doc_id", "n_shingles", "f1", "f2")
+    counted = found.select("doc_id", MARK, "n_shingles", "f1", "f2")
     return counted.join(nodes, ["f1", "f2", "n_shingles"], "left").select(
         "doc_id",
+        MARK,
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
     )
@@ -331,13 +395,23 @@ def near_copies(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id; rows without shingles or doc_id stay.
 
-    Of rows that share a doc_id and have shingles, one stays.
+    Of rows that are equal in doc_id and text, and have shingles, one stays. Rows that share a doc_id alone are told
+    apart: one that is a copy of a smaller doc_id goes without the others.
     """
-    found = staged(near_copies(docs), "near-copies")
-    usable = found.where("n_shingles > 0 and doc_id is not null")
-    copies = usable.where("component_id <> doc_id").select("doc_id").distinct()
-    repeated = usable.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    copies, repeated = staged(copies, "copies"), staged(repeated, "repeated")
-    rest = docs.join(copies, "doc_id", "left_anti")
-    once = rest.join(repeated, "doc_id").dropDuplicates(["doc_id"])
-    return rest.join(repeated, "doc_id", "left_anti").unionByName(once)
+    row = ["doc_id", MARK]
+    found = staged(_marked_copies(docs), "near-copies").where("doc_id is not null")
+    is_copy = F.expr("n_shingles > 0 and component_id <> doc_id")
+    by_id = found.groupBy("doc_id").agg(
+        F.min(MARK).alias("lo"), F.max(MARK).alias("hi"), F.max(is_copy).alias("copy"), F.count(F.lit(1)).alias("rows")
+    )
+    by_id = staged(by_id.where("copy or rows > 1"), "copies")
+    # an id that has one text goes by itself; rows of the others are told apart by their texts
+    copies = by_id.where("copy and lo = hi").select("doc_id")
+    several = found.join(by_id.where("rows > 1").select("doc_id"), "doc_id").groupBy(row)
+    several = several.agg(F.max(is_copy).alias("copy"), F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("rows"))
+    several = staged(several, "several")
+    repeated = several.where("not copy and n > 0 and rows > 1").select(row)
+    marked = docs.withColumn(MARK, _mark())
+    rest = marked.join(copies, "doc_id", "left_anti")
+    rest = rest.join(several.where("copy or (n > 0 and rows > 1)").select(row), row, "left_anti")
+    return rest.unionByName(marked.join(repeated, row).dropDuplicates(row)).select(docs.columns)
