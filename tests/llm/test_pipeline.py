@@ -1,0 +1,127 @@
+"""Every stage of the pipeline against plain Python on what the stage before it left, and the classifier's ranking."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import corpus_pipeline
+from barsieve.llm import line_dedup, mixing
+from barsieve.llm.common import staged
+from barsieve.llm.queries import all_queries
+from tests.llm.test_operators import _brute_components, _brute_targets
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _auc(scores, labels):
+    order = np.argsort(scores, kind="stable")
+    values, rank = np.asarray(scores)[order], np.empty(len(scores))
+    for v in np.unique(values):
+        at = np.flatnonzero(values == v)
+        rank[order[at]] = at.mean() + 1
+    ones = np.asarray(labels) == 1
+    return (rank[ones].sum() - ones.sum() * (ones.sum() + 1) / 2) / (ones.sum() * (~ones).sum())
+
+
+def test_classifier_ranks_held_out_rows(spark, sf_dir):
+    """A constant answer has an area of 0.5, and the accuracy of the share of its label."""
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    found = [r for r in all_queries()["op4_quality_classifier"](spark, sf_dir).collect() if r["doc_id"] in labels]
+    assert _auc([0.3] * 4, [0, 1, 1, 0]) == 0.5
+    held = [r for r in found if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    truth = [labels[r["doc_id"]] for r in held]
+    assert all(r["held_out"] for r in held) and {0, 1} == set(truth)
+    assert _auc([r["score"] for r in held], truth) > 0.9
+    right = sum(r["predicted"] == t for r, t in zip(held, truth, strict=True)) / len(held)
+    assert right > max(truth.count(0), truth.count(1)) / len(truth)
+
+
+@pytest.fixture(scope="module")
+def stages(spark, sf_dir):
+    """The rows before and after each stage, by its name."""
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        after = staged(stage(spark, rows, sf_dir), name)
+        out[name] = (rows.collect(), after.collect())
+        rows = after
+    return out
+
+
+def test_rejected_documents_go(spark, sf_dir, stages):
+    before, after = stages["quality_classifier"]
+    accepted = {r["doc_id"] for r in all_queries()["op4_quality_classifier"](spark, sf_dir).collect() if r["predicted"]}
+    assert sorted(after) == sorted(r for r in before if r["doc_id"] in accepted)
+    assert 0 < len(after) < len(before)
+
+
+def test_boilerplate_lines_go(stages):
+    before, after = stages["line_dedup"]
+    pages, on = Counter(r["source"] for r in before), Counter()
+    for r in before:
+        on.update((r["source"], line) for line in set((r["text"] or "").split("\n")) if WORD.search(line))
+    bad = {k for k, n in on.items() if n >= line_dedup.MIN_PAGES and n > line_dedup.RATIO * pages[k[0]]}
+    want = {}
+    for r in before:
+        want[r["doc_id"]] = r["text"] and "\n".join(x for x in r["text"].split("\n") if (r["source"], x) not in bad)
+    assert {r["doc_id"]: r["text"] for r in after} == want and len(after) == len(before)
+    assert all(r["n_chars"] == len(r["text"]) for r in after if r["text"] is not None)
+
+
+def test_one_of_near_copies_stays(stages):
+    before, after = stages["ngram_join"]
+    found = _brute_components({r["doc_id"]: r["text"] or "" for r in before})
+    assert sorted(after) == sorted(r for r in before if found[r["doc_id"]][1] == r["doc_id"])
+
+
+def test_sources_get_their_share(stages):
+    before, after = stages["mixing"]
+    size, totals, smallest = {}, Counter(), defaultdict(list)
+    for r in before:
+        size[r["doc_id"]] = len(WORD.findall(r["text"] or ""))
+        totals[r["source"]] += size[r["doc_id"]]
+        smallest[r["source"]].append(size[r["doc_id"]])
+    copies, taken = Counter(after), Counter()
+    assert set(copies) <= set(before) and max(copies.values()) <= 2
+    for r, n in copies.items():
+        taken[r["source"]] += n * size[r["doc_id"]]
+    for source, goal in _brute_targets(totals).items():
+        assert 0 <= goal - taken[source] <= max(min(smallest[source]), 0.03 * goal), (source, goal, taken[source], totals[source], sorted(smallest[source]))
+
+
+def test_everything_is_packed(stages):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    before, after = stages["packing"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+    for r in before:
+        ids = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0]
+        for start in range(0, len(ids), 1024):
+            part = np.array(ids[start : start + 1024], dtype="<u4")
+            want[r["doc_id"], start, len(part), zlib.crc32(part.tobytes()), len(ids)] += 1
+    assert Counter(tuple(r)[:5] for r in after) == want
+    places = defaultdict(list)
+    for r in after:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for found in places.values():
+        found.sort()
+        assert [s for s, _ in found] == np.cumsum([0, *(n for _, n in found[:-1])]).tolist()
+        assert sum(n for _, n in found) <= 1024
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 4), min_size=1, max_size=7), st.floats(0.05, 2))
+def test_budgets_are_met_or_nearly(counts, share):
+    lengths, n = np.array(sorted(counts)), np.array([counts[k] for k in sorted(counts)])
+    target = int(share * (lengths @ n))
+    first = mixing.fit_budget(lengths, n, min(target, int(lengths @ n)))
+    copies = mixing.refit(lengths, 2 * n, first, target)
+    assert (copies <= 2 * n).all() and (copies >= 0).all()
+    assert lengths @ first <= lengths @ copies <= target
