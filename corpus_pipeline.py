@@ -11,14 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsieve.llm import line_dedup, mixing, ngram_join, packing, quality_gam
-from barsieve.llm.common import documents, importable, staged
+from barsieve.llm.common import documents, importable, small_batches, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _ready(spark: SparkSession) -> None:
+    """Workers that find the package, and that are handed little at a time: the stages share their executors' memory."""
+    importable(spark)
+    small_batches(spark)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labelled documents outside the held-out fold, accepts."""
-    importable(spark)
+    _ready(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = quality_gam.classify(docs.select(COLUMNS), documents(spark, sf_dir), labels)
     return scored.where("predicted = 1").select(COLUMNS)
@@ -26,26 +32,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without their source's boilerplate lines."""
-    importable(spark)
+    _ready(spark)
     cut = line_dedup.drop_boilerplate(docs.select(COLUMNS))
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id."""
-    importable(spark)
+    _ready(spark)
     return ngram_join.keep_one(docs.select(COLUMNS)).select(COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix; one that is taken twice is there twice."""
-    importable(spark)
+    _ready(spark)
     return mixing.mixed_documents(docs.select(COLUMNS)).select(COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every piece of every document goes."""
-    importable(spark)
+    _ready(spark)
     return packing.pack(docs)
 
 
