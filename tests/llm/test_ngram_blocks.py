@@ -44,3 +44,38 @@ def test_rows_are_linear_in_near_misses(spark, monkeypatch, block):
         assert sizes["across"] <= n and sizes["partners"] <= sizes["tiles"] * (1 if block > n else n / block + 4)
         most[n] = {k: v for k, v in sizes.items() if k in ("tiles", "across", "bounded", "links", "star")}
     assert all(most[240][k] <= 4 * 2 * max(v, 60) for k, v in most[60].items())
+
+
+def test_classes_of_one_band_meet_once(spark, monkeypatch):
+    """Sets of one size share a hash in their own band's tile and in the next band's: only the first counts."""
+    tables = {}
+
+    def kept(df, label, staged=ngram_join.staged):
+        tables[label] = staged(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(ngram_join, "staged", kept)
+    texts = _near_misses(60, 10)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_copies(rows).collect()}
+    assert got == _brute_components(texts)
+    assert 0 < tables["tiles"].count() <= ngram_join.TILES * len(texts)
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_links_across_bands(spark, monkeypatch, block):
+    """Beginnings of one text in steps of less than a band: each links with those of its own band and the next."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(3)
+    texts = {}
+    for family in range(3):
+        words = [f"f{family}w{i}" for i in range(400)]
+        for k, length in enumerate((90, 105, 118, 124, 139, 150, 163, 185, 210, 240, 290, 330, 400)):
+            text = words[:length]
+            for _ in range(rng.randrange(3)):
+                text[rng.randrange(length)] = f"new{family}x{k}x{rng.randrange(10**6)}"
+            texts[family * 100 + k] = " ".join(text)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_copies(rows).collect()}
+    assert got == _brute_components(texts)
+    assert len({c for _, c in got.values()}) < len(texts) / 2
