@@ -537,6 +537,23 @@ def test_queries_match_sql(spark, sf_dir):
         assert got == want, name
 
 
+def test_pages_query_matches_sql(spark, tmp_path):
+    import duckdb
+
+    from barsieve.llm.queries import pages_sql
+
+    rows = [(k, f"u{k}", (None, "", "<p>a</p>", f"<p>é{k % 5}</p>")[k % 4]) for k in range(40)] + [(3, "u3", "again")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    sql = duckdb.connect()
+    sql.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    for name, text in pages_sql().items():
+        found = sql.execute(text)
+        names = [d[0] for d in found.description]
+        want = sorted(repr(tuple(r)) for r in found.fetchall())
+        got = sorted(repr(tuple(r)) for r in all_queries()[name](spark, str(tmp_path)).select(*names).collect())
+        assert got == want and got, name
+
+
 def test_vocabularies_agree():
     import public_tokenizers
     from tokenizers import Tokenizer
