@@ -377,6 +377,20 @@ def test_language_model(spark, sf_dir, texts):
     assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
 
 
+def test_language_model_reads_long_texts_to_their_end(spark):
+    body = " ".join(f"w{i % 50}" for i in range(3000))
+    ends = {k: "last" if k % 2 else "seldom" if k == 2 else "other" for k in range(60)}
+    rows = [(k, f"{body} {end}") for k, end in ends.items()]
+    fold = lambda k: zlib.crc32(str(k).encode()) % 7
+    held = [k for k in range(1000, 1100) if fold(k) == 2][:3]
+    rows += [(held[0], f"{body} last"), (held[1], f"{body} other"), (held[2], f"{body} neverseen")]
+    got = {r["doc_id"]: r for r in attention_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {r["n_tokens"] for r in got.values()} == {3002}
+    assert got[0]["train_tokens"] == 3002 * sum(fold(k) != 2 for k in got)
+    assert [got[k]["n_known"] for k in held] == [3002, 3002, 3001]
+    assert len({round(got[k]["score"], 2) for k in held}) == 3 and got[held[2]]["score"] < min(got[k]["score"] for k in held[:2])
+
+
 def test_attention_gradients_and_windows():
     model, rng = attention_lm.AttentionModel(), np.random.default_rng(1)
     for name in model.p:
