@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +81,15 @@ def test_language_model_spreads_them(spark, equal_rows, others, monkeypatch):
     assert len(sizes) >= 6 and max(sizes.values()) < 2 * N / len(sizes)
 
 
+def test_language_model_scores_equal_texts_equally():
+    model, draw = attention_lm.AttentionModel(), np.random.default_rng(0)
+    model.load(draw.normal(size=len(model.flat())) * 0.5)
+    text = draw.integers(0, attention_lm.END, 7)
+    texts = [text if k % 20 else draw.integers(0, attention_lm.END, k % 60) for k in range(3000)]
+    scores = attention_lm.group_scores(model.tables(), np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+    assert len({scores[k] for k in range(3000) if k % 20}) == 1  # wherever they stand
+
+
 def test_training_rows_are_bounded(spark, equal_rows, others):
     docs = equal_rows.unionByName(others)
     labels = spark.createDataFrame([(7, 1)] * 500 + [(7, 0)] + [(k, k % 2) for k in range(10, 300)], "doc_id long, quality int")
