@@ -419,6 +419,53 @@ def test_attention_gradients_and_windows():
     assert sum(10.0 ** s for s in first) == pytest.approx(1, rel=1e-4)
 
 
+def test_attention_logits_beyond_the_range_of_exp():
+    # Ordinary rows stay as they are; in far ones the largest visible value is taken off.
+    rng = np.random.default_rng(3)
+    plain = rng.normal(size=(4, 128)).astype(np.float32) * 8
+    assert (attention_lm._in_range(plain.copy()) == plain).all()
+    far = plain.copy()
+    far[1] += 500
+    far[2] -= 500
+    found = attention_lm._in_range(far.copy())
+    assert (found[[0, 3]] == plain[[0, 3]]).all()
+    assert (found[1:3] == far[1:3] - far[1:3].max(axis=1, keepdims=True)).all()
+    mask = np.triu(np.full((3, 3), -1e9, dtype=np.float32), 1)
+    seen = attention_lm._in_range(np.array([[1, 300, 300], [-200, -300, 5], [7, 8, 9]], dtype=np.float32), mask)
+    assert seen[0, 0] == 1 and seen[1, :2].tolist() == [0, -100] and seen[2].tolist() == [7, 8, 9]
+    assert (seen[[0, 0, 1], [1, 2, 2]] < -1e8).all()
+    # Loss, gradients and scores of a model with such logits are those of double precision.
+    model = attention_lm.AttentionModel()
+    model.p["out"] = rng.normal(size=model.p["out"].shape).astype(np.float32) * 200
+    model.p["query"] *= 600
+    x, y, weight = rng.integers(0, 128, (5, 32)), rng.integers(0, 127, (5, 32)), np.ones((5, 32), dtype=np.float32)
+    _, slopes = model.gradients(x, y, weight)
+    assert all(np.isfinite(g).all() for g in slopes.values())
+    p = {n: v.astype(np.float64) for n, v in model.p.items()}
+    e = p["tokens"][x] + p["place"]
+    a = (e @ p["query"]) @ (e @ p["key"]).transpose(0, 2, 1) / 4 + np.triu(np.full((32, 32), -np.inf), 1)
+    assert np.abs(a[np.isfinite(a)]).max() > attention_lm.LIMIT
+    a = np.exp(a - a.max(axis=2, keepdims=True))
+    logits = (e + a / a.sum(axis=2, keepdims=True) @ (e @ p["value"]) @ p["mix"]) @ p["out"] + p["bias"]
+    top = logits.max(axis=2, keepdims=True)
+    assert top.max() > attention_lm.LIMIT
+    wanted = (logits - top - np.log(np.exp(logits - top).sum(axis=2, keepdims=True))) / np.log(10)
+    wanted = np.take_along_axis(wanted, y[..., None], axis=2)[..., 0]
+    tables = model.tables()
+    assert attention_lm._half_scores(tables, x, y, True) == pytest.approx(wanted[:, :16], rel=1e-3, abs=1e-3)
+    assert attention_lm._half_scores(tables, x, y, False) == pytest.approx(wanted[:, 16:], rel=1e-3, abs=1e-3)
+
+
+def test_distinct_words_of_a_block():
+    rng = np.random.default_rng(4)
+    for values in (rng.integers(0, 50, 1000), rng.integers(0, 1 << 62, 300), np.zeros(0)):
+        values = values.astype(np.uint64) * np.uint64(3)
+        for found, wanted in zip(
+            attention_lm._distinct(values), np.unique(values, return_index=True, return_inverse=True), strict=True
+        ):
+            assert found.tolist() == wanted.tolist()
+
+
 def test_every_word_of_a_text_is_learned_from(spark):
     def learned(words):
         model = attention_lm.AttentionModel()
